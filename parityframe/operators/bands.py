@@ -8,13 +8,14 @@ cut needs to be looked at by weight; there is at most one per group and cut.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parityframe.operators.prefix import running_totals
-from parityframe.workspace import join_groups, stage
+from parityframe.workspace import join_groups
 
 BROADCAST_ROWS = 100_000  # a few small columns each: some megabytes
+WINDOW_ROWS = 1_000_000  # rows of one value a single task may order
 
 
 def _band(cum: Column, total: Column, cuts: list[float], inclusive: list[bool]) -> Column:
@@ -43,26 +44,59 @@ def _rows_up_to(band: Column, cuts: list[float], inclusive: list[bool]) -> Colum
     return F.when(position <= 0, F.lit(0)).when(position > len(cuts), n).otherwise(bounded)
 
 
-def _slice(units: DataFrame, by: list[str], cuts: list[float], inclusive: list[bool]) -> DataFrame:
-    """Pieces of units whose rows all weigh the same, or that lie in a single band."""
-    total = F.col("weight_total")
-    first = _band(F.col("weight_before") + F.col("unit"), total, cuts, inclusive)
-    last = _band(F.col("weight_before") + F.col("weight"), total, cuts, inclusive)
-    units = units.withColumns({"_first": first, "_last": last})
-    units = units.withColumn("band", F.explode(F.sequence("_first", "_last")))
-    band = F.col("band")
-    cut_rows = _rows_up_to(band, cuts, inclusive) - _rows_up_to(band - 1, cuts, inclusive)
-    whole = F.col("_first") == F.col("_last")
-    units = units.withColumn("rows_in", F.when(whole, F.col("n")).otherwise(cut_rows))
-    piece = F.when(whole, F.col("weight")).otherwise(F.col("rows_in") * F.col("unit"))
-    return units.filter(F.col("rows_in") > 0).select(
+def _pieces(units: DataFrame, by: list[str], n: Column, weight: Column) -> DataFrame:
+    return units.select(
         *by,
         "band",
         "value",
-        F.col("rows_in").cast("long").alias("n"),
-        piece.alias("weight"),
-        (piece * F.col("value")).alias("income"),
+        n.cast("long").alias("n"),
+        weight.alias("weight"),
+        (weight * F.col("value")).alias("income"),
         (F.col("weight_before") + F.col("weight")).alias("weight_reached"),
+        "income_total",
+    )
+
+
+def _slice(units: DataFrame, by: list[str], cuts: list[float], inclusive: list[bool]) -> DataFrame:
+    """Pieces of units, each a number of rows with equal value and equal weight ``unit``."""
+    total = F.col("weight_total")
+    first = _band(F.col("weight_before") + F.col("unit"), total, cuts, inclusive)
+    last = _band(F.col("weight_before") + F.col("weight"), total, cuts, inclusive)
+    units = units.withColumn("band", F.explode(F.sequence(first, last)))
+    upper = _rows_up_to(F.col("band"), cuts, inclusive)
+    lower = _rows_up_to(F.col("band") - 1, cuts, inclusive)
+    units = units.withColumn("rows_in", upper - lower).filter("rows_in > 0")
+    return _pieces(units, by, F.col("rows_in"), F.col("rows_in") * F.col("unit"))
+
+
+def _runs(rows: DataFrame, mixed: DataFrame, by: list[str], n_mixed: int, largest: int):
+    """Units of the straddling values whose rows differ in weight: one per distinct weight.
+
+    The sizes decide the way: a small table of values is broadcast to the rows, else the rows are
+    collapsed before they are shuffled; a value with many rows is accumulated cell by cell.
+    """
+    keys = [*by, "value"]
+    carried = ["base", "weight_total", "income_total"]
+    count = F.count(F.lit(1)).alias("n")
+    if n_mixed <= BROADCAST_ROWS:
+        found = join_groups(rows, F.broadcast(mixed), keys)
+        runs = found.groupBy(*keys, *carried, "w").agg(count)
+    else:
+        runs = join_groups(rows.groupBy(*keys, "w").agg(count), mixed, keys)
+    runs = runs.withColumn("weight", F.col("w") * F.col("n"))
+    if largest <= WINDOW_ROWS:
+        lighter = Window.partitionBy(*keys).orderBy("w").rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("weight").over(lighter), F.lit(0.0))
+        runs = runs.withColumn("weight_before", before)
+    else:
+        whole = runs.withColumnRenamed("weight_total", "whole")
+        runs = running_totals(whole, keys, "w", ["weight"]).withColumn("weight_total", F.col("whole"))
+    return runs.select(
+        *keys,
+        "n",
+        F.col("w").alias("unit"),
+        "weight",
+        (F.col("base") + F.col("weight_before")).alias("weight_before"),
         "weight_total",
         "income_total",
     )
@@ -78,47 +112,41 @@ def weight_bands(
     """Split the group totals of ``cdf`` at the cut fractions.
 
     ``rows`` is the input of the cdf, scanned again only for values that straddle a cut with
-    unequal weights. ``cdf`` should be a staged table, since it is read twice.
+    unequal weights. ``cdf`` should be a staged table, since it is read several times.
     Result: one row per group, band and value with ``n``, ``weight`` and ``income``.
     """
     inclusive = inclusive or [False] * len(cuts)
     total = F.col("weight_total")
     first = _band(F.col("weight_before") + F.col("weight_min"), total, cuts, inclusive)
     last = _band(F.col("weight_before") + F.col("weight"), total, cuts, inclusive)
-    mixed = (first < last) & (F.col("weight_min") < F.col("weight_max"))
-
-    simple = cdf.filter(~mixed).withColumn("unit", F.col("weight_min"))
-    pieces = _slice(simple, by, cuts, inclusive)
-
-    straddling = stage(
-        cdf.filter(mixed).select(
-            *by,
-            "value",
-            F.col("weight_before").alias("base"),
-            F.col("weight_total").alias("whole"),
-            "income_total",
-        ),
-        "straddling",
-    )
-    size = straddling.count()
-    if size == 0:
-        return pieces
-    keys = [*by, "value"]
-    count = F.count(F.lit(1)).alias("n")
-    if size <= BROADCAST_ROWS:
-        found = join_groups(rows, F.broadcast(straddling), keys)
-        runs = found.groupBy(*keys, "base", "whole", "income_total", "w").agg(count)
-    else:  # very many groups: collapse the rows before they are shuffled
-        runs = join_groups(rows.groupBy(*keys, "w").agg(count), straddling, keys)
-    runs = runs.withColumn("weight", F.col("w") * F.col("n"))
-    runs = running_totals(runs, keys, "w", ["weight"])
-    units = runs.select(
-        *keys,
+
+    inside = cdf.withColumn("band", last).filter(first == F.col("band"))
+    pieces = _pieces(inside, by, F.col("n"), F.col("weight"))
+
+    straddling = cdf.filter(first < last).select(
+        *by,
+        "value",
         "n",
-        F.col("w").alias("unit"),
+        F.col("weight_min").alias("unit"),
         "weight",
-        (F.col("base") + F.col("weight_before")).alias("weight_before"),
-        F.col("whole").alias("weight_total"),
+        F.col("weight_before").alias("base"),
+        "weight_total",
         "income_total",
+        (F.col("weight_min") < F.col("weight_max")).alias("mixed"),
     )
+    sizes = straddling.agg(
+        F.count(F.lit(1)).alias("all"),
+        F.count_if("mixed").alias("mixed"),
+        F.max("n").alias("largest"),
+    ).first()
+    if sizes["all"] == 0:
+        return pieces
+    even = straddling.filter("NOT mixed").withColumnRenamed("base", "weight_before").drop("mixed")
+    units = even
+    if sizes["mixed"]:
+        mixed = straddling.filter("mixed").select(
+            *by, "value", "base", "weight_total", "income_total"
+        )
+        uneven = _runs(rows, mixed, by, sizes["mixed"], sizes["largest"])
+        units = uneven if sizes["mixed"] == sizes["all"] else even.unionByName(uneven)
     return pieces.unionByName(_slice(units, by, cuts, inclusive))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parityframe import constants as C
@@ -34,18 +34,19 @@ def cast_numeric(df: DataFrame, columns: list[str] = C.NUMERIC_COLUMNS) -> DataF
 def deduplicate(
     df: DataFrame, keys: list[str] = ("SERIAL", "PERNUM"), order_by: list[str] = ()
 ) -> DataFrame:
-    """One row per key: the first by ``order_by`` (NULLs first), then by the other columns.
+    """One row per key: the first by ``order_by`` (NULLs first).
 
-    Written as a minimum over a struct rather than a ranking window: copies are reduced on the
-    map side before the shuffle, so a key with very many copies does not fill one task.
+    ``order_by`` should be a total order of the copies of a key. Without it all other columns
+    are used, so that the result is the same in every run, at the price of reading them all.
+
+    Spark turns the rank filter into a limit per key that is applied before the shuffle as well
+    as after it, so of a key with very many copies one row per map task is moved.
     """
     keys = list(keys)
-    first = [name for name in order_by if name not in keys]
-    rest = [name for name in df.columns if name not in keys and name not in first]
-    kept = df.groupBy(*keys).agg(F.min(F.struct(*first, *rest)).alias("_kept"))
-    return kept.select(
-        *[F.col(c) if c in keys else F.col("_kept")[c].alias(c) for c in df.columns]
-    )
+    order = list(order_by) or [name for name in df.columns if name not in keys]
+    ranked = Window.partitionBy(*keys).orderBy(*order)
+    kept = df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1")
+    return kept.drop("_rank")
 
 
 def filter_age(df: DataFrame, low: int = C.MIN_AGE, high: int = C.MAX_AGE) -> DataFrame:
