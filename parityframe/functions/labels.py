@@ -8,109 +8,99 @@ from pyspark.sql import functions as F
 from parityframe import constants as C
 
 
-def _col(column: str | Column) -> Column:
-    return F.col(column) if isinstance(column, str) else column
+def case(branches: list[tuple[str, object]], otherwise: object = None) -> Column:
+    """CASE over (condition, constant) branches; conditions are SQL text."""
+    steps = " ".join(f"WHEN {condition} THEN {literal(v)}" for condition, v in branches)
+    return F.expr(f"CASE {steps} ELSE {literal(otherwise)} END")
 
 
-def code_label(column: str | Column, names: dict[int, str], other: Column | None = None) -> Column:
-    """Label of an integer code; ``other`` (default NULL) for codes not listed and for NULL."""
-    code = _col(column)
-    cases = F
-    for key, name in names.items():
-        cases = cases.when(code == key, name)
-    return cases.otherwise(F.lit(None).cast("string") if other is None else other)
+def literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else str(value)
 
 
-def country_label(column: str | Column = "COUNTRY") -> Column:
-    return code_label(column, C.COUNTRY_NAMES, other=_col(column).cast("string"))
+def code_label(code: str, names: dict[int, str], otherwise: object = None) -> Column:
+    """Label of an integer code; ``otherwise`` for codes not listed and for NULL."""
+    return case([(f"({code}) = {key}", name) for key, name in names.items()], otherwise)
 
 
-def sex_label(column: str | Column = "SEX", strict: bool = False) -> Column:
+def country_label(code: str = "COUNTRY") -> Column:
+    return F.coalesce(code_label(code, C.COUNTRY_NAMES), F.expr(f"CAST(({code}) AS STRING)"))
+
+
+def sex_label(code: str = "SEX", strict: bool = False) -> Column:
     """Everything but code 1 counts as female; ``strict`` leaves unknown codes NULL."""
-    if strict:
-        return code_label(column, C.SEX_NAMES)
-    return code_label(column, {1: C.SEX_NAMES[1]}, other=F.lit(C.SEX_NAMES[2]))
+    return code_label(code, C.SEX_NAMES, None if strict else C.SEX_NAMES[2])
 
 
-def employment_label(column: str | Column = "EMPSTAT", strict: bool = False) -> Column:
+def employment_label(code: str = "EMPSTAT", strict: bool = False) -> Column:
     if strict:
-        return code_label(column, C.EMPLOYMENT_NAMES_EN)
-    return code_label(column, C.EMPLOYMENT_NAMES, other=F.lit(C.OTHER_LABEL))
+        return code_label(code, C.EMPLOYMENT_NAMES_EN)
+    return code_label(code, C.EMPLOYMENT_NAMES, C.OTHER_LABEL)
 
 
-def education_label(column: str | Column = "EDATTAIN") -> Column:
-    return code_label(column, C.EDUCATION_NAMES, other=F.lit(C.OTHER_LABEL))
+def education_label(code: str = "EDATTAIN") -> Column:
+    return code_label(code, C.EDUCATION_NAMES, C.OTHER_LABEL)
 
 
-def age_decade(column: str | Column = "AGE", strict: bool = False) -> Column:
+def age_decade(age: str = "AGE", strict: bool = False) -> Column:
     """Ten-year group. Ages below 10 or missing fall in the oldest group unless ``strict``."""
-    age = _col(column)
-    groups = F
-    for low, high in C.AGE_DECADES:
-        groups = groups.when(age.between(low, high), f"{low}-{high}")
+    groups = [(f"({age}) BETWEEN {lo} AND {hi}", f"{lo}-{hi}") for lo, hi in C.AGE_DECADES]
     if strict:
-        return groups.when(age >= 80, C.OLDEST_LABEL).otherwise(F.lit(None).cast("string"))
-    return groups.otherwise(C.OLDEST_LABEL)
+        return case([*groups, (f"({age}) >= 80", C.OLDEST_LABEL)])
+    return case(groups, C.OLDEST_LABEL)
 
 
 def cut(
-    column: str | Column, edges: list[float], labels: list[str], include_lowest: bool = False
+    value: str, edges: list[float], labels: list, include_lowest: bool = False
 ) -> Column:
-    """Right-closed intervals between consecutive edges; NULL outside of them."""
+    """Right-closed intervals between consecutive edges; NULL outside of them.
+
+    Edges are numbers or SQL text.
+    """
     if len(labels) != len(edges) - 1:
         raise ValueError("one label per interval is needed")
-    x = _col(column)
-    bins = F
+    bins = []
     for i, label in enumerate(labels):
-        above = x >= edges[i] if include_lowest and i == 0 else x > edges[i]
-        bins = bins.when(above & (x <= edges[i + 1]), label)
-    return bins.otherwise(F.lit(None).cast("string"))
+        above = ">=" if include_lowest and i == 0 else ">"
+        bins.append((f"({value}) {above} {edges[i]} AND ({value}) <= {edges[i + 1]}", label))
+    return case(bins)
 
 
-def income_category(column: str | Column = "income_analysis") -> Column:
-    income = _col(column)
-    steps = F.when(income == 0, C.ZERO_CATEGORY)
-    for limit, name in C.INCOME_CATEGORIES:
-        steps = steps.when(income < limit, name)
-    return steps.otherwise(C.TOP_CATEGORY)
+def income_category(income: str = "income_analysis") -> Column:
+    steps = [(f"{income} < {limit}", name) for limit, name in C.INCOME_CATEGORIES]
+    return case([(f"{income} = 0", C.ZERO_CATEGORY), *steps], C.TOP_CATEGORY)
 
 
 def ppp_income(
-    income: str | Column,
-    country: str | Column = "COUNTRY",
+    income: str,
+    country: str = "COUNTRY",
     factors: dict[int, float] | None = None,
     default: float = 1.0,
 ) -> Column:
     """Income times the price-level factor of the country."""
-    code = _col(country)
-    factor = F
-    for key, value in (C.PPP_FACTORS if factors is None else factors).items():
-        factor = factor.when(code == key, F.lit(float(value)))
-    rate = F.lit(default) if factor is F else factor.otherwise(F.lit(default))
-    return _col(income) * rate
+    factors = C.PPP_FACTORS if factors is None else factors
+    rate = code_label(country, factors, default) if factors else F.lit(default)
+    return F.col(income) * rate
 
 
-def gini_status(column: str | Column = "gini") -> Column:
-    value = _col(column)
-    status = F
-    for limit, name in C.GINI_STATUS:
-        status = status.when(value > limit, name)
-    return status.when(value.isNull(), F.lit(None).cast("string")).otherwise(C.GINI_STATUS_REST)
+def gini_status(gini: str = "gini") -> Column:
+    steps = [(f"{gini} > {limit}", name) for limit, name in C.GINI_STATUS]
+    return case([*steps, (f"{gini} IS NOT NULL", C.GINI_STATUS_REST)])
 
 
-def gauge_band(column: str | Column = "gini") -> Column:
+def gauge_band(gini: str = "gini") -> Column:
     """Index of the gauge segment a value lies in: 0 up to the number of inner edges."""
-    value = _col(column)
-    return sum(((value >= edge).cast("int") for edge in C.GAUGE_EDGES), F.lit(0))
+    return F.expr(" + ".join(f"CAST({gini} >= {edge}D AS INT)" for edge in C.GAUGE_EDGES))
 
 
-def ordinal(column: str | Column, order: list[str]) -> Column:
+def ordinal(label: str, order: list[str]) -> Column:
     """Position of a label in a fixed display order, after all others if not listed."""
-    label = _col(column)
-    rank = F
-    for i, name in enumerate(order):
-        rank = rank.when(label == name, i)
-    return rank.otherwise(len(order))
+    positions = [(f"{label} = {literal(name)}", i) for i, name in enumerate(order)]
+    return case(positions, len(order))
 
 
 def dictionary(spark: SparkSession, names: dict[int, str], key: str, label: str) -> DataFrame:

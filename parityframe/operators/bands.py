@@ -8,65 +8,68 @@ cut needs to be looked at by weight; there is at most one per group and cut.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parityframe.operators.prefix import running_totals
-from parityframe.workspace import join_groups
+from parityframe.workspace import join_groups, quoted
 
 BROADCAST_ROWS = 100_000  # a few small columns each: some megabytes
 WINDOW_ROWS = 1_000_000  # rows of one value a single task may order
 
 
-def _band(cum: Column, total: Column, cuts: list[float], inclusive: list[bool]) -> Column:
-    band = F.lit(0)
-    for cut, at in zip(cuts, inclusive):
-        limit = F.lit(cut) * total
-        band = band + (cum >= limit if at else cum > limit).cast("int")
-    return band
+def _band(cum: str, cuts: list[float], inclusive: list[bool]) -> str:
+    """SQL for the band of a row with cumulative weight ``cum``."""
+    passed = [
+        f"CAST({cum} {'>=' if at else '>'} {cut!r}D * weight_total AS INT)"
+        for cut, at in zip(cuts, inclusive)
+    ]
+    return "(" + " + ".join(passed) + ")"
 
 
-def _rows_up_to(band: Column, cuts: list[float], inclusive: list[bool]) -> Column:
-    """How many of the ``n`` equally weighted rows of a unit lie in bands up to ``band``."""
-    before, unit, n = F.col("weight_before"), F.col("unit"), F.col("n")
-    position = band + 1
-    limit = F.get(F.array(*[F.lit(c) for c in cuts]), band) * F.col("weight_total")
-    open_end = F.get(F.array(*[F.lit(i) for i in inclusive]), band)
+def _rows_up_to(band: str, cuts: list[float], inclusive: list[bool]) -> str:
+    """SQL for how many of the ``n`` equally weighted rows of a unit lie in bands up to ``band``."""
+    limit = f"(get(array({', '.join(f'{c!r}D' for c in cuts)}), {band}) * weight_total)"
+    open_end = f"get(array({', '.join(str(at).lower() for at in inclusive)}), {band})"
 
-    def fits(k: Column) -> Column:
-        reached = before + k * unit
-        return F.when(open_end, reached < limit).otherwise(reached <= limit)
+    def fits(k: str) -> str:
+        reached = f"weight_before + {k} * unit"
+        return f"if({open_end}, {reached} < {limit}, {reached} <= {limit})"
 
     # the quotient may be one off after rounding; the comparison itself decides
-    guess = F.floor(F.try_divide(limit - before, unit))
-    exact = F.when(fits(guess + 1), guess + 1).when(fits(guess), guess).otherwise(guess - 1)
-    bounded = F.least(F.greatest(exact, F.lit(0)), n)
-    return F.when(position <= 0, F.lit(0)).when(position > len(cuts), n).otherwise(bounded)
+    guess = f"floor(try_divide({limit} - weight_before, unit))"
+    exact = (
+        f"CASE WHEN {fits(f'({guess} + 1)')} THEN {guess} + 1 "
+        f"WHEN {fits(guess)} THEN {guess} ELSE {guess} - 1 END"
+    )
+    return (
+        f"CASE WHEN {band} < 0 THEN 0 WHEN {band} >= {len(cuts)} THEN n "
+        f"ELSE least(greatest({exact}, 0), n) END"
+    )
 
 
-def _pieces(units: DataFrame, by: list[str], n: Column, weight: Column) -> DataFrame:
-    return units.select(
-        *by,
+def _pieces(units: DataFrame, by: list[str], n: str, weight: str) -> DataFrame:
+    return units.selectExpr(
+        *map(quoted, by),
         "band",
         "value",
-        n.cast("long").alias("n"),
-        weight.alias("weight"),
-        (weight * F.col("value")).alias("income"),
-        (F.col("weight_before") + F.col("weight")).alias("weight_reached"),
+        f"CAST({n} AS BIGINT) AS n",
+        f"{weight} AS weight",
+        f"{weight} * value AS income",
+        "weight_before + weight AS weight_reached",
         "income_total",
     )
 
 
 def _slice(units: DataFrame, by: list[str], cuts: list[float], inclusive: list[bool]) -> DataFrame:
     """Pieces of units, each a number of rows with equal value and equal weight ``unit``."""
-    total = F.col("weight_total")
-    first = _band(F.col("weight_before") + F.col("unit"), total, cuts, inclusive)
-    last = _band(F.col("weight_before") + F.col("weight"), total, cuts, inclusive)
-    units = units.withColumn("band", F.explode(F.sequence(first, last)))
-    upper = _rows_up_to(F.col("band"), cuts, inclusive)
-    lower = _rows_up_to(F.col("band") - 1, cuts, inclusive)
-    units = units.withColumn("rows_in", upper - lower).filter("rows_in > 0")
-    return _pieces(units, by, F.col("rows_in"), F.col("rows_in") * F.col("unit"))
+    first = _band("(weight_before + unit)", cuts, inclusive)
+    last = _band("(weight_before + weight)", cuts, inclusive)
+    units = units.selectExpr("*", f"explode(sequence({first}, {last})) AS band")
+    upper = _rows_up_to("band", cuts, inclusive)
+    lower = _rows_up_to("(band - 1)", cuts, inclusive)
+    units = units.selectExpr("*", f"{upper} - {lower} AS rows_in").filter("rows_in > 0")
+    return _pieces(units, by, "rows_in", "rows_in * unit")
 
 
 def _runs(rows: DataFrame, mixed: DataFrame, by: list[str], n_mixed: int, largest: int):
@@ -77,26 +80,30 @@ def _runs(rows: DataFrame, mixed: DataFrame, by: list[str], n_mixed: int, larges
     """
     keys = [*by, "value"]
     carried = ["base", "weight_total", "income_total"]
-    count = F.count(F.lit(1)).alias("n")
+    count = F.expr("count(*) AS n")
     if n_mixed <= BROADCAST_ROWS:
         found = join_groups(rows, F.broadcast(mixed), keys)
         runs = found.groupBy(*keys, *carried, "w").agg(count)
     else:
         runs = join_groups(rows.groupBy(*keys, "w").agg(count), mixed, keys)
-    runs = runs.withColumn("weight", F.col("w") * F.col("n"))
+    runs = runs.selectExpr("*", "w * n AS weight")
     if largest <= WINDOW_ROWS:
-        lighter = Window.partitionBy(*keys).orderBy("w").rowsBetween(Window.unboundedPreceding, -1)
-        before = F.coalesce(F.sum("weight").over(lighter), F.lit(0.0))
-        runs = runs.withColumn("weight_before", before)
+        lighter = (
+            f"PARTITION BY {', '.join(map(quoted, keys))} ORDER BY w "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+        )
+        before = f"coalesce(sum(weight) OVER ({lighter}), 0D) AS weight_before"
+        runs = runs.selectExpr("*", before)
     else:
         whole = runs.withColumnRenamed("weight_total", "whole")
-        runs = running_totals(whole, keys, "w", ["weight"]).withColumn("weight_total", F.col("whole"))
-    return runs.select(
-        *keys,
+        runs = running_totals(whole, keys, "w", ["weight"]).drop("weight_total")
+        runs = runs.withColumnRenamed("whole", "weight_total")
+    return runs.selectExpr(
+        *map(quoted, keys),
         "n",
-        F.col("w").alias("unit"),
+        "w AS unit",
         "weight",
-        (F.col("base") + F.col("weight_before")).alias("weight_before"),
+        "base + weight_before AS weight_before",
         "weight_total",
         "income_total",
     )
@@ -116,28 +123,25 @@ def weight_bands(
     Result: one row per group, band and value with ``n``, ``weight`` and ``income``.
     """
     inclusive = inclusive or [False] * len(cuts)
-    total = F.col("weight_total")
-    first = _band(F.col("weight_before") + F.col("weight_min"), total, cuts, inclusive)
-    last = _band(F.col("weight_before") + F.col("weight"), total, cuts, inclusive)
+    first = _band("(weight_before + weight_min)", cuts, inclusive)
+    last = _band("(weight_before + weight)", cuts, inclusive)
 
-    inside = cdf.withColumn("band", last).filter(first == F.col("band"))
-    pieces = _pieces(inside, by, F.col("n"), F.col("weight"))
+    inside = cdf.selectExpr("*", f"{last} AS band").filter(f"{first} = band")
+    pieces = _pieces(inside, by, "n", "weight")
 
-    straddling = cdf.filter(first < last).select(
-        *by,
+    straddling = cdf.filter(f"{first} < {last}").selectExpr(
+        *map(quoted, by),
         "value",
         "n",
-        F.col("weight_min").alias("unit"),
+        "weight_min AS unit",
         "weight",
-        F.col("weight_before").alias("base"),
+        "weight_before AS base",
         "weight_total",
         "income_total",
-        (F.col("weight_min") < F.col("weight_max")).alias("mixed"),
+        "weight_min < weight_max AS mixed",
     )
-    sizes = straddling.agg(
-        F.count(F.lit(1)).alias("all"),
-        F.count_if("mixed").alias("mixed"),
-        F.max("n").alias("largest"),
+    sizes = straddling.selectExpr(
+        "count(*) AS all", "count_if(mixed) AS mixed", "max(n) AS largest"
     ).first()
     if sizes["all"] == 0:
         return pieces

@@ -31,23 +31,24 @@ def gini_col(method: str = "cumulative") -> Column:
     ``trapezoid``   area by trapezoids; the unbiased weighted definition.
     ``rank``        by rank; use it on an unweighted cdf.
     """
-    y, t, q = F.col("value"), F.col("weight"), F.col("weight_sq")
-    c0, y0 = F.col("weight_before"), F.col("income_before")
-    heads, incomes = F.max("weight_total"), F.max("income_total")
-    area = heads * incomes
+    heads, incomes = "max(weight_total)", "max(income_total)"
+    area = f"({heads} * {incomes})"
     if method == "cumulative":
-        moment = F.sum(y * (c0 * t + (t * t + q) / 2))
-        raw = F.try_divide(2 * moment, area) - F.try_divide(heads + 1, heads)
-        clipped = F.when(raw.isNotNull(), F.least(F.greatest(raw, F.lit(0.0)), F.lit(1.0)))
-        return F.when(incomes == 0, F.lit(0.0)).otherwise(clipped)
+        moment = "sum(value * (weight_before * weight + (weight * weight + weight_sq) / 2))"
+        raw = f"try_divide(2 * {moment}, {area}) - try_divide({heads} + 1, {heads})"
+        return F.expr(
+            f"CASE WHEN {incomes} = 0 THEN 0D "
+            f"WHEN {raw} IS NOT NULL THEN least(greatest({raw}, 0D), 1D) END"
+        )
     if method == "lorenz_left":
-        left = F.sum(y0 * t + y * (t * t - q) / 2)
-        return F.when(incomes == 0, F.lit(0.0)).otherwise(1 - F.try_divide(2 * left, area))
+        left = "sum(income_before * weight + value * (weight * weight - weight_sq) / 2)"
+        return F.expr(f"if({incomes} = 0, 0D, 1 - try_divide(2 * {left}, {area}))")
     if method == "trapezoid":
-        return 1 - F.try_divide(2 * F.sum(y0 * t + y * t * t / 2), area)
+        under = "sum(income_before * weight + value * weight * weight / 2)"
+        return F.expr(f"1 - try_divide(2 * {under}, {area})")
     if method == "rank":
-        ranks = F.sum(y * t * (2 * c0 + t))
-        return F.try_divide(ranks, area) - 1
+        ranks = "sum(value * weight * (2 * weight_before + weight))"
+        return F.expr(f"try_divide({ranks}, {area}) - 1")
     raise ValueError(f"unknown Gini method {method!r}; choose from {GINI_METHODS}")
 
 
@@ -83,11 +84,10 @@ def _staged(df: DataFrame, value: str, weight: str | None, by: list[str]):
 
 def bottom_and_top_shares(pieces: DataFrame, by: list[str]) -> DataFrame:
     """Totals of the bottom (band 0) and the top (band 2) of each group."""
-    bottom, top = F.col("band") == 0, F.col("band") == 2
     return pieces.groupBy(*by).agg(
-        F.coalesce(F.sum(F.when(bottom, F.col("income"))), F.lit(0.0)).alias("bottom_income"),
-        F.coalesce(F.sum(F.when(bottom, F.col("weight"))), F.lit(0.0)).alias("bottom_weight"),
-        F.coalesce(F.sum(F.when(top, F.col("income"))), F.lit(0.0)).alias("top_income"),
+        F.expr("coalesce(sum(CASE WHEN band = 0 THEN income END), 0D) AS bottom_income"),
+        F.expr("coalesce(sum(CASE WHEN band = 0 THEN weight END), 0D) AS bottom_weight"),
+        F.expr("coalesce(sum(CASE WHEN band = 2 THEN income END), 0D) AS top_income"),
     )
 
 
@@ -112,8 +112,7 @@ def palma(
 
 def weighted_median_col() -> Column:
     """Lower weighted median: the first value whose cumulative weight reaches one half."""
-    reached = F.col("weight_before") + F.col("weight") >= 0.5 * F.col("weight_total")
-    return F.min(F.when(reached, F.col("value")))
+    return F.expr("min(CASE WHEN weight_before + weight >= 0.5D * weight_total THEN value END)")
 
 
 def weighted_median(
@@ -130,11 +129,9 @@ def _below_half_median(cdf: DataFrame, medians: DataFrame, by: list[str]) -> Dat
         matched = join_groups(cdf, medians.select(*by, "median"), by)
     else:
         matched = cdf.withColumn("median", F.lit(medians.first()["median"]).cast("double"))
-    poor = F.sum(F.when(F.col("value") < 0.5 * F.col("median"), F.col("weight")).otherwise(0.0))
-    share = F.try_divide(poor, F.max("weight_total"))
-    return _group(
-        matched, by, F.when(F.max("median") == 0, 0.0).otherwise(share).alias("sdg_10_2_1")
-    )
+    poor = "sum(if(value < 0.5D * median, weight, 0D))"
+    share = f"if(max(median) = 0, 0D, try_divide({poor}, max(weight_total)))"
+    return _group(matched, by, F.expr(f"{share} AS sdg_10_2_1"))
 
 
 def poverty_half_median(
@@ -147,13 +144,16 @@ def poverty_half_median(
     return _below_half_median(cdf, medians, by)
 
 
-def _prosperity(mean: Column) -> dict[str, Column]:
-    low = F.coalesce(F.try_divide("bottom_income", "bottom_weight"), F.lit(0.0))
-    return {
-        "mean_b40": low,
-        "premium_pct": (F.try_divide(low, mean) - 1) * 100,
-        "anomali_b40": F.when(low < 0.5 * mean, C.LAGGING_FLAG).otherwise(C.NORMAL_FLAG),
-    }
+def _with_prosperity(df: DataFrame) -> DataFrame:
+    """Bottom mean, its premium and the flag, beside ``mean_income``."""
+    low = "coalesce(try_divide(bottom_income, bottom_weight), 0D)"
+    flag = f"if({low} < 0.5D * mean_income, '{C.LAGGING_FLAG}', '{C.NORMAL_FLAG}')"
+    return df.selectExpr(
+        "*",
+        f"{low} AS mean_b40",
+        f"(try_divide({low}, mean_income) - 1) * 100 AS premium_pct",
+        f"{flag} AS anomali_b40",
+    )
 
 
 def _with_groups(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
@@ -174,7 +174,7 @@ def shared_prosperity(
     rows, cdf = _staged(df, value, weight, by)
     means = _group(cdf, by, weighted_mean_col("value", "weight").alias("mean_income"))
     shares = _bottom_and_top(rows, cdf, by)
-    joined = _with_groups(means, shares, by).withColumns(_prosperity(F.col("mean_income")))
+    joined = _with_prosperity(_with_groups(means, shares, by))
     return joined.select(*by, "mean_income", "mean_b40", "premium_pct", "anomali_b40")
 
 
@@ -190,6 +190,11 @@ def inequality_summary(
     """
     by = list(by)
     rows, cdf = _staged(df, value, weight, by)
+    return summary_from(rows, cdf, by)
+
+
+def summary_from(rows: DataFrame, cdf: DataFrame, by: list[str]) -> DataFrame:
+    """The summary from a staged cdf and the rows it was made of."""
     base = _group(
         cdf,
         by,
@@ -202,8 +207,7 @@ def inequality_summary(
     shares = _bottom_and_top(rows, cdf, by)
     poverty = _below_half_median(cdf, base, by)
     joined = _with_groups(_with_groups(base, shares, by), poverty, by)
-    joined = joined.withColumns(_prosperity(F.col("mean_income")))
-    return joined.select(
+    return _with_prosperity(joined).select(
         *by,
         "gini",
         "theil",
@@ -218,7 +222,10 @@ def inequality_summary(
 
 def inequality_table(silver: DataFrame) -> DataFrame:
     """The published aggregate table, one sorted row per country and year."""
-    summary = inequality_summary(silver)
+    return published_summary(inequality_summary(silver))
+
+
+def published_summary(summary: DataFrame) -> DataFrame:
     return summary.select(
         F.col("COUNTRY").alias("country"),
         country_label("COUNTRY").alias("country_name"),

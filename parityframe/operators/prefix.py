@@ -12,10 +12,10 @@ by a third of all rows costs one row here and a cell holds distinct values only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parityframe.workspace import join_groups
+from parityframe.workspace import join_groups, quoted, stage
 
 CELLS_PER_OCTAVE = 4096
 _EXPONENT_SHIFT = 1100  # above any exponent of a double
@@ -27,11 +27,11 @@ CDF_COLUMNS = [
 ]
 
 
-def cell_of(value: Column, cells_per_octave: int = CELLS_PER_OCTAVE) -> Column:
+def cell_of(value: str, cells_per_octave: int = CELLS_PER_OCTAVE) -> Column:
     """Integer that never decreases as ``value`` grows; 0 for zero, negative below it."""
-    octave = F.least(F.log2(F.abs(value)), F.lit(1025.0)) + F.lit(float(_EXPONENT_SHIFT))
-    size = F.floor(octave * cells_per_octave).cast("int") + 1
-    return F.when(value == 0, 0).when(value > 0, size).otherwise(-size)
+    octave = f"least(log2(abs({value})), 1025D) + {_EXPONENT_SHIFT}D"
+    size = f"(CAST(floor(({octave}) * {cells_per_octave}) AS INT) + 1)"
+    return F.expr(f"CASE WHEN {value} = 0 THEN 0 WHEN {value} > 0 THEN {size} ELSE -{size} END")
 
 
 def running_totals(
@@ -44,26 +44,38 @@ def running_totals(
     """Add ``<s>_before`` (total of the earlier rows) and ``<s>_total`` for every ``s`` in ``sums``.
 
     ``df`` must hold one row per ``keys`` and ``order``; ``order`` must be a non-null number.
+    It is written first, since cells and cell totals are both taken from it: without that the
+    optimizer prunes the two branches differently and scans the input of ``df`` twice.
     """
-    df = df.withColumn("_cell", cell_of(F.col(order), cells_per_octave))
-    earlier = (Window.unboundedPreceding, -1)
-    inside = Window.partitionBy(*keys, "_cell").orderBy(order).rowsBetween(*earlier)
-    along = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(*earlier)
-    whole = Window.partitionBy(*keys)
-    zero = F.lit(0.0)
-
-    leaves = df.withColumns({f"_in_{s}": F.coalesce(F.sum(s).over(inside), zero) for s in sums})
-    cells = df.groupBy(*keys, "_cell").agg(*[F.sum(s).alias(f"_cell_{s}") for s in sums])
-    offsets = cells.select(
-        *keys,
+    df = stage(df.withColumn("_cell", cell_of(order, cells_per_octave)), "blocks")
+    group = ", ".join(map(quoted, keys))
+    whole = f"PARTITION BY {group}" if keys else ""
+    cell = f"PARTITION BY {group}, _cell" if keys else "PARTITION BY _cell"
+    earlier = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+    leaves = df.selectExpr(
+        "*",
+        *[
+            f"coalesce(sum({s}) OVER ({cell} ORDER BY {order} {earlier}), 0D) AS _in_{s}"
+            for s in sums
+        ],
+    )
+    cells = df.groupBy(*keys, "_cell").agg(*[F.sum(s).alias(s) for s in sums])
+    offsets = cells.selectExpr(
+        *map(quoted, keys),
         "_cell",
-        *[F.coalesce(F.sum(f"_cell_{s}").over(along), zero).alias(f"_off_{s}") for s in sums],
-        *[F.sum(f"_cell_{s}").over(whole).alias(f"{s}_total") for s in sums],
+        *[
+            f"coalesce(sum({s}) OVER ({whole} ORDER BY _cell {earlier}), 0D) AS _off_{s}"
+            for s in sums
+        ],
+        *[f"sum({s}) OVER ({whole}) AS {s}_total" for s in sums],
     )
     joined = join_groups(leaves, offsets, [*keys, "_cell"])
-    return joined.withColumns(
-        {f"{s}_before": F.col(f"_off_{s}") + F.col(f"_in_{s}") for s in sums}
-    ).drop("_cell", *[f"_in_{s}" for s in sums], *[f"_off_{s}" for s in sums])
+    return joined.selectExpr(
+        *[quoted(c) for c in df.columns if c != "_cell"],
+        *[f"_off_{s} + _in_{s} AS {s}_before" for s in sums],
+        *[f"{s}_total" for s in sums],
+    )
 
 
 def weighted_rows(
@@ -88,10 +100,8 @@ def weighted_rows(
         w.alias("w"),
         *[c.cast("double").alias(name) for name, c in (extra or {}).items()],
     )
-    usable = F.col("value").isNotNull() & ~F.isnan("value") & F.col("w").isNotNull()
-    if not keep_negative:
-        usable = usable & (F.col("value") >= 0)
-    return rows.filter(usable)
+    usable = "value IS NOT NULL AND NOT isnan(value) AND w IS NOT NULL"
+    return rows.filter(usable if keep_negative else f"{usable} AND value >= 0")
 
 
 def weighted_cdf(
@@ -102,19 +112,25 @@ def weighted_cdf(
 ) -> DataFrame:
     """One row per group and distinct value, with the weight and income that lie before it.
 
+    The rows are scanned once, when this is called, and collapsed into a stored table.
+
     ``rows`` comes from :func:`weighted_rows`. ``weight``, ``weight_sq``, ``weight_min`` and
     ``weight_max`` describe the weights of the rows sharing the value, ``income`` is value times
     weight, ``*_total`` are group totals. Each name in ``extra`` gets the same three columns.
     """
+    sums = ["weight", "income", *extra]
+    cdf = running_totals(collapse(rows, by, extra), by, "value", sums, cells_per_octave)
+    return cdf.select(*by, *CDF_COLUMNS, *[n + end for n in extra for end in ("", *_ENDS)])
+
+
+def collapse(rows: DataFrame, by: list[str], extra: list[str] = ()) -> DataFrame:
+    """One row per group and distinct value, with map-side combining."""
     blocks = rows.groupBy(*by, "value").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("w").alias("weight"),
-        F.sum(F.col("w") * F.col("w")).alias("weight_sq"),
-        F.min("w").alias("weight_min"),
-        F.max("w").alias("weight_max"),
+        F.expr("count(*) AS n"),
+        F.expr("sum(w) AS weight"),
+        F.expr("sum(w * w) AS weight_sq"),
+        F.expr("min(w) AS weight_min"),
+        F.expr("max(w) AS weight_max"),
         *[F.sum(name).alias(name) for name in extra],
     )
-    blocks = blocks.withColumn("income", F.col("value") * F.col("weight"))
-    sums = ["weight", "income", *extra]
-    cdf = running_totals(blocks, by, "value", sums, cells_per_octave)
-    return cdf.select(*by, *CDF_COLUMNS, *[n + end for n in extra for end in ("", *_ENDS)])
+    return blocks.selectExpr("*", "value * weight AS income")

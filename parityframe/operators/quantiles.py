@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parityframe import constants as C
+from parityframe.functions.labels import cut
 from parityframe.operators.bands import weight_bands
 from parityframe.operators.prefix import weighted_cdf, weighted_rows
-from parityframe.workspace import attach_groups, stage
+from parityframe.workspace import attach_groups, quoted, stage
 
 
 def count_cdf(df: DataFrame, value: str, by: list[str]) -> DataFrame:
@@ -26,15 +27,14 @@ def quantile_col(p: float, kind: str = "linear", of: str = "weight") -> Column:
     ``linear`` interpolates between the two nearest ranks, ``discrete`` is the first value that
     reaches the share ``p`` of the rows.
     """
-    before, size, total = F.col(f"{of}_before"), F.col(of), F.col(f"{of}_total")
-    value = F.col("value")
+    before, total = f"{of}_before", f"{of}_total"
     if kind == "discrete":
-        return F.min(F.when(before + size >= F.lit(p) * total, value))
-    position = (total - 1) * F.lit(p)
-    low = F.max(F.when(before <= F.floor(position), value))
-    high = F.max(F.when(before <= F.ceil(position), value))
-    part = F.max(position - F.floor(position))
-    return low + (high - low) * part
+        return F.expr(f"min(CASE WHEN {before} + {of} >= {p!r}D * {total} THEN value END)")
+    position = f"(({total} - 1) * {p!r}D)"
+    low = f"max(CASE WHEN {before} <= floor({position}) THEN value END)"
+    high = f"max(CASE WHEN {before} <= ceil({position}) THEN value END)"
+    part = f"max({position} - floor({position}))"
+    return F.expr(f"{low} + ({high} - {low}) * {part}")
 
 
 def quantiles(
@@ -71,33 +71,37 @@ def quantile_shares(
     """
     by = list(by)
     rows = weighted_rows(df, value, weight, by)
-    cdf = stage(weighted_cdf(rows, by), "cdf")
+    return shares_from(rows, stage(weighted_cdf(rows, by), "cdf"), by, n)
+
+
+def shares_from(rows: DataFrame, cdf: DataFrame, by: list[str], n: int = 5) -> DataFrame:
+    """Quantile shares from a staged cdf and the rows it was made of."""
     pieces = weight_bands(rows, cdf, by, [i / n for i in range(1, n)])
-    parts = (
-        pieces.filter(F.col("weight_reached") > 0)
-        .groupBy(*by, "band")
-        .agg(
-            F.min("value").alias("lower_bound"),
-            F.max("value").alias("upper_bound"),
-            F.sum("weight").alias("_weight"),
-            F.sum("income").alias("_income"),
-            F.max("income_total").alias("_total"),
-        )
-    )
-    share = F.when(F.col("_total") > 0, F.col("_income") / F.col("_total")).otherwise(0.0)
-    return parts.select(
-        *by,
-        (F.col("band") + 1).alias("quantile"),
+    parts = pieces.filter("weight_reached > 0").groupBy(*by, "band")
+    return parts.agg(
+        F.expr("min(value) AS lower_bound"),
+        F.expr("max(value) AS upper_bound"),
+        F.expr("try_divide(sum(income), sum(weight)) AS mean_income"),
+        F.expr(
+            "if(max(income_total) > 0, sum(income) / max(income_total), 0D) AS income_share"
+        ),
+    ).selectExpr(
+        *map(quoted, by),
+        "band + 1 AS quantile",
         "lower_bound",
         "upper_bound",
-        F.try_divide("_income", "_weight").alias("mean_income"),
-        share.alias("income_share"),
+        "mean_income",
+        "income_share",
     )
 
 
 def quintile_table(silver: DataFrame, n: int = 5) -> DataFrame:
     """The published quintile table, sorted by country, year and quintile."""
     shares = quantile_shares(silver, "income_analysis", "PERWT", ["COUNTRY", "YEAR"], n)
+    return published_quintiles(shares)
+
+
+def published_quintiles(shares: DataFrame) -> DataFrame:
     return shares.select(
         "quantile",
         "lower_bound",
@@ -112,13 +116,9 @@ def quintile_table(silver: DataFrame, n: int = 5) -> DataFrame:
 def _edges(df: DataFrame, value: str, q: int, by: list[str]) -> DataFrame:
     probs = {f"_edge_{i}": i / q for i in range(q + 1)}
     edges = quantiles(df, value, probs, by)
-    distinct = F.lit(True)
-    for i in range(q):
-        distinct = distinct & (F.col(f"_edge_{i}") < F.col(f"_edge_{i + 1}"))
-    first = F.when(distinct, F.col("_edge_0")).otherwise(
-        F.raise_error(F.lit("quantile edges are not distinct")).cast("double")
-    )
-    return edges.withColumn("_edge_0", first)
+    distinct = " AND ".join(f"_edge_{i} < _edge_{i + 1}" for i in range(q))
+    fail = "CAST(raise_error('quantile edges are not distinct') AS DOUBLE)"
+    return edges.withColumn("_edge_0", F.expr(f"if({distinct}, _edge_0, {fail})"))
 
 
 def qcut(
@@ -131,11 +131,9 @@ def qcut(
     """
     by = list(by)
     marked = attach_groups(df, _edges(df, value, q, by), by)
-    x = F.col(value)
-    label = F.when((x >= F.col("_edge_0")) & (x <= F.col("_edge_1")), 1)
-    for i in range(1, q):
-        label = label.when((x > F.col(f"_edge_{i}")) & (x <= F.col(f"_edge_{i + 1}")), i + 1)
-    return marked.withColumn(name, label).drop(*[f"_edge_{i}" for i in range(q + 1)])
+    edges = [f"_edge_{i}" for i in range(q + 1)]
+    label = cut(quoted(value), edges, list(range(1, q + 1)), include_lowest=True)
+    return marked.withColumn(name, label).drop(*edges)
 
 
 def qcut_summary(df: DataFrame, value: str, q: int = 5, by: list[str] = ()) -> DataFrame:
@@ -156,9 +154,8 @@ def iqr_outliers(df: DataFrame, value: str, by: list[str] = (), factor: float =
     """Rows outside the quartiles widened by ``factor`` times their distance."""
     by = list(by)
     marked = attach_groups(df, quantiles(df, value, {"_q1": 0.25, "_q3": 0.75}, by), by)
-    margin = F.lit(factor) * (F.col("_q3") - F.col("_q1"))
-    x = F.col(value)
-    outside = (x < F.col("_q1") - margin) | (x > F.col("_q3") + margin)
+    margin = f"{float(factor)!r}D * (_q3 - _q1)"
+    outside = f"{quoted(value)} < _q1 - {margin} OR {quoted(value)} > _q3 + {margin}"
     return marked.filter(outside).drop("_q1", "_q3")
 
 

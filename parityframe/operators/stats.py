@@ -19,29 +19,34 @@ from parityframe.operators.quantiles import count_cdf, quantile_col, quantiles
 from parityframe.workspace import join_groups, stage
 
 
-def _mean() -> Column:
-    return F.try_divide(F.max("income_total"), F.max("weight_total"))
+def _mean(of: str = "weight", amount: str = "income") -> Column:
+    return F.expr(f"try_divide(max({amount}_total), max({of}_total))")
 
 
-def _stddev() -> Column:
+def _stddev(of: str = "weight", amount: str = "income") -> Column:
     """Sample deviation, taken around the group mean each cdf row carries."""
-    mean = F.try_divide("income_total", "weight_total")
-    spread = F.sum(F.col("weight") * (F.col("value") - mean) * (F.col("value") - mean))
-    return F.sqrt(F.try_divide(spread, F.max("weight_total") - 1))
+    gap = f"(value - try_divide({amount}_total, {of}_total))"
+    return F.expr(f"sqrt(try_divide(sum({of} * {gap} * {gap}), max({of}_total) - 1))")
 
 
 def income_stats(
     df: DataFrame, value: str = "income_analysis", by: list[str] = ("COUNTRY", "YEAR")
 ) -> DataFrame:
     """Unweighted mean, median, deviation, range and count per group; the median is exact."""
-    by = list(by)
-    return count_cdf(df, value, by).groupBy(*by).agg(
-        _mean().alias("mean_income"),
-        quantile_col(0.5, "discrete").alias("median_income"),
-        _stddev().alias("std_income"),
-        F.min("value").alias("min_income"),
-        F.max("value").alias("max_income"),
-        F.sum("n").alias("n_obs"),
+    return stats_from(count_cdf(df, value, list(by)), list(by))
+
+
+def stats_from(
+    cdf: DataFrame, by: list[str], of: str = "weight", amount: str = "income"
+) -> DataFrame:
+    """The statistics from a cdf with row counts ``of`` and their income ``amount``."""
+    return cdf.groupBy(*by).agg(
+        _mean(of, amount).alias("mean_income"),
+        quantile_col(0.5, "discrete", of).alias("median_income"),
+        _stddev(of, amount).alias("std_income"),
+        F.expr("min(value) AS min_income"),
+        F.expr("max(value) AS max_income"),
+        F.expr("sum(n) AS n_obs"),
     )
 
 

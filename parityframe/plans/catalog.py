@@ -198,7 +198,7 @@ def income_category(spark, sf_dir):
 
 @query
 def label_sex(spark, sf_dir):
-    strict = L.sex_label(F.col("SEX") + F.col("EMPSTAT"), strict=True)
+    strict = L.sex_label("SEX + EMPSTAT", strict=True)
     df = persons(spark, sf_dir)
     return df.select(*ID, "SEX", L.sex_label().alias("sex_label"), strict.alias("strict_label"))
 
@@ -226,7 +226,7 @@ def label_education(spark, sf_dir):
 
 @query
 def label_age_decade(spark, sf_dir):
-    younger = F.col("AGE") - 5
+    younger = "AGE - 5"
     return persons(spark, sf_dir).select(
         *ID,
         "AGE",

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parityframe.operators.demographics import DIMENSIONS, demographic_base, roll_up
-from parityframe.operators.inequality import inequality_table
-from parityframe.operators.quantiles import quintile_table
+from parityframe.operators.inequality import published_summary, summary_from
+from parityframe.operators.prefix import weighted_cdf, weighted_rows
+from parityframe.operators.quantiles import published_quintiles, shares_from
 from parityframe.operators.refine import refine
-from parityframe.operators.stats import income_stats
+from parityframe.operators.stats import stats_from
 from parityframe.sources.ingest import ensure_bronze, load_gold, write_table
 from parityframe.workspace import stage
 
@@ -20,12 +22,22 @@ def build_silver(bronze: DataFrame, path: str, **refine_options) -> DataFrame:
 
 
 def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
-    """The aggregate tables over all rows of a stored refined table."""
+    """The aggregate tables over all rows of a stored refined table.
+
+    All income tables come from one cumulative table, weighted and unweighted totals side by
+    side; all head counts from one table by all labels. So the rows are scanned twice, and once
+    more for the few values that straddle a quantile.
+    """
+    by, income = ["COUNTRY", "YEAR"], "income_analysis"
+    plain = {"head": F.lit(1.0), "head_income": F.col(income)}
+    rows = weighted_rows(silver, income, "PERWT", by, extra=plain)
+    cdf = stage(weighted_cdf(rows, by, extra=list(plain)), "cdf")
     people = stage(demographic_base(silver), "demographics")
+    stats = stats_from(cdf, by, "head", "head_income")
     tables = {
-        "gold_gini_by_year": inequality_table(silver),
-        "gold_quintile_by_year": quintile_table(silver),
-        "gold_theil_by_year": income_stats(silver).orderBy("COUNTRY", "YEAR"),
+        "gold_gini_by_year": published_summary(summary_from(rows, cdf, by)),
+        "gold_quintile_by_year": published_quintiles(shares_from(rows, cdf, by)),
+        "gold_theil_by_year": stats.orderBy(*by),
     }
     for name in DIMENSIONS:
         tables[f"gold_demog_{name}"] = roll_up(people, name)

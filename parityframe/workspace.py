@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_ROOTS: dict[str, str] = {}
@@ -46,23 +46,21 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def same_group(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
-    """Null-safe equality of key pairs, so that a null key is a group like in ``groupBy``."""
-    condition = F.lit(True)
-    for mine, theirs in pairs:
-        condition = condition & left[mine].eqNullSafe(right[theirs])
-    return condition
+def quoted(name: str) -> str:
+    """A column name for use inside SQL text."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def join_groups(left: DataFrame, right: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
     """Join ``right`` (unique per ``by``) to ``left`` on ``by``, keeping one copy of the keys.
 
-    No hint is given: the planner broadcasts ``right`` when it knows it to be small, else it
-    shuffles, with skewed keys of ``left`` split by adaptive execution.
+    Keys are compared null-safely, so that a null key is a group like in ``groupBy``. No hint is
+    given: the planner broadcasts ``right`` when it knows it to be small, else it shuffles, with
+    skewed keys of ``left`` split by adaptive execution.
     """
     renamed = {name: f"_right_{i}" for i, name in enumerate(by)}
-    other = right.withColumnsRenamed(renamed)
-    joined = left.join(other, same_group(left, other, list(renamed.items())), how)
+    same = " AND ".join(f"{quoted(mine)} <=> {theirs}" for mine, theirs in renamed.items())
+    joined = left.join(right.withColumnsRenamed(renamed), F.expr(same), how)
     return joined.drop(*renamed.values())
 
 

@@ -267,7 +267,7 @@ def test_cells_follow_the_order_of_values(spark):
         rng.normal(0, 1e5, 2000), rng.lognormal(0, 20, 2000), 2.0 ** rng.integers(-50, 50, 200),
     ]
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    rows = df.select("v", prefix.cell_of(F.col("v")).alias("c")).orderBy("v", "c").collect()
+    rows = df.select("v", prefix.cell_of("v").alias("c")).orderBy("v", "c").collect()
     cells = [row["c"] for row in rows]
     assert cells == sorted(cells) and None not in cells
 

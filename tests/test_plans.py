@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from parityframe.operators import inequality, refine
+from parityframe.operators.prefix import collapse, weighted_rows
 from parityframe.plans.catalog import BY, ID, INCOME, QUERIES, WEIGHT, incomes, silver
 from parityframe.plans.persons import TIE_BREAK, persons
 from tests.conftest import SF
@@ -28,27 +29,39 @@ def test_no_python_and_no_cross_join(spark, key):
         assert node not in text
 
 
-@pytest.mark.parametrize("by", [BY, ["COUNTRY"]])
-def test_rows_are_collapsed_before_the_shuffle(stored, by):
-    text = plan(inequality.gini(stored, INCOME, WEIGHT, by))
-    scan = text.splitlines()
-    first_exchange = max(i for i, line in enumerate(scan) if "Exchange" in line)
-    assert "HashAggregate" in scan[first_exchange + 1] and "partial_sum" in scan[first_exchange + 1]
-    assert "SinglePartition" not in text
-
-
-def test_ungrouped_gini_orders_only_cells_in_one_task(stored):
-    lines = plan(inequality.gini(stored, INCOME, WEIGHT)).splitlines()
-    for i, line in enumerate(lines):
-        if "SinglePartition" in line:
-            assert "HashAggregate" in lines[i + 1]  # an aggregate per cell, or the final sums
-            assert "_cell" in lines[i + 1] or "partial_" in lines[i + 1]
+@pytest.mark.parametrize("by", [BY, ["COUNTRY"], []])
+def test_rows_are_collapsed_before_the_only_shuffle_of_rows(stored, by):
+    lines = plan(collapse(weighted_rows(stored, INCOME, WEIGHT, by), by)).splitlines()
+    exchanges = [i for i, line in enumerate(lines) if "Exchange" in line]
+    assert len(exchanges) == 1
+    below = lines[exchanges[0] + 1]
+    assert "HashAggregate" in below and "partial_sum" in below
+    assert "hashpartitioning" in lines[exchanges[0]] and "value" in lines[exchanges[0]]
 
 
 def test_only_needed_columns_and_rows_are_read(stored):
-    text = plan(inequality.gini(stored, INCOME, WEIGHT, ["COUNTRY"]))
+    by = ["COUNTRY"]
+    text = plan(collapse(weighted_rows(stored, INCOME, WEIGHT, by), by))
     assert "YEAR" not in text
     assert "PushedFilters: [IsNotNull(income_analysis), IsNotNull(PERWT)" in text
+    assert "GreaterThanOrEqual(income_analysis,0.0)" in text
+
+
+@pytest.mark.parametrize("by", [BY, []])
+def test_measures_read_the_rows_once(stored, by):
+    """What follows the collapse is planned on the stored table of distinct values."""
+    (source,) = stored.inputFiles()[:1]
+    folder = source.rsplit("/", 1)[0].split(":", 1)[-1].lstrip("/")
+    assert folder not in plan(inequality.gini(stored, INCOME, WEIGHT, by))
+
+
+def test_only_cells_meet_in_one_task(stored):
+    """Without groups a window over the cell totals, and nothing longer, is unpartitioned."""
+    lines = plan(inequality.gini(stored, INCOME, WEIGHT)).splitlines()
+    single = [i for i, line in enumerate(lines) if "SinglePartition" in line]
+    assert single
+    for i in single:
+        assert "HashAggregate" in lines[i + 1]
 
 
 def test_dedup_limits_copies_before_the_shuffle(spark):
