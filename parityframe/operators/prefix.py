@@ -7,7 +7,8 @@ cell, cell totals are accumulated over the short list of cells, and both are add
 needs no sampled or approximate split points, so a recomputed task always gets the same cells.
 
 Rows are first collapsed to one per distinct value, with map-side combining, so a value shared
-by a third of all rows costs one row here and a cell holds distinct values only.
+by a third of all rows costs one row here and a cell holds distinct values only. Should very
+many distinct values crowd into one cell, that cell is cut again around its own minimum.
 """
 
 from __future__ import annotations
@@ -18,8 +19,10 @@ from pyspark.sql import functions as F
 from parityframe.workspace import join_groups, quoted, stage
 
 CELLS_PER_OCTAVE = 4096
+CELL_ROWS = 2_000_000  # distinct values a single task may order
 _EXPONENT_SHIFT = 1100  # above any exponent of a double
 
+_EARLIER = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 _ENDS = ("_before", "_total")
 CDF_COLUMNS = [
     "value", "n", "weight", "weight_sq", "weight_min", "weight_max",
@@ -47,37 +50,66 @@ def running_totals(
     It is written first, since cells and cell totals are both taken from it: without that the
     optimizer prunes the two branches differently and scans the input of ``df`` twice.
     """
-    df = stage(df.withColumn("_cell", cell_of(order, cells_per_octave)), "blocks")
+    columns = df.columns
+    cell = f"_cell{sum(k.startswith('_cell') for k in keys)}"
+    df = stage(df.withColumn(cell, cell_of(order, cells_per_octave)), "blocks")
     group = ", ".join(map(quoted, keys))
     whole = f"PARTITION BY {group}" if keys else ""
-    cell = f"PARTITION BY {group}, _cell" if keys else "PARTITION BY _cell"
-    earlier = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-
-    leaves = df.selectExpr(
-        "*",
-        *[
-            f"coalesce(sum({s}) OVER ({cell} ORDER BY {order} {earlier}), 0D) AS _in_{s}"
-            for s in sums
-        ],
-    )
-    cells = df.groupBy(*keys, "_cell").agg(*[F.sum(s).alias(s) for s in sums])
+    inside = [*keys, cell]
+
+    if _crowded(df, inside):
+        leaves = _inside_crowded_cells(df, inside, order, sums, cells_per_octave)
+    else:
+        part = f"PARTITION BY {', '.join(map(quoted, inside))} ORDER BY {order} {_EARLIER}"
+        leaves = df.selectExpr(
+            "*", *[f"coalesce(sum({s}) OVER ({part}), 0D) AS _in_{s}" for s in sums]
+        )
+    cells = df.groupBy(*inside).agg(*[F.sum(s).alias(s) for s in sums])
     offsets = cells.selectExpr(
-        *map(quoted, keys),
-        "_cell",
+        *map(quoted, inside),
         *[
-            f"coalesce(sum({s}) OVER ({whole} ORDER BY _cell {earlier}), 0D) AS _off_{s}"
+            f"coalesce(sum({s}) OVER ({whole} ORDER BY {cell} {_EARLIER}), 0D) AS _off_{s}"
             for s in sums
         ],
         *[f"sum({s}) OVER ({whole}) AS {s}_total" for s in sums],
     )
-    joined = join_groups(leaves, offsets, [*keys, "_cell"])
+    joined = join_groups(leaves, offsets, inside)
     return joined.selectExpr(
-        *[quoted(c) for c in df.columns if c != "_cell"],
+        *map(quoted, columns),
         *[f"_off_{s} + _in_{s} AS {s}_before" for s in sums],
         *[f"{s}_total" for s in sums],
     )
 
 
+def _crowded(df: DataFrame, cell: list[str]) -> bool:
+    """Whether some cell of the stored table holds more rows than one task should order.
+
+    The row count alone, read from file footers, settles it for all but large tables.
+    """
+    if df.count() <= CELL_ROWS:
+        return False
+    return df.groupBy(*cell).count().agg(F.max("count")).first()[0] > CELL_ROWS
+
+
+def _inside_crowded_cells(
+    df: DataFrame, cell: list[str], order: str, sums: list[str], cells_per_octave: int
+) -> DataFrame:
+    """Totals inside each cell, cut again by the distance from its smallest value.
+
+    Values of a cell differ by less than a factor of two, so the subtraction is exact and keeps
+    them apart; the distances spread over many octaves however close the values lie.
+    """
+    lowest = df.groupBy(*cell).agg(F.expr(f"min({order}) AS _lowest"))
+    shift = f"_shift{cell[-1]}"
+    shifted = join_groups(df, lowest, cell).selectExpr(
+        *map(quoted, df.columns), f"{order} - _lowest AS {shift}"
+    )
+    inner = running_totals(shifted, cell, shift, sums, cells_per_octave)
+    return inner.selectExpr(
+        *map(quoted, df.columns), *[f"{s}_before AS _in_{s}" for s in sums]
+    )
+
+
 def weighted_rows(
     df: DataFrame,
     value: str,
