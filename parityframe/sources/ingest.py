@@ -58,12 +58,22 @@ def ensure_bronze(
         if not path_exists(spark, source):
             logger.error("source file not found: %s", source)
             return None
-        write_table(add_lineage(read_persons_csv(spark, source), source), target, partition_by)
+        raw = add_lineage(read_persons_csv(spark, source), source)
+        write_table(raw, target, partition_by, rebalance=True)
     return spark.read.parquet(target)
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
-    """Overwrite a Parquet table, optionally in one folder per partition value."""
+def write_table(
+    df: DataFrame, path: str, partition_by: list[str] = (), rebalance: bool = False
+) -> None:
+    """Overwrite a Parquet table, optionally in one folder per partition value.
+
+    Every task writes a file per partition value it holds. When tasks are many and mixed, as
+    after a scan, ``rebalance`` brings the rows of a partition together first, in files of even
+    size: large partitions are split, small ones share a task.
+    """
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *[F.col(name) for name in partition_by])
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

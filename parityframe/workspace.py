@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_STAGED: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -43,9 +44,23 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    _STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the tables this process has staged, when nothing built on them is needed any more.
+
+    Returns how many there were. Other content of the scratch folder is not touched.
+    """
+    removed = 0
+    while _STAGED:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        removed += bool(fs.delete(target, True))
+    return removed
+
+
 def quoted(name: str) -> str:
     """A column name for use inside SQL text."""
     return "`" + name.replace("`", "``") + "`"

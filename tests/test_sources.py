@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parityframe import constants as C
+from parityframe import workspace
 from parityframe.plans import stages
 from parityframe.plans.persons import persons
 from parityframe.sources import ingest
@@ -115,3 +116,30 @@ def test_attach_groups_keeps_null_keys(spark):
     assert [(r["v"], r["t"]) for r in got] == [(1, 10), (2, 20)]
     single = attach_groups(rows.select("v"), groups.agg(F.sum("t").alias("t")), [])
     assert {r["t"] for r in single.collect()} == {30}
+
+
+def test_rebalanced_partitions_have_few_files(spark, tmp_path):
+    df = persons(spark, SF).repartition(16)
+    for name, rebalance in (("plain", False), ("even", True)):
+        ingest.write_table(df, str(tmp_path / name), ["COUNTRY"], rebalance)
+    files = {n: len(list((tmp_path / n).glob("*/*.parquet"))) for n in ("plain", "even")}
+    assert files == {"plain": 48, "even": 3}
+    even = spark.read.parquet(str(tmp_path / "even"))
+    assert even.count() == df.count()
+
+
+def test_release_deletes_only_what_was_staged(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(workspace, "_STAGED", [])
+    monkeypatch.setattr(workspace, "scratch_root", lambda _: str(tmp_path))
+    (tmp_path / "other").mkdir()
+    workspace.stage(spark.range(3))
+    assert len(list(tmp_path.iterdir())) == 2
+    assert workspace.release(spark) == 1
+    assert [p.name for p in tmp_path.iterdir()] == ["other"]
+
+
+def test_partitioned_ingest(spark, csv_file, tmp_path):
+    target = str(tmp_path / "bronze")
+    ingest.ensure_bronze(spark, csv_file, target, ["COUNTRY", "YEAR"])
+    df = ingest.partition_preview(spark, target, 484, 2010)
+    assert [r["INCEARN"] for r in df.collect()] == [300.0]
