@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parityframe.operators.prefix import running_totals
-from parityframe.workspace import join_groups, quoted
+from parityframe.workspace import join_groups, quoted, stage
 
 BROADCAST_ROWS = 100_000  # a few small columns each: some megabytes
 WINDOW_ROWS = 1_000_000  # rows of one value a single task may order
@@ -115,11 +115,14 @@ def weight_bands(
     by: list[str],
     cuts: list[float],
     inclusive: list[bool] | None = None,
+    reuse: bool = False,
 ) -> DataFrame:
     """Split the group totals of ``cdf`` at the cut fractions.
 
     ``rows`` is the input of the cdf, scanned again only for values that straddle a cut with
-    unequal weights. ``cdf`` should be a staged table, since it is read several times.
+    unequal weights. ``cdf`` should be a staged table, since it is read several times. With
+    ``reuse`` the few split values are stored, so that several results can be taken from the
+    bands at the price of one such scan.
     Result: one row per group, band and value with ``n``, ``weight`` and ``income``.
     """
     inclusive = inclusive or [False] * len(cuts)
@@ -153,4 +156,5 @@ def weight_bands(
         )
         uneven = _runs(rows, mixed, by, sizes["mixed"], sizes["largest"])
         units = uneven if sizes["mixed"] == sizes["all"] else even.unionByName(uneven)
-    return pieces.unionByName(_slice(units, by, cuts, inclusive))
+    split = _slice(units, by, cuts, inclusive)
+    return pieces.unionByName(stage(split, "split") if reuse else split)

@@ -82,12 +82,14 @@ def _staged(df: DataFrame, value: str, weight: str | None, by: list[str]):
     return rows, stage(weighted_cdf(rows, by), "cdf")
 
 
-def bottom_and_top_shares(pieces: DataFrame, by: list[str]) -> DataFrame:
-    """Totals of the bottom (band 0) and the top (band 2) of each group."""
+def bottom_and_top_shares(
+    pieces: DataFrame, by: list[str], bottom: int = 0, top: int = 2
+) -> DataFrame:
+    """Totals of each group up to band ``bottom`` and from band ``top`` on."""
     return pieces.groupBy(*by).agg(
-        F.expr("coalesce(sum(CASE WHEN band = 0 THEN income END), 0D) AS bottom_income"),
-        F.expr("coalesce(sum(CASE WHEN band = 0 THEN weight END), 0D) AS bottom_weight"),
-        F.expr("coalesce(sum(CASE WHEN band = 2 THEN income END), 0D) AS top_income"),
+        F.expr(f"coalesce(sum(if(band <= {bottom}, income, NULL)), 0D) AS bottom_income"),
+        F.expr(f"coalesce(sum(if(band <= {bottom}, weight, NULL)), 0D) AS bottom_weight"),
+        F.expr(f"coalesce(sum(if(band >= {top}, income, NULL)), 0D) AS top_income"),
     )
 
 
@@ -190,11 +192,11 @@ def inequality_summary(
     """
     by = list(by)
     rows, cdf = _staged(df, value, weight, by)
-    return summary_from(rows, cdf, by)
+    return summary_from(cdf, _bottom_and_top(rows, cdf, by), by)
 
 
-def summary_from(rows: DataFrame, cdf: DataFrame, by: list[str]) -> DataFrame:
-    """The summary from a staged cdf and the rows it was made of."""
+def summary_from(cdf: DataFrame, shares: DataFrame, by: list[str]) -> DataFrame:
+    """The summary from a staged cdf and the bottom and top shares taken from it."""
     base = _group(
         cdf,
         by,
@@ -204,7 +206,6 @@ def summary_from(rows: DataFrame, cdf: DataFrame, by: list[str]) -> DataFrame:
         weighted_median_col().alias("median"),
         F.sum("n").alias("n_obs"),
     )
-    shares = _bottom_and_top(rows, cdf, by)
     poverty = _below_half_median(cdf, base, by)
     joined = _with_groups(_with_groups(base, shares, by), poverty, by)
     return _with_prosperity(joined).select(

@@ -71,27 +71,20 @@ def quantile_shares(
     """
     by = list(by)
     rows = weighted_rows(df, value, weight, by)
-    return shares_from(rows, stage(weighted_cdf(rows, by), "cdf"), by, n)
+    cdf = stage(weighted_cdf(rows, by), "cdf")
+    return shares_from(weight_bands(rows, cdf, by, [i / n for i in range(1, n)]), by)
 
 
-def shares_from(rows: DataFrame, cdf: DataFrame, by: list[str], n: int = 5) -> DataFrame:
-    """Quantile shares from a staged cdf and the rows it was made of."""
-    pieces = weight_bands(rows, cdf, by, [i / n for i in range(1, n)])
-    parts = pieces.filter("weight_reached > 0").groupBy(*by, "band")
-    return parts.agg(
+def shares_from(pieces: DataFrame, by: list[str], quantile: str = "band + 1") -> DataFrame:
+    """Quantile shares from bands; ``quantile`` tells in SQL which part a band belongs to."""
+    pieces = pieces.filter("weight_reached > 0").selectExpr("*", f"{quantile} AS quantile")
+    return pieces.groupBy(*by, "quantile").agg(
         F.expr("min(value) AS lower_bound"),
         F.expr("max(value) AS upper_bound"),
         F.expr("try_divide(sum(income), sum(weight)) AS mean_income"),
         F.expr(
             "if(max(income_total) > 0, sum(income) / max(income_total), 0D) AS income_share"
         ),
-    ).selectExpr(
-        *map(quoted, by),
-        "band + 1 AS quantile",
-        "lower_bound",
-        "upper_bound",
-        "mean_income",
-        "income_share",
     )
 
 

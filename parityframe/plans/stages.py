@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parityframe.operators.bands import weight_bands
 from parityframe.operators.demographics import DIMENSIONS, demographic_base, roll_up
-from parityframe.operators.inequality import published_summary, summary_from
+from parityframe.operators.inequality import (
+    bottom_and_top_shares,
+    published_summary,
+    summary_from,
+)
 from parityframe.operators.prefix import weighted_cdf, weighted_rows
 from parityframe.operators.quantiles import published_quintiles, shares_from
 from parityframe.operators.refine import refine
@@ -26,7 +31,8 @@ def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
 
     All income tables come from one cumulative table, weighted and unweighted totals side by
     side; all head counts from one table by all labels. So the rows are scanned twice, and once
-    more for the few values that straddle a quantile.
+    more for the few values that straddle one of the cuts, which quintiles and top and bottom
+    shares have in common.
     """
     by, income = ["COUNTRY", "YEAR"], "income_analysis"
     plain = {"head": F.lit(1.0), "head_income": F.col(income)}
@@ -34,9 +40,13 @@ def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
     cdf = stage(weighted_cdf(rows, by, extra=list(plain)), "cdf")
     people = stage(demographic_base(silver), "demographics")
     stats = stats_from(cdf, by, "head", "head_income")
+    cuts = [0.2, 0.4, 0.6, 0.8, 0.9]  # bands 0-1 are the bottom 40 %, bands 4-5 the top quintile
+    pieces = weight_bands(rows, cdf, by, cuts, reuse=True)
+    shares = bottom_and_top_shares(pieces, by, bottom=1, top=5)
+    quintiles = shares_from(pieces, by, "least(band, 4) + 1")
     tables = {
-        "gold_gini_by_year": published_summary(summary_from(rows, cdf, by)),
-        "gold_quintile_by_year": published_quintiles(shares_from(rows, cdf, by)),
+        "gold_gini_by_year": published_summary(summary_from(cdf, shares, by)),
+        "gold_quintile_by_year": published_quintiles(quintiles),
         "gold_theil_by_year": stats.orderBy(*by),
     }
     for name in DIMENSIONS:

@@ -2,11 +2,15 @@ from __future__ import annotations
 
 import gzip
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from parityframe import constants as C
 from parityframe import workspace
+from parityframe.operators.inequality import inequality_table
+from parityframe.operators.quantiles import quintile_table
+from parityframe.operators.stats import income_stats
 from parityframe.plans import stages
 from parityframe.plans.persons import persons
 from parityframe.sources import ingest
@@ -92,6 +96,20 @@ def test_all_stages(spark, tmp_path):
     shares = tables["gold_quintile_by_year"].groupBy("country", "year")
     sums = shares.agg(F.sum("income_share").alias("s")).collect()
     assert [r["s"] for r in sums] == pytest.approx([1] * len(sums))
+    for name, single in (
+        ("gold_gini_by_year", inequality_table),
+        ("gold_quintile_by_year", quintile_table),
+        ("gold_theil_by_year", income_stats),
+    ):
+        together = tables[name].toPandas()
+        alone = single(spark.read.parquet(str(tmp_path / "out/silver"))).toPandas()
+        keys = [c for c in together.columns if c.lower() in ("country", "year", "quantile")]
+        pd.testing.assert_frame_equal(
+            together.sort_values(keys, ignore_index=True),
+            alone.sort_values(keys, ignore_index=True),
+            check_exact=False,
+            rtol=1e-9,
+        )
     assert spark.sql("SELECT count(*) FROM gold_demog_age").first()[0] > 0
     assert stages.run(spark, str(tmp_path / "none"), str(tmp_path / "other")) is None
 
