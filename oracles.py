@@ -345,6 +345,20 @@ ORACLES: dict[str, str] = {
         f"THEN 'upper_middle' ELSE 'high' END AS income_category, {SEX_LABEL} AS sex_label, "
         f"{COUNTRY_NAME} AS country_name FROM silver"
     ),
+    "baseline_layer": on_persons(
+        "SELECT SAMPLE, SERIAL, PERNUM, COUNTRY, AGE, INCTOT, INCEARN, round(INCTOT * CASE COUNTRY "
+        "WHEN 76 THEN CAST(0.5664 AS DOUBLE) WHEN 484 THEN CAST(0.6838 AS DOUBLE) ELSE 1 END, 4) "
+        "AS income_ppp, CASE COUNTRY WHEN 76 THEN 'Brazil' WHEN 484 THEN 'Mexico' END AS "
+        "country_name, CASE SEX WHEN 1 THEN 'Laki-laki' WHEN 2 THEN 'Perempuan' END AS sex_label, "
+        "CASE EMPSTAT WHEN 1 THEN 'Employed' WHEN 2 THEN 'Unemployed' "
+        "WHEN 3 THEN 'Not in labor force' END AS empstat_label, "
+        "CASE WHEN AGE <= 24 THEN '15-24' WHEN AGE <= 34 THEN '25-34' WHEN AGE <= 44 THEN '35-44' "
+        "WHEN AGE <= 54 THEN '45-54' ELSE '55-65' END AS age_group "
+        "FROM (SELECT *, row_number() OVER (PARTITION BY SAMPLE, SERIAL, PERNUM "
+        f"ORDER BY {TIES}) AS rn FROM persons WHERE AGE BETWEEN 15 AND 65 AND INCTOT >= 0 "
+        "AND INCTOT NOT IN (9999999, 99999999, 999999999) "
+        "AND coalesce(INCEARN NOT IN (9999999, 99999999, 999999999), true)) WHERE rn = 1"
+    ),
     "union_layers": on_persons(
         "SELECT COUNTRY, YEAR, SERIAL, PERNUM, INCEARN FROM persons WHERE COUNTRY = 76 UNION ALL "
         "SELECT COUNTRY, YEAR, SERIAL, PERNUM, INCEARN FROM persons WHERE COUNTRY = 484"
@@ -420,9 +434,9 @@ ORACLES: dict[str, str] = {
         "FROM silver) GROUP BY COUNTRY"
     ),
     "qcut_bins": on_positive(
-        f"SELECT COUNTRY, SERIAL, PERNUM, {TIES}, INCTOT, CAST(CASE "
-        + " ".join(f"WHEN INCTOT <= e{i} THEN {i}" for i in range(1, 5))
-        + " ELSE 5 END AS INTEGER) AS bin FROM (SELECT *, "
+        f"SELECT COUNTRY, SERIAL, PERNUM, {TIES}, INCTOT, CASE "
+        + " ".join(f"WHEN INCTOT <= e{i} THEN 'Q{i}'" for i in range(1, 5))
+        + " ELSE 'Q5' END AS quintile FROM (SELECT *, "
         + ", ".join(
             f"quantile_cont(INCTOT, {i / 5}) OVER (PARTITION BY COUNTRY) AS e{i}"
             for i in range(1, 5)

@@ -106,40 +106,58 @@ def published_quintiles(shares: DataFrame) -> DataFrame:
     ).orderBy("country", "year", "quantile")
 
 
-def _edges(df: DataFrame, value: str, q: int, by: list[str]) -> DataFrame:
-    probs = {f"_edge_{i}": i / q for i in range(q + 1)}
-    edges = quantiles(df, value, probs, by)
-    distinct = " AND ".join(f"_edge_{i} < _edge_{i + 1}" for i in range(q))
+def _edges(cdf: DataFrame, q: int, by: list[str]) -> DataFrame:
+    """The ``q`` + 1 bin edges of each group of a count cdf."""
+    names = [f"_edge_{i}" for i in range(q + 1)]
+    edges = cdf.groupBy(*by).agg(*[quantile_col(i / q).alias(n) for i, n in enumerate(names)])
+    distinct = " AND ".join(f"{low} < {high}" for low, high in zip(names, names[1:]))
     fail = "CAST(raise_error('quantile edges are not distinct') AS DOUBLE)"
     return edges.withColumn("_edge_0", F.expr(f"if({distinct}, _edge_0, {fail})"))
 
 
+def _binned(
+    df: DataFrame, edges: DataFrame, value: str, q: int, by: list[str], name: str, labels: list
+) -> DataFrame:
+    marked = attach_groups(df, edges, by)
+    names = [f"_edge_{i}" for i in range(q + 1)]
+    bins = cut(quoted(value), names, labels, include_lowest=True)
+    return marked.withColumn(name, bins).drop(*names)
+
+
 def qcut(
-    df: DataFrame, value: str, q: int, by: list[str] = (), name: str = "bin"
+    df: DataFrame,
+    value: str,
+    q: int,
+    by: list[str] = (),
+    name: str = "bin",
+    labels: list | None = None,
 ) -> DataFrame:
-    """Number the rows 1..q by quantile intervals, closed on the right, lowest included.
+    """Label the rows by quantile intervals, closed on the right, lowest included.
 
     The edges are interpolated quantiles, so equal values never part; duplicate edges are an
-    error.
+    error. Labels are 1..q unless given.
     """
     by = list(by)
-    marked = attach_groups(df, _edges(df, value, q, by), by)
-    edges = [f"_edge_{i}" for i in range(q + 1)]
-    label = cut(quoted(value), edges, list(range(1, q + 1)), include_lowest=True)
-    return marked.withColumn(name, label).drop(*edges)
+    labels = list(range(1, q + 1)) if labels is None else labels
+    return _binned(df, _edges(count_cdf(df, value, by), q, by), value, q, by, name, labels)
 
 
 def qcut_summary(df: DataFrame, value: str, q: int = 5, by: list[str] = ()) -> DataFrame:
-    """Count, mean, median, minimum and maximum of each quantile bin."""
+    """Count, mean, median, minimum and maximum of each quantile bin.
+
+    Bins are given to distinct values rather than rows, so the rows are scanned once.
+    """
     by = list(by)
-    binned = qcut(df, value, q, by, "bin").select(*by, "bin", value)
-    cdf = count_cdf(binned, value, [*by, "bin"])
-    return cdf.groupBy(*by, "bin").agg(
-        F.sum("n").alias("n_obs"),
-        F.try_divide(F.sum("income"), F.sum("weight")).alias("mean"),
+    cdf = stage(count_cdf(df, value, by), "cdf")
+    values = cdf.select(*by, "value", F.col("n").alias("heads"))
+    binned = _binned(values, _edges(cdf, q, by), "value", q, by, "bin", list(range(1, q + 1)))
+    rows = weighted_rows(binned, "value", "heads", [*by, "bin"], keep_negative=True)
+    return weighted_cdf(rows, [*by, "bin"]).groupBy(*by, "bin").agg(
+        F.expr("CAST(sum(weight) AS BIGINT) AS n_obs"),
+        F.expr("try_divide(sum(income), sum(weight)) AS mean"),
         quantile_col(0.5).alias("median"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+        F.expr("min(value) AS min"),
+        F.expr("max(value) AS max"),
     )
 
 

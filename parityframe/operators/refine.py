@@ -6,7 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parityframe import constants as C
-from parityframe.functions.labels import country_label, income_category, sex_label
+from parityframe.functions.labels import (
+    code_label,
+    country_label,
+    cut,
+    employment_label,
+    income_category,
+    ppp_income,
+    sex_label,
+)
 
 
 def add_lineage(df: DataFrame, source: str, layer: str = "bronze") -> DataFrame:
@@ -123,6 +131,28 @@ def valid_income(
     return df.filter(keep)
 
 
+def refine_baseline(
+    raw: DataFrame, order_by: list[str] = (), ages: tuple[int, int] = (15, 65)
+) -> DataFrame:
+    """The alternative refinement: filters first, then copies per sample, prices adjusted.
+
+    Total income must be present, not negative and no sentinel; earned income may be missing.
+    Labels of unknown codes stay NULL.
+    """
+    known = valid_income(raw, "INCTOT", C.SENTINEL_CODES)
+    earned = F.col("INCEARN").isNull() | ~F.col("INCEARN").isin(C.SENTINEL_CODES)
+    kept = filter_age(known.filter(earned), *ages)
+    return deduplicate(kept, ["SAMPLE", "SERIAL", "PERNUM"], order_by).withColumns(
+        {
+            "income_ppp": ppp_income("INCTOT"),
+            "country_name": code_label("COUNTRY", C.COUNTRY_NAMES),
+            "sex_label": sex_label(strict=True),
+            "empstat_label": employment_label(strict=True),
+            "age_group": cut("AGE", C.AGE_CUT_EDGES, C.AGE_CUT_LABELS),
+        }
+    )
+
+
 def filter_countries(df: DataFrame, selected: list[int], column: str = "COUNTRY") -> DataFrame:
     """Rows of the selected countries; an empty selection means all."""
     return df.filter(F.col(column).isin(list(selected))) if selected else df

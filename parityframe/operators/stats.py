@@ -14,9 +14,9 @@ from parityframe.functions.labels import country_label, ppp_income
 from parityframe.functions.metrics import theil_col
 from parityframe.operators.bands import weight_bands
 from parityframe.operators.inequality import bottom_and_top_shares, gini_col
-from parityframe.operators.prefix import weighted_cdf, weighted_rows
+from parityframe.operators.prefix import collapse, weighted_cdf, weighted_rows
 from parityframe.operators.quantiles import count_cdf, quantile_col, quantiles
-from parityframe.workspace import join_groups, stage
+from parityframe.workspace import join_groups, quoted, stage
 
 
 def _mean(of: str = "weight", amount: str = "income") -> Column:
@@ -138,45 +138,55 @@ def null_percent(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return long.orderBy(F.desc("null_pct"), "column_name")
 
 
+def _values(df: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """Stored counts per group and distinct value, from one scan of the rows."""
+    rows = weighted_rows(df, value, None, by, keep_negative=True)
+    return stage(collapse(rows, by).select(*by, "value", "n"), "values")
+
+
 def histogram(
     df: DataFrame, value: str, bins: int = 50, by: list[str] = ()
 ) -> DataFrame:
     """Counts in equal-width bins over the common range, per group, empty bins included."""
     by = list(by)
-    x = F.col(value).cast("double")
-    limits = df.agg(F.min(x).alias("low"), F.max(x).alias("high")).first()
+    return _histogram(_values(df, value, by), bins, by)
+
+
+def trimmed_histogram(
+    df: DataFrame, value: str, by: list[str], keep: float = 0.95, bins: int = 50
+) -> DataFrame:
+    """Histogram of the values below the overall quantile ``keep``."""
+    values = _values(df, value, by)
+    overall = weighted_cdf(weighted_rows(values, "value", "n", [], keep_negative=True), [])
+    limit = overall.agg(quantile_col(keep).alias("limit")).first()["limit"]
+    return _histogram(values.filter(F.col("value") < F.lit(limit)), bins, by)
+
+
+def _histogram(values: DataFrame, bins: int, by: list[str]) -> DataFrame:
+    limits = values.selectExpr("min(value) AS low", "max(value) AS high").first()
     low, high = limits["low"], limits["high"]
     if low is None:
         low, high = 0.0, 1.0
     elif low == high:
         low, high = low - 0.5, high + 0.5
-    index = F.least(F.floor((x - low) / (high - low) * bins), F.lit(bins - 1)).cast("int")
-    counts = (
-        df.filter(x.isNotNull()).groupBy(*by, index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    )
-    grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    place = f"floor((value - {low!r}D) / ({high!r}D - {low!r}D) * {bins})"
+    index = F.expr(f"CAST(least({place}, {bins - 1}) AS INT) AS bin")
+    counts = values.groupBy(*by, index).agg(F.sum("n").alias("n"))
     if by:
-        steps = F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))
+        steps = F.expr(f"explode(sequence(0, {bins - 1}))")
         grid = counts.select(*by).distinct().withColumn("bin", steps)
-    filled = join_groups(grid, counts, [*by, "bin"], "left")
+    else:
+        grid = values.sparkSession.range(bins).selectExpr("CAST(id AS INT) AS bin")
     width = (high - low) / bins
-    return filled.select(
-        *by,
+    return join_groups(grid, counts, [*by, "bin"], "left").selectExpr(
+        *map(quoted, by),
         "bin",
-        (F.lit(low) + F.col("bin") * F.lit(width)).alias("lower"),
-        (F.lit(low) + (F.col("bin") + 1) * F.lit(width)).alias("upper"),
-        F.coalesce("n", F.lit(0)).alias("n"),
+        f"{low!r}D + bin * {width!r}D AS lower",
+        f"{low!r}D + (bin + 1) * {width!r}D AS upper",
+        "coalesce(n, 0L) AS n",
     )
 
 
-def trimmed_histogram(
-    df: DataFrame, value: str, by: list[str], keep: float = 0.95, bins: int = 50
-) -> DataFrame:
-    """Histogram of the values below the overall quantile ``keep``."""
-    limit = quantiles(df, value, {"limit": keep}).first()["limit"]
-    return histogram(df.filter(F.col(value) < F.lit(limit)), value, bins, by)
-
-
 def attrition(layers: dict[str, DataFrame], by: str = "COUNTRY") -> DataFrame:
     """Rows per layer and group, and the share kept of the first layer."""
     counts = None

@@ -289,6 +289,14 @@ def refined_layer(spark, sf_dir):
     return silver(spark, sf_dir)
 
 
+@query
+def baseline_layer(spark, sf_dir):
+    layer = R.refine_baseline(persons(spark, sf_dir), TIE_BREAK)
+    columns = ["SAMPLE", *ID, "COUNTRY", "AGE", "INCTOT", "INCEARN", "income_ppp"]
+    labels = ["country_name", "sex_label", "empstat_label", "age_group"]
+    return rounded(layer.select(*columns, *labels), 4)
+
+
 @query
 def union_layers(spark, sf_dir):
     df = persons(spark, sf_dir).select(*BY, *ID, "INCEARN")
@@ -405,7 +413,8 @@ def weighted_percentiles(spark, sf_dir):
 @query
 def qcut_bins(spark, sf_dir):
     df = positive(spark, sf_dir).select("COUNTRY", *ID, *TIE_BREAK, "INCTOT")
-    return Q.qcut(df, "INCTOT", 5, ["COUNTRY"])
+    labels = ["Q1", "Q2", "Q3", "Q4", "Q5"]
+    return Q.qcut(df, "INCTOT", 5, ["COUNTRY"], "quintile", labels)
 
 
 @query

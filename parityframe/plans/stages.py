@@ -15,8 +15,15 @@ from parityframe.operators.inequality import (
 from parityframe.operators.prefix import weighted_cdf, weighted_rows
 from parityframe.operators.quantiles import published_quintiles, shares_from
 from parityframe.operators.refine import refine
+from parityframe.operators.sampling import stratified
 from parityframe.operators.stats import stats_from
-from parityframe.sources.ingest import ensure_bronze, load_gold, write_table
+from parityframe.sources.ingest import (
+    ensure_bronze,
+    load_gold,
+    read_persons_csv,
+    write_csv,
+    write_table,
+)
 from parityframe.workspace import stage
 
 
@@ -67,3 +74,11 @@ def run(spark: SparkSession, source: str, root: str, **refine_options) -> dict |
     silver = build_silver(bronze, f"{root}/silver", **refine_options)
     build_gold(silver, f"{root}/gold")
     return load_gold(spark, f"{root}/gold")
+
+
+def extract_sample(
+    spark: SparkSession, source: str, target: str, fractions: dict[int, float], seed: int = 42
+) -> None:
+    """A stratified sample of a raw CSV as one CSV file, for tools that need a small one."""
+    people = read_persons_csv(spark, source)
+    write_csv(stratified(people, "COUNTRY", fractions, seed), target, single_file=True)

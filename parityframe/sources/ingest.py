@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parityframe import constants as C
+from parityframe.functions.labels import country_label
 from parityframe.operators.refine import add_lineage
 
 logger = logging.getLogger(__name__)
@@ -108,12 +109,17 @@ def layer_preview(df: DataFrame, order_by: list[str], n: int = 100) -> DataFrame
 
 
 def load_gold(spark: SparkSession, root: str, tables: list[str] = C.GOLD_TABLES) -> dict | None:
-    """All aggregate tables by name, or ``None`` if one is missing; registers temp views."""
+    """All aggregate tables by name, or ``None`` if one is missing; registers temp views.
+
+    Every table gets the country name beside its code.
+    """
     missing = [t for t in tables if not is_written(spark, f"{root}/{t}.parquet")]
     if missing:
         logger.error("aggregate tables missing: %s", missing)
         return None
-    loaded = {t: spark.read.parquet(f"{root}/{t}.parquet") for t in tables}
-    for name, df in loaded.items():
-        df.createOrReplaceTempView(name)
+    loaded = {}
+    for name in tables:
+        df = spark.read.parquet(f"{root}/{name}.parquet")
+        loaded[name] = df.withColumn("country_name", country_label("COUNTRY"))
+        loaded[name].createOrReplaceTempView(name)
     return loaded

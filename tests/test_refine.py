@@ -192,3 +192,15 @@ def test_row_steps_accept_a_stream(spark, tmp_path):
     job = job.option("checkpointLocation", str(tmp_path / "state")).start()
     job.awaitTermination(60)
     assert spark.table("refined").count() == 1
+
+
+def test_baseline_refinement(raw):
+    got = {r["SERIAL"]: r for r in R.refine_baseline(raw, ["AGE"]).collect()}
+    assert sorted(got) == [1, 2, 3, 8, 9]  # 70 and 66 too old; NULL, negative, sentinel, NaN out
+    assert got[1]["AGE"] == 18 and got[1]["income_ppp"] == pytest.approx(500 * 0.5664)
+    assert got[2]["age_group"] == "15-24" and got[8]["sex_label"] is None
+    assert got[9]["country_name"] is None and got[8]["empstat_label"] == "Not in labor force"
+
+
+def test_cast_without_any_listed_column(spark):
+    assert R.cast_numeric(spark.range(1)).columns == ["id"]

@@ -88,6 +88,7 @@ def test_all_stages(spark, tmp_path):
     persons(spark, SF).select(*columns).write.option("header", True).csv(source)
     tables = stages.run(spark, source, str(tmp_path / "out"))
     assert list(tables) == C.GOLD_TABLES
+    assert all("country_name" in df.columns for df in tables.values())
     n = tables["gold_gini_by_year"].agg(F.sum("n_obs")).first()[0]
     silver = spark.read.parquet(str(tmp_path / "out/silver"))
     assert n == silver.count() > 0
@@ -101,8 +102,8 @@ def test_all_stages(spark, tmp_path):
         ("gold_quintile_by_year", quintile_table),
         ("gold_theil_by_year", income_stats),
     ):
-        together = tables[name].toPandas()
         alone = single(spark.read.parquet(str(tmp_path / "out/silver"))).toPandas()
+        together = tables[name].toPandas()[alone.columns]
         keys = [c for c in together.columns if c.lower() in ("country", "year", "quantile")]
         pd.testing.assert_frame_equal(
             together.sort_values(keys, ignore_index=True),
@@ -114,6 +115,12 @@ def test_all_stages(spark, tmp_path):
     assert stages.run(spark, str(tmp_path / "none"), str(tmp_path / "other")) is None
 
 
+def test_sample_file(spark, csv_file, tmp_path):
+    stages.extract_sample(spark, csv_file, str(tmp_path / "sample"), {76: 1.0})
+    df = spark.read.option("header", True).csv(str(tmp_path / "sample"))
+    assert {r["COUNTRY"] for r in df.collect()} == {"76"} and df.count() == 2
+
+
 def test_incomplete_bundle_is_refused(spark, tmp_path):
     ingest.write_table(spark.range(3), str(tmp_path / "gold_gini_by_year.parquet"))
     assert ingest.load_gold(spark, str(tmp_path)) is None

@@ -180,3 +180,23 @@ def test_quintile_contrasts(spark):
     ratio = {r["g"]: r for r in quantiles.quintile_ratio(shares, ["g"]).collect()}
     assert ratio["a"]["share_ratio"] is None and ratio["a"]["mean_ratio"] == 9
     assert ratio["b"]["mean_ratio"] is None
+
+
+def test_results_do_not_depend_on_broadcasts(spark, df):
+    """Large per-group tables are joined by shuffling; the outcome is the same."""
+
+    def run():
+        bins = quantiles.qcut(df, "y", 4, ["g"]).groupBy("g", "bin").count()
+        far = quantiles.iqr_outliers(df, "y", ["g"], 0.5).groupBy("g").count()
+        return sorted(bins.collect()), sorted(far.collect())
+
+    before = run()
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for name in ("spark.sql.autoBroadcastJoinThreshold",
+                 "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(name, "-1")
+    try:
+        assert run() == before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
