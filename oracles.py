@@ -251,7 +251,8 @@ ORACLES: dict[str, str] = {
         "SELECT 'gold_quintile_by_year', count(*) FROM parts UNION ALL "
         "SELECT 'gold_theil_by_year', count(*) FROM ineq UNION ALL "
         + " UNION ALL ".join(
-            f"SELECT 'gold_demog_{t}', count(*) FROM (SELECT DISTINCT COUNTRY, YEAR, {e} FROM silver)"
+            f"SELECT 'gold_demog_{t}', count(*) FROM "
+            f"(SELECT DISTINCT COUNTRY, YEAR, {e} FROM silver)"
             for t, e in (
                 ("sex", SEX_LABEL),
                 ("emp", EMPSTAT_LABEL),
@@ -473,7 +474,8 @@ ORACLES: dict[str, str] = {
     "income_histogram_trimmed": on_explored(
         "SELECT g.COUNTRY, CAST(b.i AS INTEGER) AS bin, round(lo + b.i * ((hi - lo) / 50), 6) AS "
         "lower, round(lo + (b.i + 1) * ((hi - lo) / 50), 6) AS upper, count(INCTOT) AS n "
-        "FROM (SELECT DISTINCT COUNTRY FROM trimmed) g CROSS JOIN (SELECT unnest(range(50)) AS i) b "
+        "FROM (SELECT DISTINCT COUNTRY FROM trimmed) g "
+        "CROSS JOIN (SELECT unnest(range(50)) AS i) b "
         "CROSS JOIN lim LEFT JOIN trimmed t ON t.COUNTRY = g.COUNTRY "
         "AND least(floor((INCTOT - lo) / (hi - lo) * 50), 49) = b.i "
         "GROUP BY g.COUNTRY, b.i, lo, hi",
@@ -486,7 +488,11 @@ ORACLES: dict[str, str] = {
         "round(100 - l.n_rows / b.n_rows * 100, 6) AS excluded_pct FROM ("
         + " UNION ALL ".join(
             f"SELECT COUNTRY, '{layer}' AS layer, count(*) AS n_rows FROM {t} GROUP BY COUNTRY"
-            for layer, t in (("bronze", "persons"), ("deduplicated", "single"), ("silver", "silver"))
+            for layer, t in (
+                ("bronze", "persons"),
+                ("deduplicated", "single"),
+                ("silver", "silver"),
+            )
         )
         + ") l JOIN (SELECT COUNTRY, count(*) AS n_rows FROM persons GROUP BY COUNTRY) b "
         "ON l.COUNTRY = b.COUNTRY"
@@ -558,7 +564,8 @@ ORACLES: dict[str, str] = {
         f"SELECT COUNTRY, YEAR, round({MLD}, 6) AS mld FROM cum GROUP BY COUNTRY, YEAR", CUM
     ),
     "theil_agg_form": on_silver(
-        "SELECT coalesce(COUNTRY, 0) AS COUNTRY, coalesce(SEX, 0) AS SEX, CAST(grouping(COUNTRY, SEX) AS INTEGER) AS level, "
+        "SELECT coalesce(COUNTRY, 0) AS COUNTRY, coalesce(SEX, 0) AS SEX, "
+        "CAST(grouping(COUNTRY, SEX) AS INTEGER) AS level, "
         "round(sum(wy * ln(y)) / sum(wy) - ln(sum(wy) / sum(w)), 6) AS theil, "
         "round(ln(sum(wy) / sum(w)) - sum(w * ln(y)) / sum(w), 6) AS mld, "
         "round(sum(wy) / sum(PERWT), 6) AS mean_income "
@@ -635,7 +642,8 @@ ORACLES: dict[str, str] = {
         "SELECT a.COUNTRY AS country, a.YEAR AS year, round(a.income_share, 6) AS q1_share, "
         "round(b.income_share, 6) AS q5_share, CASE WHEN a.income_share > 0 "
         "THEN round(b.income_share / a.income_share, 6) END AS share_ratio, "
-        "CASE WHEN a.mean_income > 0 THEN round(b.mean_income / a.mean_income, 6) END AS mean_ratio "
+        "CASE WHEN a.mean_income > 0 THEN round(b.mean_income / a.mean_income, 6) END "
+        "AS mean_ratio "
         "FROM parts a JOIN parts b ON a.COUNTRY = b.COUNTRY AND a.YEAR = b.YEAR "
         "WHERE a.quantile = 1 AND b.quantile = 5"
     ),
@@ -658,11 +666,13 @@ ORACLES: dict[str, str] = {
     "gini_status": on_ineq(
         "SELECT country, year, round(gini, 6) AS gini, CASE WHEN gini > 0.5 THEN 'Sangat Tinggi' "
         "WHEN gini > 0.4 THEN 'Tinggi' ELSE 'Moderat' END AS status, CAST(CASE WHEN gini < 0.3 "
-        "THEN 0 WHEN gini < 0.4 THEN 1 WHEN gini < 0.55 THEN 2 ELSE 3 END AS INTEGER) AS gauge_band "
+        "THEN 0 WHEN gini < 0.4 THEN 1 WHEN gini < 0.55 THEN 2 ELSE 3 END AS INTEGER) "
+        "AS gauge_band "
         "FROM ineq"
     ),
     "target_gap": on_ineq(
-        "SELECT country, country_name, year, round(gini, 6) AS gini, CAST(0.3 AS DOUBLE) AS target, "
+        "SELECT country, country_name, year, round(gini, 6) AS gini, "
+        "CAST(0.3 AS DOUBLE) AS target, "
         "round(gini - CAST(0.3 AS DOUBLE), 4) AS gap FROM ineq"
     ),
     "actual_vs_target": on_ineq(
@@ -672,7 +682,8 @@ ORACLES: dict[str, str] = {
     ),
     "metric_comparison": on_ineq(
         " UNION ALL ".join(
-            f"SELECT country, country_name, year, '{m}' AS metric, round({m}, 6) AS amount FROM ineq"
+            f"SELECT country, country_name, year, '{m}' AS metric, "
+            f"round({m}, 6) AS amount FROM ineq"
             for m in ("gini", "theil", "palma", "sdg_10_2_1")
         )
     ),

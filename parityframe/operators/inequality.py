@@ -10,7 +10,7 @@ from parityframe.functions.labels import country_label
 from parityframe.functions.metrics import mld_col, theil_col, weighted_mean_col
 from parityframe.operators.bands import weight_bands
 from parityframe.operators.prefix import weighted_cdf, weighted_rows
-from parityframe.workspace import join_groups, stage
+from parityframe.workspace import join_groups, quoted, stage
 
 GINI_METHODS = ("cumulative", "lorenz_left", "trapezoid", "rank")
 
@@ -68,13 +68,15 @@ def gini(
 
 
 def theil(df: DataFrame, value: str, weight: str | None = None, by: list[str] = ()) -> DataFrame:
-    return _group(df, list(by), theil_col(value, weight).alias("theil"))
+    w = quoted(weight) if weight else None
+    return _group(df, list(by), theil_col(quoted(value), w).alias("theil"))
 
 
 def mean_log_deviation(
     df: DataFrame, value: str, weight: str | None = None, by: list[str] = ()
 ) -> DataFrame:
-    return _group(df, list(by), mld_col(value, weight).alias("mld"))
+    w = quoted(weight) if weight else None
+    return _group(df, list(by), mld_col(quoted(value), w).alias("mld"))
 
 
 def _staged(df: DataFrame, value: str, weight: str | None, by: list[str]):

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TIE_BREAK = ["l_partkey", "l_suppkey", "l_extendedprice"]
 

@@ -13,7 +13,8 @@ _STAGED: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
+    """Folder for intermediate tables: ``spark.checkpoint.dir`` of the session, or the folder
+    given to ``setCheckpointDir``.
 
     Only a local master may run without that setting; it then gets a fresh temporary folder.
     On a cluster a machine-local folder would not be visible to the executors, so its absence
@@ -23,6 +24,9 @@ def scratch_root(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
+    chosen = context._jsc.sc().getCheckpointDir()
+    if chosen.isDefined():
+        return chosen.get().rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if context.applicationId not in _LOCAL_ROOTS:

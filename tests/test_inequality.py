@@ -218,6 +218,19 @@ def test_null_is_a_group_and_unusable_rows_are_dropped(spark):
     assert got["a"]["mean_income"] == 2 and got["a"]["n_obs"] == 1
 
 
+def test_awkward_column_names(spark):
+    df = spark.createDataFrame(
+        [("x", 1.0, 1.0), ("x", 3.0, 1.0)], "`my group` string, `the income` double, `w t` double"
+    )
+    args = ("the income", "w t", ["my group"])
+    assert inequality.inequality_summary(df, *args).first()["gini"] == pytest.approx(0.25)
+    assert inequality.theil(df, *args).first()["theil"] > 0
+    assert inequality.mean_log_deviation(df, *args).first()["mld"] > 0
+    assert quantiles.quantile_shares(df, *args).count() == 2
+    assert quantiles.qcut(df, "the income", 2, ["my group"]).filter("bin = 1").count() == 1
+    assert lorenz.lorenz_points(df, *args, n_points=4).count() == 5
+
+
 def test_empty_input_gives_no_groups(spark):
     df = spark.createDataFrame([], "g string, y double, w double")
     assert inequality.inequality_summary(df, "y", "w", ["g"]).count() == 0
