@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parityframe.operators.prefix import running_totals
+from parityframe.operators.prefix import TASK_ROWS, running_totals
 from parityframe.workspace import join_groups, quoted, stage
 
 BROADCAST_ROWS = 100_000  # a few small columns each: some megabytes
-WINDOW_ROWS = 1_000_000  # rows of one value a single task may order
+WINDOW_ROWS = TASK_ROWS  # rows of one value a single task may order
 
 
 def _band(cum: str, cuts: list[float], inclusive: list[bool]) -> str:

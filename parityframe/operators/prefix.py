@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from parityframe.workspace import join_groups, quoted, stage
 
 CELLS_PER_OCTAVE = 4096
-CELL_ROWS = 2_000_000  # distinct values a single task may order
+TASK_ROWS = 1_000_000  # a table up to this size may be ordered group by group
+CELL_ROWS = 2_000_000  # distinct values of a cell a single task may order
 _EXPONENT_SHIFT = 1100  # above any exponent of a double
 
 _EARLIER = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
@@ -48,29 +49,35 @@ def running_totals(
 
     ``df`` must hold one row per ``keys`` and ``order``; ``order`` must be a non-null number.
     It is written first, since cells and cell totals are both taken from it: without that the
-    optimizer prunes the two branches differently and scans the input of ``df`` twice.
+    optimizer prunes the two branches differently and scans the input of ``df`` twice. A table of
+    at most ``TASK_ROWS`` rows in all is then ordered by a plain window per group.
     """
     columns = df.columns
     cell = f"_cell{sum(k.startswith('_cell') for k in keys)}"
     df = stage(df.withColumn(cell, cell_of(order, cells_per_octave)), "blocks")
+    size = df.count()  # read from the file footers
     group = ", ".join(map(quoted, keys))
     whole = f"PARTITION BY {group}" if keys else ""
     inside = [*keys, cell]
 
-    if _crowded(df, inside):
+    def before(s: str, part: str, by: str) -> str:
+        return f"coalesce(sum({s}) OVER ({part} ORDER BY {by} {_EARLIER}), 0D)"
+
+    if size <= TASK_ROWS:
+        return df.selectExpr(
+            *map(quoted, columns),
+            *[f"{before(s, whole, order)} AS {s}_before" for s in sums],
+            *[f"sum({s}) OVER ({whole}) AS {s}_total" for s in sums],
+        )
+    if size > CELL_ROWS and _crowded(df, inside):
         leaves = _inside_crowded_cells(df, inside, order, sums, cells_per_octave)
     else:
-        part = f"PARTITION BY {', '.join(map(quoted, inside))} ORDER BY {order} {_EARLIER}"
-        leaves = df.selectExpr(
-            "*", *[f"coalesce(sum({s}) OVER ({part}), 0D) AS _in_{s}" for s in sums]
-        )
+        part = f"PARTITION BY {', '.join(map(quoted, inside))}"
+        leaves = df.selectExpr("*", *[f"{before(s, part, order)} AS _in_{s}" for s in sums])
     cells = df.groupBy(*inside).agg(*[F.sum(s).alias(s) for s in sums])
     offsets = cells.selectExpr(
         *map(quoted, inside),
-        *[
-            f"coalesce(sum({s}) OVER ({whole} ORDER BY {cell} {_EARLIER}), 0D) AS _off_{s}"
-            for s in sums
-        ],
+        *[f"{before(s, whole, cell)} AS _off_{s}" for s in sums],
         *[f"sum({s}) OVER ({whole}) AS {s}_total" for s in sums],
     )
     joined = join_groups(leaves, offsets, inside)
@@ -82,12 +89,7 @@ def running_totals(
 
 
 def _crowded(df: DataFrame, cell: list[str]) -> bool:
-    """Whether some cell of the stored table holds more rows than one task should order.
-
-    The row count alone, read from file footers, settles it for all but large tables.
-    """
-    if df.count() <= CELL_ROWS:
-        return False
+    """Whether some cell of the stored table holds more rows than one task should order."""
     return df.groupBy(*cell).count().agg(F.max("count")).first()[0] > CELL_ROWS
 
 

@@ -168,12 +168,15 @@ def test_empty_quintiles_are_absent(people):
     assert [(row[0], round(row[4], 6)) for row in got] == [(1, 0.05), (5, 0.95)]
 
 
-@pytest.mark.parametrize("limits", [(0, 10**6), (10**5, 0), (0, 0)])
-def test_bands_the_same_on_every_path(people, monkeypatch, limits):
-    """Without the broadcast, and with cell-wise totals inside one value."""
+@pytest.mark.parametrize(
+    "broadcast, window, task", [(0, 10**6, 10**6), (10**5, 0, 10**6), (0, 0, 0)]
+)
+def test_bands_the_same_on_every_path(people, monkeypatch, broadcast, window, task):
+    """Without the broadcast, and with cell-wise totals, inside one value too."""
     expected = shares_by_group(quantiles.quantile_shares(people, "y", "w", ["g"]))
-    monkeypatch.setattr(bands, "BROADCAST_ROWS", limits[0])
-    monkeypatch.setattr(bands, "WINDOW_ROWS", limits[1])
+    monkeypatch.setattr(bands, "BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(bands, "WINDOW_ROWS", window)
+    monkeypatch.setattr(prefix, "TASK_ROWS", task)
     got = shares_by_group(quantiles.quantile_shares(people, "y", "w", ["g"]))
     assert got.keys() == expected.keys()
     for name in got:
@@ -189,7 +192,9 @@ def test_shared_prosperity(people):
         assert row["anomali_b40"] == flag
 
 
-def test_summary_agrees_with_single_measures(people):
+@pytest.mark.parametrize("task_rows", [0, 10**6])
+def test_summary_agrees_with_single_measures(people, monkeypatch, task_rows):
+    monkeypatch.setattr(prefix, "TASK_ROWS", task_rows)
     got = {r["g"]: r for r in inequality.inequality_summary(people, "y", "w", ["g"]).collect()}
     for name, (y, w) in GROUPS.items():
         row = got[name]
@@ -200,7 +205,9 @@ def test_summary_agrees_with_single_measures(people):
         assert row["n_obs"] == sum(y >= 0)
 
 
-def test_without_groups(people):
+@pytest.mark.parametrize("task_rows", [0, 10**6])
+def test_without_groups(people, monkeypatch, task_rows):
+    monkeypatch.setattr(prefix, "TASK_ROWS", task_rows)
     y, w = (np.concatenate([g[i] for g in GROUPS.values()]) for i in (0, 1))
     row = inequality.inequality_summary(people, "y", "w", []).first()
     assert row["gini"] == pytest.approx(brute.gini(y, w, "cumulative"))
@@ -250,9 +257,15 @@ def test_scale_and_order_do_not_matter(people):
 # --- the kernel --------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("per_octave, cell_rows", [(64, 10**6), (4096, 10**6), (1, 20)])
-def test_running_totals_equal_a_single_window(people, monkeypatch, per_octave, cell_rows):
-    """The last case cuts crowded cells again, more than once."""
+@pytest.mark.parametrize(
+    "per_octave, task_rows, cell_rows",
+    [(4096, 10**6, 10**6), (4096, 0, 10**6), (64, 0, 10**6), (1, 0, 20)],
+)
+def test_running_totals_equal_a_single_window(
+    people, monkeypatch, per_octave, task_rows, cell_rows
+):
+    """The first case is the plain window; the last cuts crowded cells again, more than once."""
+    monkeypatch.setattr(prefix, "TASK_ROWS", task_rows)
     monkeypatch.setattr(prefix, "CELL_ROWS", cell_rows)
     rows = prefix.weighted_rows(people, "y", "w", ["g"], keep_negative=True)
     got = prefix.weighted_cdf(rows, ["g"], per_octave).select(
@@ -277,6 +290,7 @@ def test_running_totals_equal_a_single_window(people, monkeypatch, per_octave, c
 
 def test_values_crowded_into_a_sliver(spark, monkeypatch):
     """A cell is cut again until no part is crowded, even for neighbouring doubles."""
+    monkeypatch.setattr(prefix, "TASK_ROWS", 20)
     monkeypatch.setattr(prefix, "CELL_ROWS", 50)
     values = np.r_[1.0, 1000 + np.arange(400) * 2.0**-43, 1000.1 + np.arange(200) * 2.0**-43]
     df = spark.createDataFrame([(float(v), 1.0) for v in values], "value double, weight double")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from parityframe.operators import inequality, refine
+from parityframe.operators import inequality, prefix, refine
 from parityframe.operators.prefix import collapse, weighted_rows
 from parityframe.plans.catalog import BY, ID, INCOME, QUERIES, WEIGHT, incomes, silver
 from parityframe.plans.persons import TIE_BREAK, persons
@@ -55,8 +55,9 @@ def test_measures_read_the_rows_once(stored, by):
     assert folder not in plan(inequality.gini(stored, INCOME, WEIGHT, by))
 
 
-def test_only_cells_meet_in_one_task(stored):
+def test_only_cells_meet_in_one_task(stored, monkeypatch):
     """Without groups a window over the cell totals, and nothing longer, is unpartitioned."""
+    monkeypatch.setattr(prefix, "TASK_ROWS", 0)
     lines = plan(inequality.gini(stored, INCOME, WEIGHT)).splitlines()
     single = [i for i, line in enumerate(lines) if "SinglePartition" in line]
     assert single
