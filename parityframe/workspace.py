@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LOCAL_ROOTS: dict[str, str] = {}
 _STAGED: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder for intermediate tables: ``spark.checkpoint.dir`` of the session, or the folder
-    given to ``setCheckpointDir``.
+    """Folder for intermediate tables, which all executors must share.
 
-    Only a local master may run without that setting; it then gets a fresh temporary folder.
-    On a cluster a machine-local folder would not be visible to the executors, so its absence
-    is an error there.
+    That is ``spark.checkpoint.dir`` of the session, or the folder given to ``setCheckpointDir``.
+    Without either it is a folder of the default Hadoop file system. On a cluster that must not
+    be a machine's own disk, which the other machines would not see, so that is an error there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -27,11 +24,11 @@ def scratch_root(spark: SparkSession) -> str:
     chosen = context._jsc.sc().getCheckpointDir()
     if chosen.isDefined():
         return chosen.get().rstrip("/")
-    if not context.master.startswith("local"):
+    hadoop = context._jsc.hadoopConfiguration()
+    default = context._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(hadoop)
+    if default.getScheme() == "file" and not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if context.applicationId not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="parityframe-")
-    return _LOCAL_ROOTS[context.applicationId]
+    return f"{default.toString().rstrip('/')}/tmp/parityframe/{context.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
