@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from parityframe.llm import decontaminate, mixing, quality, tokens
+from parityframe.llm import decontaminate, mixing, near_copies, quality, tokens
 from parityframe.workspace import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_near_copies(spark, sf_dir):
+    return near_copies.find(table(spark, sf_dir, "documents")).drop("fp")
+
+
 @query
 def op2_mix_sources(spark, sf_dir):
     return mixing.taken_words(table(spark, sf_dir, "documents"))
