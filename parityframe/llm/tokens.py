@@ -44,8 +44,9 @@ SAMPLE_DOCUMENTS = 400
 SAMPLE_CHARACTERS = 4000
 #: Bytes of input, by the planner's estimate, that one output file holds.
 FILE_BYTES = 12 << 20
-#: Different pieces of text a worker remembers the ids of (about 150 bytes each).
-REMEMBERED = 500_000
+#: Different pieces of text a worker remembers the ids of, about 150 bytes each; as many that it
+#: had learnt before serve for a while longer.
+REMEMBERED = 350_000
 
 MANIFEST = (
     "file string, part bigint, first_doc bigint, last_doc bigint, n_docs bigint, n_ids bigint, "
@@ -53,6 +54,9 @@ MANIFEST = (
 )
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
 class Encoder:
     """Encodes whole texts with a byte-level BPE tokenizer, remembering the ids of pieces.
 
@@ -72,6 +76,14 @@ class Encoder:
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.remembered = remembered
         self.known: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
+
+    @staticmethod
+    def shared(path: str) -> Encoder:
+        """The worker's encoder for a tokenizer: what one task has learnt serves the next."""
+        if path not in _ENCODERS:
+            _ENCODERS[path] = Encoder(path)
+        return _ENCODERS[path]
 
     def _direct(self, texts: list[str]) -> list[bytes]:
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -86,7 +98,7 @@ class Encoder:
             else:
                 pieces.append(None)
         if len(self.known) > self.remembered:
-            self.known = {}
+            self.known, self.earlier = {}, self.known
         known = self.known
         # a text's first piece has no space before it and is encoded apart
         missing = {u for p in pieces if p for u in p[1:] if u not in known}
@@ -101,6 +113,9 @@ class Encoder:
 
     def _learn(self, missing: set[str]) -> None:
         """Encode new pieces; a full stop or comma after letters only is a piece of its own."""
+        again = {u: self.earlier[u] for u in missing if u in self.earlier}
+        self.known.update(again)
+        missing = missing.difference(again)
         stems = {u[:-1] for u in missing if u[-1] in ".," and u[:-1].isalpha()}
         plain = [u for u in missing if not (u[-1] in ".," and u[:-1] in stems)]
         new = list({*plain, *(s for s in stems if s not in self.known)})
@@ -135,12 +150,15 @@ def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 def _dictionary(docs: DataFrame, doc_id: str, text: str, encoder: Encoder) -> bytes:
-    """Trained on the documents with the smallest hashes among the short ones."""
-    short = docs.select(F.col(doc_id).alias("d"), F.col(text).cast("string").alias("t")).filter(
-        f"length(t) BETWEEN 1 AND {SAMPLE_CHARACTERS}"
-    )
-    chosen = short.orderBy(F.xxhash64("d", "t"), "d", "t").limit(SAMPLE_DOCUMENTS)
-    samples = encoder.encode([row["t"] for row in chosen.collect()])
+    """Trained on short documents among those whose ids have the smallest hashes."""
+    mark = F.xxhash64(F.col(doc_id))
+    low = docs.select(mark.alias("mark")).orderBy("mark").limit(2 * SAMPLE_DOCUMENTS)
+    limit = low.agg(F.max("mark")).first()[0]
+    if limit is None:
+        return b""
+    near = docs.filter(mark <= limit).select(F.col(text).cast("string").alias("t"))
+    short = near.filter(f"length(t) BETWEEN 1 AND {SAMPLE_CHARACTERS}")
+    samples = encoder.encode([row["t"] for row in short.limit(SAMPLE_DOCUMENTS).collect()])
     if not samples:
         return b""
     try:
@@ -191,7 +209,7 @@ def write(
         first = next(batches, None)
         if first is None:
             return
-        encoder = Encoder(tokenizer)
+        encoder = Encoder.shared(tokenizer)
         part = TaskContext.get().partitionId()
         name = f"part-{part:08d}.tok"
         fs, root = filesystem(folder)
