@@ -23,8 +23,10 @@ import io
 import json
 import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,6 +57,10 @@ MANIFEST = (
 
 
 _ENCODERS: dict[str, Encoder] = {}
+#: How a byte-level vocabulary shows bytes: visible ones as themselves, the others, in order, as
+#: the characters from 256 on.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SHOWN = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 
 class Encoder:
@@ -74,6 +80,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.kind.itemsize == 2 else "I"
+        if sys.byteorder != "little" or array(self.code).itemsize != self.kind.itemsize:
+            raise RuntimeError("ids are serialised in the machine's order, which must be this one")
+        self.bare = self.tokenizer.normalizer is None
         self.remembered = remembered
         self.known: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
@@ -87,7 +97,12 @@ class Encoder:
 
     def _direct(self, texts: list[str]) -> list[bytes]:
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.kind).tobytes() for x in made]
+        return [array(self.code, x.ids).tobytes() for x in made]
+
+    def _one(self, piece: str) -> bytes:
+        """The ids of a space and letters: the pattern leaves them whole, so the model suffices."""
+        shown = piece.encode().decode("latin-1").translate(_SHOWN)
+        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The serialised ids of every text."""
@@ -118,9 +133,13 @@ class Encoder:
         missing = missing.difference(again)
         stems = {u[:-1] for u in missing if u[-1] in ".," and u[:-1].isalpha()}
         plain = [u for u in missing if not (u[-1] in ".," and u[:-1] in stems)]
-        new = list({*plain, *(s for s in stems if s not in self.known)})
-        spelled = [u if u[0] == "\n" else " " + u for u in new]
-        self.known.update(zip(new, self._direct(spelled)))
+        new = {*plain, *(s for s in stems if s not in self.known)}
+        letters = {u for u in new if u.isalpha()} if self.bare else set()
+        rest = list(new - letters)
+        for u in letters:
+            self.known[u] = self._one(" " + u)
+        spelled = [u if u[0] == "\n" else " " + u for u in rest]
+        self.known.update(zip(rest, self._direct(spelled)))
         ends = dict(zip(".,", self._direct([".", ","])))
         for u in missing:
             if u not in self.known:
