@@ -181,7 +181,11 @@ def _families(met: DataFrame) -> DataFrame:
     """``fp`` and ``root``: the end of the chain of most often met leaders."""
     votes = met.groupBy("fp", "leader").agg(F.count("*").alias("n"))
     best = votes.groupBy("fp").agg(F.max_by("leader", F.struct("n", "leader")).alias("root"))
-    roots = stage(best, "roots")
+    return _ends(stage(best, "roots"))
+
+
+def _ends(roots: DataFrame) -> DataFrame:
+    """``fp`` and ``root`` with every root replaced by the last one that following it leads to."""
     while True:
         up = roots.selectExpr("fp AS root", "root AS above")
         jumped = roots.join(up, "root", "left").selectExpr(
@@ -193,6 +197,37 @@ def _families(met: DataFrame) -> DataFrame:
         roots = roots.drop("moved")
 
 
+def _united(met: DataFrame, families: DataFrame, classes: DataFrame) -> DataFrame:
+    """``families`` with those joined that meet in a subtree and whose roots are alike.
+
+    Each root looks at the smallest root of every subtree its family is in, and follows the one
+    whose signature agrees most, if that is half of the values or more, until no root moves.
+    This keeps large groups of near copies in one family; families that stay apart lose nothing.
+    """
+    half, width = _VALUES // 2, DEPTH * TREES
+    values = "substring({}, 4 * k + 1, 4)"
+    agree = F.expr(
+        f"size(filter(sequence(0, {width - 1}), k -> {values.format('sig')} = {values.format('sig2')}))"
+    )
+    signatures = classes.select("fp", "sig")
+    while True:
+        seen = met.select("fp", "run").join(families, "fp").select("run", "root").distinct()
+        first = seen.groupBy("run").agg(F.min("root").alias("lead"), F.max("root").alias("hi"))
+        asked = seen.join(first.filter("lead < hi"), "run").filter("lead < root")
+        asked = asked.select("root", "lead").distinct()
+        asked = asked.join(signatures.withColumnsRenamed({"fp": "root"}), "root")
+        asked = asked.join(signatures.withColumnsRenamed({"fp": "lead", "sig": "sig2"}), "lead")
+        votes = asked.select("root", "lead", agree.alias("n")).filter(f"n >= {half}")
+        moves = votes.groupBy("root").agg(F.max_by("lead", F.struct("n", "lead")).alias("lead"))
+        moves = stage(moves, "moves")
+        if moves.isEmpty():
+            return families
+        roots = _ends(moves.withColumnsRenamed({"root": "fp", "lead": "root"}))
+        ends = roots.selectExpr("fp AS root", "root AS end")
+        moved = families.join(ends, "root", "left")
+        families = stage(moved.selectExpr("fp", "coalesce(end, root) AS root"), "families")
+
+
 def _differences(members: DataFrame, sets: DataFrame) -> DataFrame:
     """``members`` (fp, root, copies) with ``n``, ``root_n``, ``minus`` and ``plus`` (sorted hashes)."""
     own = members.join(sets, "fp").withColumnRenamed("elements", "own")
@@ -412,7 +447,7 @@ def find(
     )
     classes = stage(classes, "classes")
     met = _subtrees(classes, shortest_prefix(p / q, target_recall))
-    families = _families(met)
+    families = _united(met, _families(met), classes)
 
     # whole sets only of classes with company: one document each is read again
     wanted = stage(families.join(classes.select("fp", "copies", "copy_id"), "fp"), "wanted")
