@@ -19,7 +19,7 @@ from parityframe.llm.words import free_name
 from parityframe.workspace import stage
 
 MAX_EPOCHS = 3
-STEPS = 65_536
+STEPS = 4_096
 SEED = "mix-1"
 WORD = r"[^\x20\x09-\x0D]+"
 
