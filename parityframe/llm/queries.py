@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parityframe.llm import decontaminate, mixing, near_copies, quality, tokens
+from parityframe.llm import decontaminate, mixing, near_copies, quality, secrets, tokens, urls
 from parityframe.workspace import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +35,14 @@ def op2_mix_sources(spark, sf_dir):
     return mixing.taken_words(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_secrets(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.scan(docs).selectExpr(
+        "doc_id", "n_assign", "n_access", "n_hex", "sha2(base, 256) AS base_sha256", "spans"
+    )
+
+
 @query
 def op6_token_files(spark, sf_dir):
     folder = scratch_path(spark, "tokens")
@@ -42,6 +51,15 @@ def op6_token_files(spark, sf_dir):
     return tokens.digest(spark, folder)
 
 
+@query
+def op8_url_filter(spark, sf_dir):
+    """The block list holds the pages that some link leads to with a campaign mark."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    marked = pages.filter(F.col("url").contains("utm_source="))
+    listed = marked.selectExpr(f"concat({urls.host_sql('url')}, {urls.path_sql('url')}) AS key")
+    return urls.judge(pages, listed).select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op9_decontaminate(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
