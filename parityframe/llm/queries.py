@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parityframe.llm import decontaminate, mixing, near_copies, quality, secrets, tokens, urls
+from parityframe.llm import decontaminate, html, mixing, near_copies, quality, secrets, tokens, urls
 from parityframe.workspace import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,12 @@ def op3_secrets(spark, sf_dir):
     )
 
 
+@query
+def op4_main_text(spark, sf_dir):
+    texts = html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return texts.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 @query
 def op6_token_files(spark, sf_dir):
     folder = scratch_path(spark, "tokens")
