@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parityframe.llm import decontaminate, html, mixing, near_copies, quality, secrets, tokens, urls
+from parityframe.llm import (
+    decontaminate,
+    html,
+    licenses,
+    line_dedup,
+    mixing,
+    near_copies,
+    quality,
+    secrets,
+    tokens,
+    urls,
+)
 from parityframe.workspace import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +60,18 @@ def op4_main_text(spark, sf_dir):
     return texts.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+@query
+def op5_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.deduplicate(docs).selectExpr(
+        "doc_id",
+        "n_lines",
+        "n_deleted",
+        "CAST(length(text) AS BIGINT) AS n_chars",
+        "sha2(coalesce(text, ''), 256) AS text_sha256",
+    )
+
+
 @query
 def op6_token_files(spark, sf_dir):
     folder = scratch_path(spark, "tokens")
@@ -57,6 +80,12 @@ def op6_token_files(spark, sf_dir):
     return tokens.digest(spark, folder)
 
 
+@query
+def op7_licenses(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs).drop("text")
+
+
 @query
 def op8_url_filter(spark, sf_dir):
     """The block list holds the pages that some link leads to with a campaign mark."""
