@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from parityframe.llm.words import (
     NOT_SPACE,
     free_name,
+    mix,
     small_batches,
     text_blocks,
-    window_hashes,
     word_hashes,
 )
 from parityframe.workspace import stage
@@ -108,12 +108,10 @@ def _lines(rows: DataFrame) -> DataFrame:
                 starts, _, keys, cut = word_hashes(data, offsets, NOT_SPACE)
                 ends = np.flatnonzero(data == 10)
                 line = np.searchsorted(ends, starts)
+                made, n, row = _line_hashes(keys, line, cut)
                 for i in range(len(offsets) - 1):
-                    a, b = cut[i], cut[i + 1]
-                    _, first, n = np.unique(line[a:b], return_index=True, return_counts=True)
-                    own = keys[a:b]
-                    hashes.append([int(_line_hash(own[f : f + k])) for f, k in zip(first, n)])
-                    words.append(n.tolist())
+                    hashes.append(made[row[i] : row[i + 1]])
+                    words.append(n[row[i] : row[i + 1]])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"),
@@ -127,8 +125,19 @@ def _lines(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"key {kind}, hashes array<bigint>, words array<int>")
 
 
-def _line_hash(words: np.ndarray) -> np.int64:
-    return window_hashes(words, len(words)).view(np.int64)[0]
+def _line_hashes(keys: np.ndarray, line: np.ndarray, cut: np.ndarray):
+    """Hash and number of words of every line with a word, and where each row's lines begin."""
+    if not len(keys):
+        none = np.zeros(0, np.int64)
+        return none, none.astype(np.int32), np.zeros(len(cut), np.int64)
+    new = np.ones(len(keys), bool)
+    new[1:] = line[1:] != line[:-1]
+    new[cut[:-1][cut[:-1] < len(keys)]] = True  # a row's first word begins a line
+    first = np.flatnonzero(new)
+    n = np.diff(np.append(first, len(keys)))
+    place = np.arange(len(keys)) - np.repeat(first, n)
+    hashes = mix(np.add.reduceat(mix(keys + mix(place.astype(np.uint64))), first))
+    return hashes.view(np.int64), n.astype(np.int32), np.searchsorted(first, cut)
 
 
 def _aligned(pairs: DataFrame, block_words: int) -> DataFrame:

@@ -201,31 +201,26 @@ def _united(met: DataFrame, families: DataFrame, classes: DataFrame) -> DataFram
     """``families`` with those joined that meet in a subtree and whose roots are alike.
 
     Each root looks at the smallest root of every subtree its family is in, and follows the one
-    whose signature agrees most, if that is half of the values or more, until no root moves.
-    This keeps large groups of near copies in one family; families that stay apart lose nothing.
+    whose signature agrees most, if that is half of the values or more. This keeps large groups
+    of near copies in few families; families that stay apart lose nothing.
     """
-    half, width = _VALUES // 2, DEPTH * TREES
-    values = "substring({}, 4 * k + 1, 4)"
+    half = _VALUES // 2
+    value = "substring({}, 4 * k + 1, 4)"
     agree = F.expr(
-        f"size(filter(sequence(0, {width - 1}), k -> {values.format('sig')} = {values.format('sig2')}))"
+        f"size(filter(sequence(0, {_VALUES - 1}), k -> {value.format('sig')} = {value.format('sig2')}))"
     )
     signatures = classes.select("fp", "sig")
-    while True:
-        seen = met.select("fp", "run").join(families, "fp").select("run", "root").distinct()
-        first = seen.groupBy("run").agg(F.min("root").alias("lead"), F.max("root").alias("hi"))
-        asked = seen.join(first.filter("lead < hi"), "run").filter("lead < root")
-        asked = asked.select("root", "lead").distinct()
-        asked = asked.join(signatures.withColumnsRenamed({"fp": "root"}), "root")
-        asked = asked.join(signatures.withColumnsRenamed({"fp": "lead", "sig": "sig2"}), "lead")
-        votes = asked.select("root", "lead", agree.alias("n")).filter(f"n >= {half}")
-        moves = votes.groupBy("root").agg(F.max_by("lead", F.struct("n", "lead")).alias("lead"))
-        moves = stage(moves, "moves")
-        if moves.isEmpty():
-            return families
-        roots = _ends(moves.withColumnsRenamed({"root": "fp", "lead": "root"}))
-        ends = roots.selectExpr("fp AS root", "root AS end")
-        moved = families.join(ends, "root", "left")
-        families = stage(moved.selectExpr("fp", "coalesce(end, root) AS root"), "families")
+    seen = met.select("fp", "run").join(families, "fp").select("run", "root").distinct()
+    first = seen.groupBy("run").agg(F.min("root").alias("lead"), F.max("root").alias("hi"))
+    asked = seen.join(first.filter("lead < hi"), "run").filter("lead < root")
+    asked = asked.select("root", "lead").distinct()
+    asked = asked.join(signatures.withColumnsRenamed({"fp": "root"}), "root")
+    asked = asked.join(signatures.withColumnsRenamed({"fp": "lead", "sig": "sig2"}), "lead")
+    votes = asked.select("root", "lead", agree.alias("n")).filter(f"n >= {half}")
+    moves = votes.groupBy("root").agg(F.max_by("lead", F.struct("n", "lead")).alias("lead"))
+    ends = _ends(stage(moves.withColumnsRenamed({"root": "fp", "lead": "root"}), "moves"))
+    moved = families.join(ends.selectExpr("fp AS root", "root AS end"), "root", "left")
+    return stage(moved.selectExpr("fp", "coalesce(end, root) AS root"), "families")
 
 
 def _differences(members: DataFrame, sets: DataFrame) -> DataFrame:

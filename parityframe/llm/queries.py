@@ -117,3 +117,94 @@ def op10_quality_bands(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "ratio", "n_chunks", "n_low_chunks", "n_high_chunks",
     )
+
+
+_HOST = (
+    "translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), "
+    "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+_PATH = "coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
+_FITS = "(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
+
+
+def _url_cases(pick: Callable[[tuple[str, str, str]], str]) -> str:
+    longest = sorted(urls.RULES, key=lambda r: -len(r[1] + r[2]))
+    return " ".join(f"WHEN {_FITS.format(h=r[1], p=r[2])} THEN '{pick(r)}'" for r in longest)
+
+
+ORACLES["op8_url_filter"] = f"""
+WITH u AS (SELECT page_id, url, {_HOST} AS host, {_PATH} AS path FROM pages),
+listed AS (SELECT DISTINCT host || path AS key FROM u WHERE contains(url, 'utm_source='))
+SELECT page_id, host, path,
+  CASE {_url_cases(lambda r: r[1] + r[2])} END AS rule,
+  CASE {_url_cases(lambda r: r[0])}
+    WHEN host || path IN (SELECT key FROM listed) THEN 'block' ELSE 'allow' END AS verdict
+FROM u
+"""
+
+ORACLES["op9_decontaminate"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n,
+    array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b
+        WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+grams AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes
+        WHERE len(w) >= n)),
+found AS (SELECT doc_id, grams.n, i, item_id FROM grams JOIN windows USING (n, g)),
+hits AS (
+  SELECT doc_id, count(DISTINCT at) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS at FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+""".replace("\\x", "\x")
+
+ORACLES["op2_mix_sources"] = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+k AS (
+  SELECT doc_id, source, len(regexp_extract_all(t, '[^ 	-]+')) AS size,
+    md5(concat('mix-1', '|', coalesce(CAST(doc_id AS VARCHAR), ''), '|', t)) AS tie,
+    coalesce(greatest(0.05, length(regexp_replace(t, '[ -@\[-`{-]+', '', 'g'))::DOUBLE
+      / nullif(length(t), 0)), 0.05) AS quality
+  FROM d),
+e AS (
+  SELECT *, -ln(((('0x' || substr(tie, 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0)
+    / quality AS key FROM k),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM e GROUP BY source),
+w AS (
+  SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w,
+    3 * source_size AS cap FROM s),
+r AS (SELECT *, cap::DOUBLE / w AS r FROM w),
+f AS (
+  SELECT *, ((SELECT sum(source_size) FROM s) - coalesce(sum(cap) OVER before, 0))::DOUBLE
+    / ((SELECT sum(w) FROM w) - coalesce(sum(w) OVER before, 0)) AS share
+  FROM r WINDOW before AS (ORDER BY r, source NULLS LAST
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT r AS r0, share AS level FROM f WHERE share <= r ORDER BY r, share LIMIT 1),
+t AS (
+  SELECT source, source_size,
+    CASE WHEN r < r0 THEN cap::DOUBLE ELSE least(cap::DOUBLE, level * w) END AS target
+  FROM f, level),
+g AS (
+  SELECT e.*, t.source_size, t.target,
+    CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS epochs
+  FROM e JOIN t ON e.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  CAST((epochs + CASE WHEN sum(size) OVER (PARTITION BY source ORDER BY key, tie
+      ROWS UNBOUNDED PRECEDING) - size / 2.0 <= target - epochs * source_size
+      AND target - epochs * source_size > 0 THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
+FROM g
+"""
