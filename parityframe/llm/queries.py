@@ -161,23 +161,23 @@ grams AS (
         WHERE len(w) >= n)),
 found AS (SELECT doc_id, grams.n, i, item_id FROM grams JOIN windows USING (n, g)),
 hits AS (
-  SELECT doc_id, count(DISTINCT at) AS n_hit
-  FROM (SELECT doc_id, unnest(range(i, i + n)) AS at FROM found) GROUP BY doc_id),
+  SELECT doc_id, count(DISTINCT pos) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM found) GROUP BY doc_id),
 items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
-""".replace("\\x", "\x")
+"""
 
 ORACLES["op2_mix_sources"] = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
 k AS (
-  SELECT doc_id, source, len(regexp_extract_all(t, '[^ 	-]+')) AS size,
+  SELECT doc_id, source, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS size,
     md5(concat('mix-1', '|', coalesce(CAST(doc_id AS VARCHAR), ''), '|', t)) AS tie,
-    coalesce(greatest(0.05, length(regexp_replace(t, '[ -@\[-`{-]+', '', 'g'))::DOUBLE
+    coalesce(greatest(0.05, length(regexp_replace(t, '[\x00-@\[-`{-\x7F]+', '', 'g'))::DOUBLE
       / nullif(length(t), 0)), 0.05) AS quality
   FROM d),
 e AS (
