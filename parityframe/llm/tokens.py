@@ -44,8 +44,8 @@ DICTIONARY_BYTES = 64 * 1024
 #: Documents the dictionary is trained on, and the most characters of one: it serves short ones.
 SAMPLE_DOCUMENTS = 400
 SAMPLE_CHARACTERS = 4000
-#: Bytes of input, by the planner's estimate, that one output file holds.
-FILE_BYTES = 12 << 20
+#: Bytes of text that one file holds.
+FILE_BYTES = 40 << 20
 #: Different pieces of text a worker remembers the ids of, about 150 bytes each; as many that it
 #: had learnt before serve for a while longer.
 REMEMBERED = 350_000
@@ -219,7 +219,7 @@ def write(
         F.col(doc_id).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     ).withColumn("tie", F.xxhash64("text"))
-    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())  # an estimate
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // file_bytes))
     ordered = rows.repartitionByRange(parts, F.asc_nulls_first("doc_id"), "tie")
     ordered = ordered.sortWithinPartitions(F.asc_nulls_first("doc_id"), "tie", "text")
