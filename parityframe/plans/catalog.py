@@ -469,7 +469,7 @@ def sector_boxplot(spark, sf_dir):
 
 @query
 def dimension_values(spark, sf_dir):
-    groups = S.income_stats(silver(spark, sf_dir)).select(*BY)
+    groups = silver(spark, sf_dir).select(*BY).distinct()
     lists = S.dimension_values(groups, "COUNTRY", "YEAR")
     return lists.select(*[F.array_join(c, ",").alias(c) for c in lists.columns])
 

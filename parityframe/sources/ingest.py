@@ -65,13 +65,13 @@ def ensure_bronze(
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: list[str] = (), rebalance: bool = False
+    df: DataFrame, path: str, partition_by: list[str] = (), rebalance: bool = True
 ) -> None:
     """Overwrite a Parquet table, optionally in one folder per partition value.
 
-    Every task writes a file per partition value it holds. When tasks are many and mixed, as
-    after a scan, ``rebalance`` brings the rows of a partition together first, in files of even
-    size: large partitions are split, small ones share a task.
+    Every task writes a file per partition value it holds, which for many mixed tasks, as after a
+    scan, are far too many. So ``rebalance`` brings the rows of a partition together first, in
+    files of even size: large partitions are split, small ones share a task.
     """
     if partition_by and rebalance:
         df = df.hint("rebalance", *[F.col(name) for name in partition_by])
@@ -82,8 +82,11 @@ def write_table(
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header; ``single_file`` is for small results, as one task writes it all."""
-    out = df.coalesce(1) if single_file else df
+    """CSV with a header; ``single_file`` is for small results, as one task writes it all.
+
+    The rows are made by as many tasks as ever and only meet in the one that writes.
+    """
+    out = df.repartition(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
