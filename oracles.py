@@ -504,9 +504,19 @@ ORACLES: dict[str, str] = {
         "(SELECT quantile_cont(INCTOT, 0.95) FROM explored))",
         "lim AS (SELECT min(INCTOT) AS lo, max(INCTOT) AS hi FROM trimmed)",
     ),
+    **{
+        f"sample_{kind}_profile": on_persons(
+            "SELECT COUNTRY, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_foreign, "
+            "true AS size_fits FROM persons GROUP BY COUNTRY"
+        )
+        for kind in ("bernoulli", "stratified")
+    },
     "attrition": on_silver(
-        "SELECT l.COUNTRY, layer, l.n_rows, round(l.n_rows / b.n_rows * 100, 6) AS retained_pct, "
-        "round(100 - l.n_rows / b.n_rows * 100, 6) AS excluded_pct FROM ("
+        "SELECT b.COUNTRY, g.layer, coalesce(l.n_rows, 0) AS n_rows, "
+        "round(coalesce(l.n_rows, 0) / b.n_rows * 100, 6) AS retained_pct, "
+        "round(100 - coalesce(l.n_rows, 0) / b.n_rows * 100, 6) AS excluded_pct "
+        "FROM (SELECT COUNTRY, count(*) AS n_rows FROM persons GROUP BY COUNTRY) b "
+        "CROSS JOIN (VALUES ('bronze'), ('deduplicated'), ('silver')) g(layer) LEFT JOIN ("
         + " UNION ALL ".join(
             f"SELECT COUNTRY, '{layer}' AS layer, count(*) AS n_rows FROM {t} GROUP BY COUNTRY"
             for layer, t in (
@@ -515,8 +525,7 @@ ORACLES: dict[str, str] = {
                 ("silver", "silver"),
             )
         )
-        + ") l JOIN (SELECT COUNTRY, count(*) AS n_rows FROM persons GROUP BY COUNTRY) b "
-        "ON l.COUNTRY = b.COUNTRY"
+        + ") l ON l.COUNTRY = b.COUNTRY AND l.layer = g.layer"
     ),
     "baseline_metrics": on_silver(
         "SELECT country_name, count(*) AS n_individuals, CAST(sum(PERWT) AS BIGINT) AS n_weighted, "

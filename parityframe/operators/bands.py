@@ -11,11 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parityframe.operators.prefix import TASK_ROWS, running_totals
+from parityframe.operators.prefix import running_totals
 from parityframe.workspace import join_groups, quoted, stage
 
-BROADCAST_ROWS = 100_000  # a few small columns each: some megabytes
-WINDOW_ROWS = TASK_ROWS  # rows of one value a single task may order
+SALTS = 16  # tasks that share the rows of one straddling value, if it comes to a shuffle
 
 
 def _band(cum: str, cuts: list[float], inclusive: list[bool]) -> str:
@@ -72,39 +71,28 @@ def _slice(units: DataFrame, by: list[str], cuts: list[float], inclusive: list[b
     return _pieces(units, by, "rows_in", "rows_in * unit")
 
 
-def _runs(rows: DataFrame, mixed: DataFrame, by: list[str], n_mixed: int, largest: int):
+def _runs(rows: DataFrame, mixed: DataFrame, by: list[str]) -> DataFrame:
     """Units of the straddling values whose rows differ in weight: one per distinct weight.
 
-    The sizes decide the way: a small table of values is broadcast to the rows, else the rows are
-    collapsed before they are shuffled; a value with many rows is accumulated cell by cell.
+    ``mixed`` is read from a stored table, so the planner knows its size and broadcasts it or
+    shuffles; then a salt taken from the weight spreads the rows of a frequent value.
     """
     keys = [*by, "value"]
-    carried = ["base", "weight_total", "income_total"]
-    count = F.expr("count(*) AS n")
-    if n_mixed <= BROADCAST_ROWS:
-        found = join_groups(rows, F.broadcast(mixed), keys)
-        runs = found.groupBy(*keys, *carried, "w").agg(count)
-    else:
-        runs = join_groups(rows.groupBy(*keys, "w").agg(count), mixed, keys)
-    runs = runs.selectExpr("*", "w * n AS weight")
-    if largest <= WINDOW_ROWS:
-        lighter = (
-            f"PARTITION BY {', '.join(map(quoted, keys))} ORDER BY w "
-            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-        )
-        before = f"coalesce(sum(weight) OVER ({lighter}), 0D) AS weight_before"
-        runs = runs.selectExpr("*", before)
-    else:
-        whole = runs.withColumnRenamed("weight_total", "whole")
-        runs = running_totals(whole, keys, "w", ["weight"]).drop("weight_total")
-        runs = runs.withColumnRenamed("whole", "weight_total")
+    carried = ["base", "whole", "income_total"]
+    salt = F.expr(f"CAST(pmod(hash(w), {SALTS}) AS INT)")
+    salted = mixed.withColumnRenamed("weight_total", "whole").withColumn(
+        "_salt", F.expr(f"explode(sequence(0, {SALTS - 1}))")
+    )
+    found = join_groups(rows.select(*keys, "w", salt.alias("_salt")), salted, [*keys, "_salt"])
+    runs = found.groupBy(*keys, *carried, "w").agg(F.expr("count(*) AS n"))
+    runs = running_totals(runs.selectExpr("*", "w * n AS weight"), keys, "w", ["weight"])
     return runs.selectExpr(
         *map(quoted, keys),
         "n",
         "w AS unit",
         "weight",
         "base + weight_before AS weight_before",
-        "weight_total",
+        "whole AS weight_total",
         "income_total",
     )
 
@@ -120,7 +108,7 @@ def weight_bands(
     """Split the group totals of ``cdf`` at the cut fractions.
 
     ``rows`` is the input of the cdf, scanned again only for values that straddle a cut with
-    unequal weights. ``cdf`` should be a staged table, since it is read several times. With
+    unequal weights. With
     ``reuse`` the few split values are stored, so that several results can be taken from the
     bands at the price of one such scan.
     Result: one row per group, band and value with ``n``, ``weight`` and ``income``.
@@ -143,18 +131,9 @@ def weight_bands(
         "income_total",
         "weight_min < weight_max AS mixed",
     )
-    sizes = straddling.selectExpr(
-        "count(*) AS all", "count_if(mixed) AS mixed", "max(n) AS largest"
-    ).first()
-    if sizes["all"] == 0:
-        return pieces
+    straddling = stage(straddling, "straddling")  # at most one row per group and cut
     even = straddling.filter("NOT mixed").withColumnRenamed("base", "weight_before").drop("mixed")
-    units = even
-    if sizes["mixed"]:
-        mixed = straddling.filter("mixed").select(
-            *by, "value", "base", "weight_total", "income_total"
-        )
-        uneven = _runs(rows, mixed, by, sizes["mixed"], sizes["largest"])
-        units = uneven if sizes["mixed"] == sizes["all"] else even.unionByName(uneven)
+    mixed = straddling.filter("mixed").select(*by, "value", "base", "weight_total", "income_total")
+    units = even.unionByName(_runs(rows, mixed, by))
     split = _slice(units, by, cuts, inclusive)
     return pieces.unionByName(stage(split, "split") if reuse else split)

@@ -10,7 +10,7 @@ from parityframe.functions.labels import country_label
 from parityframe.functions.metrics import mld_col, theil_col, weighted_mean_col
 from parityframe.operators.bands import weight_bands
 from parityframe.operators.prefix import weighted_cdf, weighted_rows
-from parityframe.workspace import join_groups, quoted, stage
+from parityframe.workspace import attach_groups, join_groups, quoted
 
 GINI_METHODS = ("cumulative", "lorenz_left", "trapezoid", "rank")
 
@@ -79,9 +79,9 @@ def mean_log_deviation(
     return _group(df, list(by), mld_col(quoted(value), w).alias("mld"))
 
 
-def _staged(df: DataFrame, value: str, weight: str | None, by: list[str]):
+def _rows_and_cdf(df: DataFrame, value: str, weight: str | None, by: list[str]):
     rows = weighted_rows(df, value, weight, by)
-    return rows, stage(weighted_cdf(rows, by), "cdf")
+    return rows, weighted_cdf(rows, by)
 
 
 def bottom_and_top_shares(
@@ -109,7 +109,7 @@ def palma(
 ) -> DataFrame:
     """Income of the top 10 % over income of the bottom 40 %; NULL when the latter is zero."""
     by = list(by)
-    rows, cdf = _staged(df, value, weight, by)
+    rows, cdf = _rows_and_cdf(df, value, weight, by)
     shares = _bottom_and_top(rows, cdf, by, top_inclusive)
     return shares.select(*by, F.try_divide("top_income", "bottom_income").alias("palma"))
 
@@ -129,10 +129,7 @@ def weighted_median(
 
 def _below_half_median(cdf: DataFrame, medians: DataFrame, by: list[str]) -> DataFrame:
     """Share of weight strictly below half the median; 0 for a zero median."""
-    if by:
-        matched = join_groups(cdf, medians.select(*by, "median"), by)
-    else:
-        matched = cdf.withColumn("median", F.lit(medians.first()["median"]).cast("double"))
+    matched = attach_groups(cdf, medians.select(*by, "median"), by)
     poor = "sum(if(value < 0.5D * median, weight, 0D))"
     share = f"if(max(median) = 0, 0D, try_divide({poor}, max(weight_total)))"
     return _group(matched, by, F.expr(f"{share} AS sdg_10_2_1"))
@@ -143,7 +140,7 @@ def poverty_half_median(
 ) -> DataFrame:
     """Relative poverty: share of the population with less than half the weighted median."""
     by = list(by)
-    _, cdf = _staged(df, value, weight, by)
+    _, cdf = _rows_and_cdf(df, value, weight, by)
     medians = _group(cdf, by, weighted_median_col().alias("median"))
     return _below_half_median(cdf, medians, by)
 
@@ -175,7 +172,7 @@ def shared_prosperity(
 ) -> DataFrame:
     """Mean of the bottom 40 %, its premium over the overall mean in percent, and the flag."""
     by = list(by)
-    rows, cdf = _staged(df, value, weight, by)
+    rows, cdf = _rows_and_cdf(df, value, weight, by)
     means = _group(cdf, by, weighted_mean_col("value", "weight").alias("mean_income"))
     shares = _bottom_and_top(rows, cdf, by)
     joined = _with_prosperity(_with_groups(means, shares, by))
@@ -188,17 +185,17 @@ def inequality_summary(
     weight: str | None = "PERWT",
     by: list[str] = ("COUNTRY", "YEAR"),
 ) -> DataFrame:
-    """Every headline measure per group, from one staged cdf.
+    """Every headline measure per group, from one cdf.
 
     ``df`` is scanned a second time only for the values that straddle a cut.
     """
     by = list(by)
-    rows, cdf = _staged(df, value, weight, by)
+    rows, cdf = _rows_and_cdf(df, value, weight, by)
     return summary_from(cdf, _bottom_and_top(rows, cdf, by), by)
 
 
 def summary_from(cdf: DataFrame, shares: DataFrame, by: list[str]) -> DataFrame:
-    """The summary from a staged cdf and the bottom and top shares taken from it."""
+    """The summary from a cdf and the bottom and top shares taken from it."""
     base = _group(
         cdf,
         by,

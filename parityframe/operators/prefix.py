@@ -1,14 +1,14 @@
 """Exact running totals per group, distributed.
 
 A window ordered over a whole group would put that group into one task, and a group may hold
-a third of all rows. Here each group is cut into *cells*, ranges of the ordering value that
-depend on the value alone (equal steps of its logarithm). Running totals are taken inside each
-cell, cell totals are accumulated over the short list of cells, and both are added. The cut
-needs no sampled or approximate split points, so a recomputed task always gets the same cells.
+a third of all rows. Here the rows are range-partitioned by group and ordering value, and each
+row keeps the number of its partition. Running totals are taken inside the part of a group that
+lies in one partition, the totals of the parts are accumulated over the short list of parts, and
+both are added. Parts are of even size however the values are spread, as no two rows of a group
+share a value. This is done at every size; a small table just has few partitions.
 
 Rows are first collapsed to one per distinct value, with map-side combining, so a value shared
-by a third of all rows costs one row here and a cell holds distinct values only. Should very
-many distinct values crowd into one cell, that cell is cut again around its own minimum.
+by a third of all rows costs one row here.
 """
 
 from __future__ import annotations
@@ -18,11 +18,6 @@ from pyspark.sql import functions as F
 
 from parityframe.workspace import join_groups, quoted, stage
 
-CELLS_PER_OCTAVE = 4096
-TASK_ROWS = 1_000_000  # a table up to this size may be ordered group by group
-CELL_ROWS = 2_000_000  # distinct values of a cell a single task may order
-_EXPONENT_SHIFT = 1100  # above any exponent of a double
-
 _EARLIER = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 _ENDS = ("_before", "_total")
 CDF_COLUMNS = [
@@ -31,87 +26,41 @@ CDF_COLUMNS = [
 ]
 
 
-def cell_of(value: str, cells_per_octave: int = CELLS_PER_OCTAVE) -> Column:
-    """Integer that never decreases as ``value`` grows; 0 for zero, negative below it."""
-    octave = f"least(log2(abs({value})), 1025D) + {_EXPONENT_SHIFT}D"
-    size = f"(CAST(floor(({octave}) * {cells_per_octave}) AS INT) + 1)"
-    return F.expr(f"CASE WHEN {value} = 0 THEN 0 WHEN {value} > 0 THEN {size} ELSE -{size} END")
-
-
-def running_totals(
-    df: DataFrame,
-    keys: list[str],
-    order: str,
-    sums: list[str],
-    cells_per_octave: int = CELLS_PER_OCTAVE,
-) -> DataFrame:
+def running_totals(df: DataFrame, keys: list[str], order: str, sums: list[str]) -> DataFrame:
     """Add ``<s>_before`` (total of the earlier rows) and ``<s>_total`` for every ``s`` in ``sums``.
 
     ``df`` must hold one row per ``keys`` and ``order``; ``order`` must be a non-null number.
-    It is written first, since cells and cell totals are both taken from it: without that the
-    optimizer prunes the two branches differently and scans the input of ``df`` twice. A table of
-    at most ``TASK_ROWS`` rows in all is then ordered by a plain window per group.
+    Two tables are written: the rows with the totals inside their part, and one row per part with
+    what lies before it. The result joins both, on the true size of the second, and may be read
+    several times without being stored again.
     """
-    columns = df.columns
-    cell = f"_cell{sum(k.startswith('_cell') for k in keys)}"
-    df = stage(df.withColumn(cell, cell_of(order, cells_per_octave)), "blocks")
-    size = df.count()  # read from the file footers
-    group = ", ".join(map(quoted, keys))
-    whole = f"PARTITION BY {group}" if keys else ""
-    inside = [*keys, cell]
-
-    def before(s: str, part: str, by: str) -> str:
-        return f"coalesce(sum({s}) OVER ({part} ORDER BY {by} {_EARLIER}), 0D)"
-
-    if size <= TASK_ROWS:
-        return df.selectExpr(
-            *map(quoted, columns),
-            *[f"{before(s, whole, order)} AS {s}_before" for s in sums],
-            *[f"sum({s}) OVER ({whole}) AS {s}_total" for s in sums],
-        )
-    if size > CELL_ROWS and _crowded(df, inside):
-        leaves = _inside_crowded_cells(df, inside, order, sums, cells_per_octave)
-    else:
-        part = f"PARTITION BY {', '.join(map(quoted, inside))}"
-        leaves = df.selectExpr("*", *[f"{before(s, part, order)} AS _in_{s}" for s in sums])
-    cells = df.groupBy(*inside).agg(*[F.sum(s).alias(s) for s in sums])
-    offsets = cells.selectExpr(
-        *map(quoted, inside),
-        *[f"{before(s, whole, cell)} AS _off_{s}" for s in sums],
+    columns = [quoted(c) for c in df.columns]
+    group = [quoted(k) for k in keys]
+    part = [*group, "_part"]
+
+    def before(s: str, within: list[str], by: str) -> str:
+        clause = f"PARTITION BY {', '.join(within)}" if within else ""
+        return f"coalesce(sum({s}) OVER ({clause} ORDER BY {by} {_EARLIER}), 0D)"
+
+    ranged = df.repartitionByRange(*keys, order).withColumn("_part", F.spark_partition_id())
+    inside = [f"{before(s, part, order)} AS _in_{s}" for s in sums]
+    leaves = stage(ranged.selectExpr("*", *inside), "leaves")
+
+    parts = leaves.groupBy(*keys, "_part").agg(*[F.sum(s).alias(s) for s in sums])
+    whole = f"PARTITION BY {', '.join(group)}" if group else ""
+    offsets = parts.selectExpr(
+        *part,
+        *[f"{before(s, group, '_part')} AS _off_{s}" for s in sums],
         *[f"sum({s}) OVER ({whole}) AS {s}_total" for s in sums],
     )
-    joined = join_groups(leaves, offsets, inside)
+    joined = join_groups(leaves, stage(offsets, "offsets"), [*keys, "_part"])
     return joined.selectExpr(
-        *map(quoted, columns),
+        *columns,
         *[f"_off_{s} + _in_{s} AS {s}_before" for s in sums],
         *[f"{s}_total" for s in sums],
     )
 
 
-def _crowded(df: DataFrame, cell: list[str]) -> bool:
-    """Whether some cell of the stored table holds more rows than one task should order."""
-    return df.groupBy(*cell).count().agg(F.max("count")).first()[0] > CELL_ROWS
-
-
-def _inside_crowded_cells(
-    df: DataFrame, cell: list[str], order: str, sums: list[str], cells_per_octave: int
-) -> DataFrame:
-    """Totals inside each cell, cut again by the distance from its smallest value.
-
-    Values of a cell differ by less than a factor of two, so the subtraction is exact and keeps
-    them apart; the distances spread over many octaves however close the values lie.
-    """
-    lowest = df.groupBy(*cell).agg(F.expr(f"min({order}) AS _lowest"))
-    shift = f"_shift{cell[-1]}"
-    shifted = join_groups(df, lowest, cell).selectExpr(
-        *map(quoted, df.columns), f"{order} - _lowest AS {shift}"
-    )
-    inner = running_totals(shifted, cell, shift, sums, cells_per_octave)
-    return inner.selectExpr(
-        *map(quoted, df.columns), *[f"{s}_before AS _in_{s}" for s in sums]
-    )
-
-
 def weighted_rows(
     df: DataFrame,
     value: str,
@@ -141,19 +90,18 @@ def weighted_rows(
 def weighted_cdf(
     rows: DataFrame,
     by: list[str],
-    cells_per_octave: int = CELLS_PER_OCTAVE,
     extra: list[str] = (),
 ) -> DataFrame:
     """One row per group and distinct value, with the weight and income that lie before it.
 
-    The rows are scanned once, when this is called, and collapsed into a stored table.
+    The rows are scanned when this is called; the result is read from stored tables.
 
     ``rows`` comes from :func:`weighted_rows`. ``weight``, ``weight_sq``, ``weight_min`` and
     ``weight_max`` describe the weights of the rows sharing the value, ``income`` is value times
     weight, ``*_total`` are group totals. Each name in ``extra`` gets the same three columns.
     """
     sums = ["weight", "income", *extra]
-    cdf = running_totals(collapse(rows, by, extra), by, "value", sums, cells_per_octave)
+    cdf = running_totals(collapse(rows, by, extra), by, "value", sums)
     return cdf.select(*by, *CDF_COLUMNS, *[n + end for n in extra for end in ("", *_ENDS)])
 
 

@@ -13,7 +13,7 @@ from parityframe import constants as C
 from parityframe.functions.labels import cut
 from parityframe.operators.bands import weight_bands
 from parityframe.operators.prefix import weighted_cdf, weighted_rows
-from parityframe.workspace import attach_groups, quoted, stage
+from parityframe.workspace import attach_groups, quoted
 
 
 def count_cdf(df: DataFrame, value: str, by: list[str]) -> DataFrame:
@@ -71,7 +71,7 @@ def quantile_shares(
     """
     by = list(by)
     rows = weighted_rows(df, value, weight, by)
-    cdf = stage(weighted_cdf(rows, by), "cdf")
+    cdf = weighted_cdf(rows, by)
     return shares_from(weight_bands(rows, cdf, by, [i / n for i in range(1, n)]), by)
 
 
@@ -148,7 +148,7 @@ def qcut_summary(df: DataFrame, value: str, q: int = 5, by: list[str] = ()) -> D
     Bins are given to distinct values rather than rows, so the rows are scanned once.
     """
     by = list(by)
-    cdf = stage(count_cdf(df, value, by), "cdf")
+    cdf = count_cdf(df, value, by)
     values = cdf.select(*by, "value", F.col("n").alias("heads"))
     binned = _binned(values, _edges(cdf, q, by), "value", q, by, "bin", list(range(1, q + 1)))
     rows = weighted_rows(binned, "value", "heads", [*by, "bin"], keep_negative=True)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parityframe.workspace import join_groups, quoted
+
 
 def bernoulli(df: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataFrame:
     return df.sample(fraction=fraction, seed=seed)
@@ -15,6 +17,28 @@ def stratified(df: DataFrame, column: str, fractions: dict, seed: int = 42) -> D
     return df.sampleBy(column, fractions, seed)
 
 
+def profile(df: DataFrame, sample: DataFrame, column: str, fractions: dict) -> DataFrame:
+    """Per stratum of ``df``: its rows, and whether ``sample`` can be a sample of it.
+
+    ``n_foreign`` counts sampled rows the table lacks or has fewer times; ``size_fits`` tells
+    that the size lies within five standard deviations. Strata not listed must be empty.
+    """
+    drawn = sample.groupBy(column).agg(F.count(F.lit(1)).alias("_drawn"))
+    foreign = sample.exceptAll(df).groupBy(column).agg(F.count(F.lit(1)).alias("_foreign"))
+    rate = F.lit(0.0)
+    for stratum, fraction in fractions.items():
+        rate = F.when(F.col(column) == stratum, F.lit(float(fraction))).otherwise(rate)
+    whole = df.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("_rate", rate)
+    whole = join_groups(whole, drawn, [column], "left")
+    gap = "abs(coalesce(_drawn, 0) - n_rows * _rate)"
+    return join_groups(whole, foreign, [column], "left").selectExpr(
+        quoted(column),
+        "n_rows",
+        "coalesce(_foreign, 0L) AS n_foreign",
+        f"{gap} <= 5 * sqrt(n_rows * _rate * (1 - _rate)) AS size_fits",
+    )
+
+
 def keyed(
     df: DataFrame, household: str, person: str, fractions: dict, column: str, base: int = 1000
 ) -> DataFrame:

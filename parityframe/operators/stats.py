@@ -6,7 +6,9 @@ scan with map-side combining produces; the plain ones are ordinary hash aggregat
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parityframe import constants as C
@@ -188,15 +190,20 @@ def _histogram(values: DataFrame, bins: int, by: list[str]) -> DataFrame:
 
 
 def attrition(layers: dict[str, DataFrame], by: str = "COUNTRY") -> DataFrame:
-    """Rows per layer and group, and the share kept of the first layer."""
-    counts = None
-    for step, (name, df) in enumerate(layers.items()):
-        rows = df.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"))
-        rows = rows.withColumns({"step": F.lit(step), "layer": F.lit(name)})
-        counts = rows if counts is None else counts.unionByName(rows)
-    start = F.max(F.when(F.col("step") == 0, F.col("n_rows"))).over(Window.partitionBy(by))
-    kept = F.try_divide("n_rows", start) * 100
-    return counts.select(
+    """Rows per layer and group, and the share kept of the first layer.
+
+    A group that a layer empties has 0 rows there; a group the first layer lacks has no share.
+    """
+    flagged = [df.select(by, F.lit(name).alias("_layer")) for name, df in layers.items()]
+    per_layer = {f"_n{i}": F.count_if(F.col("_layer") == name) for i, name in enumerate(layers)}
+    counts = reduce(DataFrame.unionAll, flagged).groupBy(by).agg(
+        *[n.alias(column) for column, n in per_layer.items()]
+    )
+    steps = [F.struct(F.lit(m).alias("layer"), F.col(c).alias("n_rows"))
+             for m, c in zip(layers, per_layer)]
+    long = counts.select(by, "_n0", F.inline(F.array(*steps)))
+    kept = F.try_divide("n_rows", "_n0") * 100
+    return long.select(
         by,
         "layer",
         "n_rows",
@@ -222,7 +229,7 @@ def baseline_metrics(df: DataFrame, income: str, weight: str = "PERWT") -> DataF
         "copies": F.greatest(F.col(weight).cast("long"), F.lit(1)),
     }
     rows = weighted_rows(named, "_ppp", weight, by, extra=weights)
-    cdf = stage(weighted_cdf(rows, by, extra=list(weights)), "cdf")
+    cdf = weighted_cdf(rows, by, extra=list(weights))
     cuts = [C.BOTTOM_SHARE, C.TOP_SHARE]
     shares = bottom_and_top_shares(weight_bands(rows, cdf, by, cuts, [False, True]), by)
     base = cdf.groupBy(*by).agg(
@@ -237,4 +244,4 @@ def baseline_metrics(df: DataFrame, income: str, weight: str = "PERWT") -> DataF
         F.round(quantile_col(1.0, of="copies"), 2).alias("q5_limit"),
     )
     palma = F.round(F.try_divide("top_income", "bottom_income"), 4).alias("palma")
-    return join_groups(base, shares, by).select(*base.columns, palma)
+    return join_groups(base, stage(shares, "shares"), by).select(*base.columns, palma)

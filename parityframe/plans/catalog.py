@@ -666,3 +666,17 @@ def sample_bernoulli(spark, sf_dir):
 @query
 def sample_stratified(spark, sf_dir):
     return sampling.stratified(raw(spark, sf_dir), "COUNTRY", {76: 0.1, 484: 0.1}, 42)
+
+
+@query
+def sample_bernoulli_profile(spark, sf_dir):
+    df = persons(spark, sf_dir).select(*BY, *ID)
+    rates = {76: 0.1, 484: 0.1, 32: 0.1}
+    return sampling.profile(df, sampling.bernoulli(df, 0.1, 42), "COUNTRY", rates)
+
+
+@query
+def sample_stratified_profile(spark, sf_dir):
+    df = persons(spark, sf_dir).select(*BY, *ID)
+    rates = {76: 0.1}
+    return sampling.profile(df, sampling.stratified(df, "COUNTRY", rates, 42), "COUNTRY", rates)

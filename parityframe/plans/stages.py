@@ -44,7 +44,7 @@ def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
     by, income = ["COUNTRY", "YEAR"], "income_analysis"
     plain = {"head": F.lit(1.0), "head_income": F.col(income)}
     rows = weighted_rows(silver, income, "PERWT", by, extra=plain)
-    cdf = stage(weighted_cdf(rows, by, extra=list(plain)), "cdf")
+    cdf = weighted_cdf(rows, by, extra=list(plain))
     people = stage(demographic_base(silver), "demographics")
     stats = stats_from(cdf, by, "head", "head_income")
     cuts = [0.2, 0.4, 0.6, 0.8, 0.9]  # bands 0-1 are the bottom 40 %, bands 4-5 the top quintile

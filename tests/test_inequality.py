@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from parityframe.functions.metrics import mld_col, theil_col, weighted_mean_col
-from parityframe.operators import bands, inequality, lorenz, prefix, quantiles
+from parityframe.operators import inequality, lorenz, prefix, quantiles
 from parityframe.workspace import stage
 from tests import brute
 
@@ -168,15 +168,25 @@ def test_empty_quintiles_are_absent(people):
     assert [(row[0], round(row[4], 6)) for row in got] == [(1, 0.05), (5, 0.95)]
 
 
-@pytest.mark.parametrize(
-    "broadcast, window, task", [(0, 10**6, 10**6), (10**5, 0, 10**6), (0, 0, 0)]
-)
-def test_bands_the_same_on_every_path(people, monkeypatch, broadcast, window, task):
-    """Without the broadcast, and with cell-wise totals, inside one value too."""
+@pytest.fixture
+def many_parts(spark):
+    """Keep even tiny tables in several partitions, and join by shuffles only."""
+    off = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {name: spark.conf.get(name) for name in off}
+    for name, value in off.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_bands_the_same_however_planned(people, request):
+    """Without broadcasts, and with totals over several parts, inside one value too."""
     expected = shares_by_group(quantiles.quantile_shares(people, "y", "w", ["g"]))
-    monkeypatch.setattr(bands, "BROADCAST_ROWS", broadcast)
-    monkeypatch.setattr(bands, "WINDOW_ROWS", window)
-    monkeypatch.setattr(prefix, "TASK_ROWS", task)
+    request.getfixturevalue("many_parts")
     got = shares_by_group(quantiles.quantile_shares(people, "y", "w", ["g"]))
     assert got.keys() == expected.keys()
     for name in got:
@@ -192,9 +202,7 @@ def test_shared_prosperity(people):
         assert row["anomali_b40"] == flag
 
 
-@pytest.mark.parametrize("task_rows", [0, 10**6])
-def test_summary_agrees_with_single_measures(people, monkeypatch, task_rows):
-    monkeypatch.setattr(prefix, "TASK_ROWS", task_rows)
+def test_summary_agrees_with_single_measures(people, many_parts):
     got = {r["g"]: r for r in inequality.inequality_summary(people, "y", "w", ["g"]).collect()}
     for name, (y, w) in GROUPS.items():
         row = got[name]
@@ -205,9 +213,7 @@ def test_summary_agrees_with_single_measures(people, monkeypatch, task_rows):
         assert row["n_obs"] == sum(y >= 0)
 
 
-@pytest.mark.parametrize("task_rows", [0, 10**6])
-def test_without_groups(people, monkeypatch, task_rows):
-    monkeypatch.setattr(prefix, "TASK_ROWS", task_rows)
+def test_without_groups(people, many_parts):
     y, w = (np.concatenate([g[i] for g in GROUPS.values()]) for i in (0, 1))
     row = inequality.inequality_summary(people, "y", "w", []).first()
     assert row["gini"] == pytest.approx(brute.gini(y, w, "cumulative"))
@@ -257,18 +263,9 @@ def test_scale_and_order_do_not_matter(people):
 # --- the kernel --------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize(
-    "per_octave, task_rows, cell_rows",
-    [(4096, 10**6, 10**6), (4096, 0, 10**6), (64, 0, 10**6), (1, 0, 20)],
-)
-def test_running_totals_equal_a_single_window(
-    people, monkeypatch, per_octave, task_rows, cell_rows
-):
-    """The first case is the plain window; the last cuts crowded cells again, more than once."""
-    monkeypatch.setattr(prefix, "TASK_ROWS", task_rows)
-    monkeypatch.setattr(prefix, "CELL_ROWS", cell_rows)
+def test_running_totals_equal_a_single_window(people, many_parts):
     rows = prefix.weighted_rows(people, "y", "w", ["g"], keep_negative=True)
-    got = prefix.weighted_cdf(rows, ["g"], per_octave).select(
+    got = prefix.weighted_cdf(rows, ["g"]).select(
         "g", "value", "weight_before", "income_before", "weight_total"
     )
     whole = Window.partitionBy("g")
@@ -288,10 +285,8 @@ def test_running_totals_equal_a_single_window(
     np.testing.assert_allclose([x[2:] for x in a], [x[2:] for x in b], rtol=1e-9, atol=1e-9)
 
 
-def test_values_crowded_into_a_sliver(spark, monkeypatch):
-    """A cell is cut again until no part is crowded, even for neighbouring doubles."""
-    monkeypatch.setattr(prefix, "TASK_ROWS", 20)
-    monkeypatch.setattr(prefix, "CELL_ROWS", 50)
+def test_values_crowded_into_a_sliver(spark, many_parts):
+    """Parts are even for neighbouring doubles too."""
     values = np.r_[1.0, 1000 + np.arange(400) * 2.0**-43, 1000.1 + np.arange(200) * 2.0**-43]
     df = spark.createDataFrame([(float(v), 1.0) for v in values], "value double, weight double")
     got = prefix.running_totals(df, [], "value", ["weight"]).orderBy("value").collect()
@@ -299,18 +294,6 @@ def test_values_crowded_into_a_sliver(spark, monkeypatch):
     assert {r["weight_total"] for r in got} == {float(len(values))}
 
 
-def test_cells_follow_the_order_of_values(spark):
-    rng = np.random.default_rng(5)
-    values = np.r_[
-        0.0, -0.0, 1e-300, 5e-324, 1e300, math.inf, -math.inf, -1e-300, 1.0, 1.0000001, -1.0,
-        rng.normal(0, 1e5, 2000), rng.lognormal(0, 20, 2000), 2.0 ** rng.integers(-50, 50, 200),
-    ]
-    df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    rows = df.select("v", prefix.cell_of("v").alias("c")).orderBy("v", "c").collect()
-    cells = [row["c"] for row in rows]
-    assert cells == sorted(cells) and None not in cells
-
-
 def test_reserved_grouping_names_are_refused(people):
     with pytest.raises(ValueError):
         inequality.gini(people.withColumnRenamed("g", "weight"), "y", "w", ["weight"])

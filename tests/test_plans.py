@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from parityframe.operators import inequality, prefix, refine
+from parityframe.operators import inequality, refine
 from parityframe.operators.prefix import collapse, weighted_rows
 from parityframe.plans.catalog import BY, ID, INCOME, QUERIES, WEIGHT, incomes, silver
 from parityframe.plans.persons import TIE_BREAK, persons
@@ -55,9 +55,8 @@ def test_measures_read_the_rows_once(stored, by):
     assert folder not in plan(inequality.gini(stored, INCOME, WEIGHT, by))
 
 
-def test_only_cells_meet_in_one_task(stored, monkeypatch):
-    """Without groups a window over the cell totals, and nothing longer, is unpartitioned."""
-    monkeypatch.setattr(prefix, "TASK_ROWS", 0)
+def test_only_partial_aggregates_meet_in_one_task(stored):
+    """Without groups the stored parts are summed on the map side before they meet."""
     lines = plan(inequality.gini(stored, INCOME, WEIGHT)).splitlines()
     single = [i for i, line in enumerate(lines) if "SinglePartition" in line]
     assert single
@@ -65,6 +64,21 @@ def test_only_cells_meet_in_one_task(stored, monkeypatch):
         assert "HashAggregate" in lines[i + 1]
 
 
+@pytest.mark.parametrize("key", ["gini", "poverty_half_median", "inequality_summary"])
+def test_stored_values_are_not_shuffled_again(spark, key):
+    """Every table is joined to the distinct values by broadcast, on its stored size."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100kb")
+    try:
+        text = plan(QUERIES[key](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = text.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            assert "HashAggregate" in lines[i + 1], text
+
+
 def test_dedup_limits_copies_before_the_shuffle(spark):
     text = plan(refine.deduplicate(persons(spark, SF), ID, TIE_BREAK))
     assert text.count("WindowGroupLimit") == 2

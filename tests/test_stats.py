@@ -124,6 +124,16 @@ def test_attrition(df):
         assert rows[(g, "all")]["retained_pct"] == 100
 
 
+def test_attrition_of_an_emptied_group(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "g string, y int")
+    layers = {"all": df, "some": df.filter("g = 'a' AND y = 1"), "none": df.filter("false")}
+    rows = {(r["g"], r["layer"]): r for r in stats.attrition(layers, "g").collect()}
+    assert len(rows) == 9
+    assert rows["a", "some"]["retained_pct"] == 50 and rows["a", "none"]["n_rows"] == 0
+    assert rows["b", "some"]["n_rows"] == 0 and rows["b", "some"]["excluded_pct"] == 100
+    assert rows[None, "all"]["n_rows"] == 1 and rows[None, "some"]["n_rows"] == 0
+
+
 def test_rolled_up_demographics_equal_direct_ones(spark):
     people = spark.range(500).selectExpr(
         "CAST(id % 3 AS INT) AS COUNTRY", "2010 AS YEAR", "CAST(id % 7 AS DOUBLE) AS PERWT",
