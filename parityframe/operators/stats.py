@@ -6,6 +6,7 @@ scan with map-side combining produces; the plain ones are ordinary hash aggregat
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -167,6 +168,8 @@ def trimmed_histogram(
 def _histogram(values: DataFrame, bins: int, by: list[str]) -> DataFrame:
     limits = values.selectExpr("min(value) AS low", "max(value) AS high").first()
     low, high = limits["low"], limits["high"]
+    if low is not None and not math.isfinite(high - low):
+        raise ValueError("a histogram needs finite values; filter the infinite ones first")
     if low is None:
         low, high = 0.0, 1.0
     elif low == high:

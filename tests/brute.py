@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 
 
 def ranked(y, w):
@@ -84,13 +85,11 @@ def quantile_shares(y, w, n):
     """(quantile, lowest, highest, mean, share) of each part that holds someone."""
     y, w = ranked(y, w)
     c, total = np.cumsum(w), np.sum(w * y)
-    found, start = [], 0.0
-    for q in range(1, n + 1):
-        end = np.inf if q == n else q / n * c[-1]
-        inside = (c > start) & (c <= end)
-        start = end
-        if inside.any():
-            part, weight = (w * y)[inside].sum(), w[inside].sum()
-            share = part / total if total > 0 else 0.0
-            found.append((q, y[inside].min(), y[inside].max(), part / weight, share))
-    return found
+    part = np.searchsorted(c[-1] * np.arange(1, n) / n, c) + 1
+    people = pd.DataFrame({"part": part, "y": y, "w": w, "wy": w * y})[c > 0]
+    parts = people.groupby("part").agg(
+        low=("y", "min"), high=("y", "max"), w=("w", "sum"), wy=("wy", "sum")
+    )
+    parts["share"] = parts.wy / total if total > 0 else 0.0
+    parts["mean"] = parts.wy / parts.w
+    return list(parts[["low", "high", "mean", "share"]].itertuples(name=None))
