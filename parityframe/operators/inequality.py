@@ -10,7 +10,7 @@ from parityframe.functions.labels import country_label
 from parityframe.functions.metrics import mld_col, theil_col, weighted_mean_col
 from parityframe.operators.bands import weight_bands
 from parityframe.operators.prefix import weighted_cdf, weighted_rows
-from parityframe.workspace import attach_groups, join_groups, quoted
+from parityframe.workspace import attach_groups, join_groups, quoted, stage
 
 GINI_METHODS = ("cumulative", "lorenz_left", "trapezoid", "rank")
 
@@ -205,6 +205,7 @@ def summary_from(cdf: DataFrame, shares: DataFrame, by: list[str]) -> DataFrame:
         weighted_median_col().alias("median"),
         F.sum("n").alias("n_obs"),
     )
+    base = stage(base, "base")  # one row per group, read for the medians and the result
     poverty = _below_half_median(cdf, base, by)
     joined = _with_groups(_with_groups(base, shares, by), poverty, by)
     return _with_prosperity(joined).select(
