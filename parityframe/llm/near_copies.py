@@ -52,6 +52,8 @@ TREES = 16
 DEPTH = 6
 TARGET_RECALL = 0.999
 BLOCK = 400
+#: Bytes of an intermediate table that one task writes.
+FILE_BYTES = 32 << 20
 
 _VALUES = TREES * DEPTH
 _FACTORS = mix(np.arange(1, _VALUES + 1, dtype=np.uint64)) | np.uint64(1)
@@ -128,26 +130,37 @@ def _whole(elements: np.ndarray) -> tuple:
     return (fingerprint(elements) if len(elements) else None), elements.tobytes()
 
 
+def _keep(df: DataFrame, name: str, size: int) -> DataFrame:
+    """:func:`stage` in files of about ``FILE_BYTES`` for a table of at most ``size`` bytes.
+
+    Most tables here are short rows per class. Without this each would be written by as many
+    tasks as the shuffle before it has partitions, which are set for whole texts.
+    """
+    least = df.sparkSession.sparkContext.defaultParallelism
+    return stage(df.coalesce(max(least, -(-size // FILE_BYTES))), name)
+
+
 # --- connected components ----------------------------------------------------------------
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, size: int) -> DataFrame:
     """``node`` and the smallest node it is connected with as ``label``; ``edges`` has a and b.
 
-    Labels spread to neighbours and then jump to the label's own label, each round a written
-    table, until none changes.
+    In each round, a written table, a node takes the smallest label of its neighbours and of the
+    node its own label names, until none changes. ``size``: see :func:`_keep`.
     """
-    both = stage(edges.unionByName(edges.selectExpr("b AS a", "a AS b")).distinct(), "edges")
+    both = edges.unionByName(edges.selectExpr("b AS a", "a AS b")).distinct()
+    both = _keep(both, "edges", size)
     labels = both.groupBy("a").agg(F.min("b").alias("b"))
-    labels = stage(labels.selectExpr("a AS node", "least(a, b) AS label"), "labels")
+    labels = _keep(labels.selectExpr("a AS node", "least(a, b) AS label"), "labels", size)
     while True:
         seen = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a")
         near = seen.agg(F.min("label").alias("near")).withColumnRenamed("a", "node")
-        spread = labels.join(near, "node").selectExpr("node", "label AS old", "least(label, near) AS label")
-        spread = stage(spread, "spread")
-        up = spread.selectExpr("node AS label", "label AS above")
-        jumped = spread.join(up, "label", "left")
-        labels = stage(jumped.selectExpr("node", "old", "coalesce(above, label) AS label"), "labels")
+        up = labels.selectExpr("node AS label", "label AS above")
+        new = labels.join(near, "node").join(up, "label", "left").selectExpr(
+            "node", "label AS old", "least(label, near, above) AS label"
+        )
+        labels = _keep(new, "labels", size)
         if labels.filter("label < old").isEmpty():
             return labels.drop("old")
         labels = labels.drop("old")
@@ -156,7 +169,7 @@ def components(edges: DataFrame) -> DataFrame:
 # --- the forest --------------------------------------------------------------------------
 
 
-def _subtrees(classes: DataFrame, shortest: int) -> DataFrame:
+def _subtrees(classes: DataFrame, shortest: int, size: int) -> DataFrame:
     """``fp``, ``run`` (a subtree with company) and ``leader``, the class to follow there.
 
     The leader is the smallest fingerprint among those sharing the longest matched prefix.
@@ -169,35 +182,36 @@ def _subtrees(classes: DataFrame, shortest: int) -> DataFrame:
     shared = f"run{shortest}"
     met = rows.groupBy(shared).agg(F.count("*").alias("n"), F.min("fp").alias(f"lead{shortest}"))
     rows = rows.join(met.filter("n > 1").drop("n"), shared)
-    rows = stage(rows, "forest")
+    rows = _keep(rows, "forest", TREES * size)
     for d in range(shortest + 1, DEPTH + 1):
         met = rows.groupBy(f"run{d}").agg(F.count("*").alias("n"), F.min("fp").alias(f"lead{d}"))
         rows = rows.join(met.filter("n > 1").drop("n"), f"run{d}", "left")
     leads = ", ".join(f"lead{d}" for d in range(DEPTH, shortest - 1, -1))
-    return stage(rows.selectExpr("fp", f"{shared} AS run", f"coalesce({leads}) AS leader"), "subtrees")
+    rows = rows.selectExpr("fp", f"{shared} AS run", f"coalesce({leads}) AS leader")
+    return _keep(rows, "subtrees", TREES * size)
 
 
-def _families(met: DataFrame) -> DataFrame:
+def _families(met: DataFrame, size: int) -> DataFrame:
     """``fp`` and ``root``: the end of the chain of most often met leaders."""
     votes = met.groupBy("fp", "leader").agg(F.count("*").alias("n"))
     best = votes.groupBy("fp").agg(F.max_by("leader", F.struct("n", "leader")).alias("root"))
-    return _ends(stage(best, "roots"))
+    return _ends(_keep(best, "roots", size), size)
 
 
-def _ends(roots: DataFrame) -> DataFrame:
+def _ends(roots: DataFrame, size: int) -> DataFrame:
     """``fp`` and ``root`` with every root replaced by the last one that following it leads to."""
     while True:
         up = roots.selectExpr("fp AS root", "root AS above")
         jumped = roots.join(up, "root", "left").selectExpr(
             "fp", "coalesce(above, root) AS root", "coalesce(above < root, false) AS moved"
         )
-        roots = stage(jumped, "roots")
+        roots = _keep(jumped, "roots", size)
         if roots.filter("moved").isEmpty():
             return roots.drop("moved")
         roots = roots.drop("moved")
 
 
-def _united(met: DataFrame, families: DataFrame, classes: DataFrame) -> DataFrame:
+def _united(met: DataFrame, families: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     """``families`` with those joined that meet in a subtree and whose roots are alike.
 
     Each root looks at the smallest root of every subtree its family is in, and follows the one
@@ -218,9 +232,10 @@ def _united(met: DataFrame, families: DataFrame, classes: DataFrame) -> DataFram
     asked = asked.join(signatures.withColumnsRenamed({"fp": "lead", "sig": "sig2"}), "lead")
     votes = asked.select("root", "lead", agree.alias("n")).filter(f"n >= {half}")
     moves = votes.groupBy("root").agg(F.max_by("lead", F.struct("n", "lead")).alias("lead"))
-    ends = _ends(stage(moves.withColumnsRenamed({"root": "fp", "lead": "root"}), "moves"))
+    moves = moves.withColumnsRenamed({"root": "fp", "lead": "root"})
+    ends = _ends(_keep(moves, "moves", size), size)
     moved = families.join(ends.selectExpr("fp AS root", "root AS end"), "root", "left")
-    return stage(moved.selectExpr("fp", "coalesce(end, root) AS root"), "families")
+    return _keep(moved.selectExpr("fp", "coalesce(end, root) AS root"), "families", size)
 
 
 def _differences(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -440,22 +455,25 @@ def find(
     classes = sketches.filter("n > 0").groupBy("fp").agg(
         F.first("sig").alias("sig"), F.count("*").alias("copies"), F.min("doc_id").alias("copy_id")
     )
-    classes = stage(classes, "classes")
-    met = _subtrees(classes, shortest_prefix(p / q, target_recall))
-    families = _united(met, _families(met), classes)
+    total = sketches.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    size, whole = 64 * total[0], 8 * total[1]  # bytes of short rows per class and of all sets
+    classes = _keep(classes, "classes", size + 4 * _VALUES * total[0])
+    met = _subtrees(classes, shortest_prefix(p / q, target_recall), size)
+    families = _united(met, _families(met, size), classes, size)
 
     # whole sets only of classes with company: one document each is read again
-    wanted = stage(families.join(classes.select("fp", "copies", "copy_id"), "fp"), "wanted")
+    wanted = families.join(classes.select("fp", "copies", "copy_id"), "fp")
+    wanted = _keep(wanted, "wanted", size)
     ids = wanted.select(F.col("copy_id").alias("_id")).distinct()
     again = rows.join(ids, F.expr("doc_id <=> _id"), "left_semi").select("text")
     sets = _per_text(again, "text", {"fp": "binary", "elements": "binary"}, _whole)
     sets = sets.join(wanted.select("fp"), "fp", "left_semi").dropDuplicates(["fp"])
-    sets = stage(sets, "sets")
+    sets = _keep(sets, "sets", size + whole)
 
     family = _differences(wanted.select("fp", "root", "copies"), sets).selectExpr(
         "*", f"{p + q} * n_minus + {p} * n AS weight", f"{p + q} * root_n AS bound"
     )
-    family = stage(family, "differences")
+    family = _keep(family, "differences", size + 2 * whole)
     sure = _sure_links(family)
     close = stage(_close_links(family, p + q), "close")
     foreign = stage(
@@ -475,21 +493,25 @@ def find(
     lightest = family.groupBy("root").agg(
         F.min(F.struct("weight", "fp")).alias("light")
     )
+    # classes linked with the lightest of their family count as that one from here on
     centre = family.join(lightest, "root").filter("weight + light.weight <= bound")
-    edges = centre.selectExpr("fp AS a", "light.fp AS b").unionByName(
-        close.selectExpr("a", "fp AS b")
-    )
-    linked = components(edges.unionByName(foreign).filter("a <> b"))
-
-    known = classes.select("fp", "copies", "copy_id").join(
-        linked.withColumnRenamed("node", "fp"), "fp", "left"
-    ).join(links, "fp", "left")
-    known = stage(known.withColumn("label", F.coalesce("label", "fp")), "known")
+    centre = _keep(centre.selectExpr("fp", "light.fp AS node"), "centre", size)
+    edges = close.selectExpr("a", "fp AS b").unionByName(foreign)
+    for end in ("a", "b"):
+        edges = edges.join(centre.withColumnRenamed("fp", end), end, "left").withColumn(
+            end, F.coalesce("node", end)
+        ).drop("node")
+    linked = components(edges.filter("a <> b"), size)
+
+    known = classes.select("fp", "copies", "copy_id").join(centre, "fp", "left")
+    known = known.withColumn("node", F.coalesce("node", "fp")).join(linked, "node", "left")
+    known = known.withColumn("label", F.coalesce("label", "node")).drop("node")
+    known = _keep(known.join(links, "fp", "left"), "known", size)
     smallest = known.groupBy("label").agg(F.min("copy_id").alias("class_id"))
     result = known.join(smallest, "label").selectExpr(
         "fp", "copy_id", "class_id", "copies - 1 + coalesce(links, 0) AS n_links"
     )
-    out = sketches.select("doc_id", "fp").join(stage(result, "found"), "fp", "left")
+    out = sketches.select("doc_id", "fp").join(_keep(result, "found", size), "fp", "left")
     return out.selectExpr(
         "doc_id",
         "IF(fp IS NULL, doc_id, copy_id) AS copy_id",
