@@ -131,7 +131,10 @@ def _whole(elements: np.ndarray) -> tuple:
 
 
 def _keep(df: DataFrame, name: str, size: int) -> DataFrame:
-    """:func:`stage` in files of about ``FILE_BYTES`` for a table of at most ``size`` bytes.
+    """:func:`stage` in files of about ``FILE_BYTES`` for a table of about ``size`` bytes.
+
+    ``size`` follows from the rows and shingles of the documents. A table with more bytes gets
+    larger files, which tasks write row by row.
 
     Most tables here are short rows per class. Without this each would be written by as many
     tasks as the shuffle before it has partitions, which are set for whole texts.
