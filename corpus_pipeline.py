@@ -17,7 +17,7 @@ END_ID = 2
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    return quality.keep_good(docs)
+    return quality.keep_good(docs, bands=quality.FITTED)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

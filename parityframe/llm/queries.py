@@ -112,7 +112,7 @@ def op9_decontaminate(spark, sf_dir):
 @query
 def op10_quality_bands(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    measured = quality.measure(docs)
+    measured = quality.measure(docs, bands=quality.FITTED)
     return measured.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "ratio", "n_chunks", "n_low_chunks", "n_high_chunks",

@@ -109,6 +109,22 @@ def test_quality_counts_and_bands(docs, empty):
     assert not quality._inside(9000, *quality._ratios(noise.encode(), bands, codec), bands)
 
 
+def test_quality_bands_reject_labelled_junk(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    told = docs.join(labels, "doc_id")
+    rows = quality.measure(told, bands=quality.FITTED).filter("NOT base_failed").collect()
+    sample = [r["text"].encode() for r in rows if r["label"] == 1 and r["doc_id"] % 2 == 0]
+    assert len(sample) == 1578 and quality.fit(sample) == quality.FITTED
+    held = [r["kept"] for r in rows if r["label"] == 1 and r["doc_id"] % 2]
+    junk = [(r["kept"], len(r["text"].encode())) for r in rows if r["label"] == 0]
+    assert sum(held) >= 0.995 * len(held) and len(held) > 1500
+    assert sum(not kept for kept, _ in junk) > 0.6 * len(junk) and len(junk) == 291
+    assert not any(kept for kept, size in junk if size >= 4096)
+    assert quality.fit([]) == quality.Bands()
+
+
 def test_near_copies_equal_brute_force(spark, docs, empty):
     family = [near(near(prose(1, 200), 3 * k), 5 * k + 1) for k in range(30)]
     more = [(100 + k, t, "", "", 0, "", 1, 1) for k, t in enumerate(family)]
