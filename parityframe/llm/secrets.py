@@ -8,10 +8,12 @@ from its alphabet: chi-squared uniformity, runs above and below the middle of th
 correlation of neighbours. Their p-values are combined by the Cauchy rule.
 
 *False discoveries.* Tokens of an encoding and of a band of lengths are judged together, as short
-ones pass the tests more easily. Random tokens have evenly spread p-values, so twice the tokens
-above 0.5 estimates how many are random (Storey); of the tokens above a threshold the rest is
-ordinary text. The lowest threshold at which that share is at most ``MAX_FALSE`` is used. The
-counts cover all texts.
+ones pass the tests more easily. Random tokens have evenly spread p-values, so of those above any
+threshold the upper half of the range must hold its share. A threshold is given up, and all below
+it, if that half holds significantly less: more than ``MAX_FALSE`` of the tokens above are ordinary
+text then. The lowest one left is used, but not below a floor on p unless the counts prove that the tokens there
+are random too. Few tokens prove nothing, so in a small cell the floor alone decides, and a random
+token is lost with about the floor's chance. The counts cover all texts.
 
 DataFrame functions only. Positions are code points, the end is exclusive.
 """
@@ -47,6 +49,10 @@ ALPHABETS = {
 BANDS = [20, 24, 32, 48, 64, 128]
 BINS = 40
 MAX_FALSE = 0.1
+#: Standard deviations that make a deviation significant, and the floor in steps of p for tokens
+#: shorter than ``SHORT`` and for the others.
+SIGNIFICANT = 2.326
+SHORT, FLOOR_SHORT, FLOOR = 32, 2, 1
 
 _CHUNK = 128
 _RESULT = ["n_assign", "n_access", "n_hex", "base", "spans"]
@@ -155,15 +161,21 @@ def _thresholds(judged: DataFrame) -> DataFrame:
         "concat(t.encoding, ':', t.band) AS kind", f"least(CAST(floor(t.p * {BINS}) AS INT), {BINS - 1}) AS bin"
     )
     bins = tokens.groupBy("kind", "bin").agg(F.count("*").alias("n"))
-    summed = bins.selectExpr(
-        "kind", "bin", "n",
-        "sum(n) OVER (PARTITION BY kind ORDER BY bin DESC) AS above",
-        f"sum(IF(bin >= {BINS // 2}, n, 0)) OVER (PARTITION BY kind) AS upper",
+    cells = bins.groupBy("kind").agg(F.collect_list(F.struct("bin", "n")).alias("c"))  # BINS at most
+    middle = f"ceil((b + {BINS}) / 2)"
+    count = "aggregate(c, 0D, (a, x) -> a + IF(x.bin >= {0}, x.n, 0))"
+    steps = cells.selectExpr(
+        "kind",
+        f"IF(CAST(split(kind, ':')[1] AS INT) < {SHORT}, {FLOOR_SHORT}, {FLOOR}) AS floor",
+        f"transform(sequence(0, {BINS - 1}), b -> struct(b, {count.format('b')} AS n, {count.format(middle)} AS high, "
+        f"{1 - MAX_FALSE}D * ({BINS} - {middle}) / ({BINS} - b) AS q)) AS s",
     )
-    false = summed.selectExpr(
-        "kind", "bin", f"1 - 2D * upper * (1 - bin / {BINS}D) / above AS share"
-    ).filter(f"bin >= {BINS // 2} OR share <= {MAX_FALSE}")
-    lowest = false.groupBy("kind").agg((F.min("bin") / F.lit(float(BINS))).alias("least"))
+    noise = f"{SIGNIFICANT}D * sqrt(r.n * r.q * (1 - r.q))"
+    ruled_out = steps.selectExpr(
+        "kind", "floor", "s", f"coalesce(array_max(filter(s, r -> r.high < r.n * r.q - {noise}).b), -1) AS bad"
+    )
+    fits = f"r.n > 0 AND r.b > bad AND (r.b >= floor OR r.high >= r.n * r.q + {noise})"
+    lowest = ruled_out.selectExpr("kind", f"array_min(filter(s, r -> {fits}).b) / {BINS}D AS least")
     return lowest.agg(F.map_from_entries(F.collect_list(F.struct("kind", "least"))).alias("m"))
 
 

@@ -242,6 +242,31 @@ def test_secrets(spark, docs, empty):
     assert secrets.scan(docs).count() == docs.count() and secrets.scan(empty).count() == 0
 
 
+def test_lone_secrets_are_found(spark):
+    rng = random.Random(5)
+    rows = []
+    for name in ["base32", "base36", "base62", "base64"]:
+        for n in secrets.BANDS:
+            rows.append((len(rows), " ".join(["key", "".join(rng.choices(secrets.ALPHABETS[name], k=n)), "."])))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [r for r in secrets.scan(table).collect() if "random:4:" in r["spans"]]
+    assert len(got) >= 22  # of 24
+
+
+def test_secret_thresholds_of_cells(spark):
+    even = [(k + 0.5) / 1000 for k in range(1000)]
+    cells = {
+        "base62:48": [0.2], "base36:20": [0.03], "base64:64": even,
+        "base62:32": [0.3 * p for p in even] + even[::100], "base32:32": [0.5 + 0.1 * p for p in even] + even[::100],
+    }
+    rows = [(k.split(":")[0], int(k.split(":")[1]), p) for k, ps in cells.items() for p in ps]
+    judged = spark.createDataFrame(rows, "encoding string, band int, p double").selectExpr("array(struct(encoding, band, p)) AS _tokens")
+    least = secrets._thresholds(judged).first()["m"]
+    assert least["base62:48"] <= 0.2 and least["base64:64"] == 0
+    assert (least.get("base36:20") or 2) > 0.03
+    assert 0.25 <= least["base62:32"] <= 0.35 and 0.55 <= least["base32:32"] <= 0.65
+
+
 def test_url_rules_and_cascade(spark):
     bad = [None, "", "no scheme", "http://", "HTTP://Sub.ORG:80/x?y", "a://b://c/d", "http://ORG", "http://example.org/en/12#f"]
     rows = [(k, u, "h", "v") for k, u in enumerate(bad + [f"http://h{k % 97}.net/{k}" for k in range(3000)])]
