@@ -2,7 +2,7 @@
 
 *Known forms* are assignments to telling names, access key ids and long hexadecimal strings.
 
-*Battery.* Long runs of letters, digits and ``+ / = _ -`` are inferred to be of an encoding
+*Battery.* Long runs of letters, digits and ``+ / _ -``, padded by ``=`` or not, are inferred to be of an encoding
 (hexadecimal, base 32, 36, 62 or 64). Three tests ask whether such a token could be drawn evenly
 from its alphabet: chi-squared uniformity, runs above and below the middle of the alphabet, serial
 correlation of neighbours. Their p-values are combined by the Cauchy rule.
@@ -35,7 +35,8 @@ ASSIGN_VALUE = 6
 # Runs of the class are maximal, so asking for the length in the pattern gives the same matches.
 ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
-TOKEN = "[A-Za-z0-9+/=_-]{20,}"
+# "=" only pads the end, so that the value of name=value is a token of its own.
+TOKEN = "[A-Za-z0-9+/_-]{20,}={0,2}"
 
 KINDS = ["assign", "access", "hex", "random"]
 #: Encoding -> alphabet, in the order in which they are tried.

@@ -253,6 +253,21 @@ def test_lone_secrets_are_found(spark):
     assert len(got) >= 22  # of 24
 
 
+def test_secrets_after_equals_signs(spark):
+    """The value of name=value is judged as it is on its own."""
+    rng = random.Random(8)
+    forms = ["aws_secret_access_key={}\nregion=eu", "SECRET_KEY={}", "https://a.org/x?sig={}&v=1", "access_key={}== end",
+             "export auth={}", "https://a.org/?a_very_long_parameter_name={}#f"] * 4
+    values = ["".join(rng.choices(secrets.ALPHABETS["base62"], k=40)) for _ in forms]
+    found = []
+    for shapes in (forms, ["{}"] * len(forms)):
+        table = spark.createDataFrame([(k, f.format(v)) for k, (f, v) in enumerate(zip(shapes, values))], "doc_id long, text string")
+        spans = {r["doc_id"]: r["spans"].split(",") for r in secrets.scan(table).collect()}
+        place = [(f.index("{}"), f.index("{}") + 40 + 2 * ("==" in f)) for f in shapes]
+        found.append({k for k, (start, end) in enumerate(place) if f"random:{start}:{end}" in spans[k]})
+    assert found[0] == found[1] and len(found[0]) >= 18
+
+
 def test_secret_thresholds_of_cells(spark):
     even = [(k + 0.5) / 1000 for k in range(1000)]
     cells = {
