@@ -1,14 +1,18 @@
 """License notices by conditional compression.
 
-A sentence that speaks of licensing is compressed on its own and again with each template as a
+Lines of a paragraph are folded into one, without the comment marks around them, so that wrapped
+notices are whole. A sentence that speaks of licensing is compressed on its own and again with each template as a
 raw zstandard dictionary. Text that repeats a template shrinks most with it. Templates are ranked
 by that reduction, and a winner is confirmed by the differences in wording: which words were put
-in, left out or changed, with numbers (versions) having to agree.
+in, left out or changed, with numbers (versions) having to agree. In long sentences windows around
+the words that speak of licensing are judged instead. A wrapped notice ends at the lines that hold
+its first and last common word.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
@@ -79,12 +83,23 @@ CUE = re.compile(
     r"|warrant(?:y|ies)|creative commons|applicable law",
     re.I,
 )
-_SENTENCE = re.compile(r"[^\n]+?(?:[.!?](?=\s|$)|(?=\n|$))")
+#: A word of every cue, for texts whose cues are wrapped.
+_HINT = re.compile(
+    r"licen[sc]e|copyright|permission|public|redistribut|reserved|warrant(?:y|ies)|creative|applicable", re.I
+)
+# "v. 2.0" does not end a sentence
+_SENTENCE = re.compile(r"[^\n]+?(?:(?:[!?]|(?<!\b[vV])\.|(?<=\b[vV])\.(?!\s+\d))(?=\s|$)|(?=\n|$))")
+_LINE = re.compile(r"^[^\n]*", re.M)
+_MARK = re.compile(r"\s*(?:(?://+|/\*+|\*+(?!/)|#+|;+|--+|%+|>+|<!--+)(?=\s|$)\s*)?")
+_END_MARKS = ("*/", "-->")
 _WORD = re.compile(r"[0-9]+(?:\.[0-9]+)*|[^\W\d_]+")
 #: Least reduction of the compressed size for a template to be looked at, and largest share of
 #: its words that may differ.
 LEAST_REDUCTION = 0.2
 MOST_DIFFERENT = 0.25
+#: Sentences of more words are judged by windows of so many words to either side of a cue.
+LONG = 92
+WINDOWS = (6, 12, 24, 48)
 
 
 def words_of(text: str) -> list[str]:
@@ -110,6 +125,7 @@ class Scanner:
             for name, texts in TEMPLATES.items()
             for k, text in enumerate(texts)
         ]
+        self._words = {(name, k): words for name, k, words, _ in self.templates}
         self.judge = lru_cache(20_000)(self._judge)
 
     @staticmethod
@@ -144,22 +160,89 @@ class Scanner:
 
     def scan(self, text: str) -> list[tuple[int, int, Verdict]]:
         """Start, end (code points) and verdict of every confirmed notice."""
-        if not CUE.search(text):
+        if not _HINT.search(text):
             return []
         found = []
-        for line in re.finditer(r"[^\n]+", text):
-            if not CUE.search(line[0]):
+        for lines in _paragraphs(text):
+            folded = " ".join(text[a:b] for a, b in lines)
+            if not CUE.search(folded):
                 continue
-            for sentence in _SENTENCE.finditer(line[0]):
-                body = sentence[0].strip()
-                if body and CUE.search(body):
-                    verdict = self.judge(body)
-                    if verdict:
-                        start = line.start() + sentence.start()
-                        start += len(sentence[0]) - len(sentence[0].lstrip())
-                        found.append((start, start + len(body), verdict))
+            begins = [0]
+            for a, b in lines:
+                begins.append(begins[-1] + b - a + 1)
+            for sentence in _SENTENCE.finditer(folded):
+                start = sentence.end() - len(sentence[0].lstrip())
+                end = sentence.start() + len(sentence[0].rstrip())
+                if start < end and CUE.search(folded, start, end):
+                    for a, b, verdict in self._notices(folded, begins, start, end):
+                        first, last = bisect_right(begins, a) - 1, bisect_right(begins, b - 1) - 1
+                        found.append((lines[first][0] + a - begins[first], lines[last][0] + b - begins[last], verdict))
+        return found
+
+    def _notices(self, folded: str, begins: list[int], start: int, end: int) -> list[tuple[int, int, Verdict]]:
+        """Notices of one sentence, in positions of the folded paragraph."""
+        first, last = bisect_right(begins, start) - 1, bisect_right(begins, end - 1) - 1
+        pieces = [(max(start, begins[k]), min(end, begins[k + 1] - 1)) for k in range(first, last + 1)]
+        parts = [(a, b, self.judge(folded[a:b])) for a, b in pieces if a < b and CUE.search(folded, a, b)]
+        parts = [p for p in parts if p[2]]
+        if len(words_of(folded[start:end])) > LONG:
+            wide = self._windows(folded, start, end)
+        elif first < last and (verdict := self.judge(folded[start:end])):
+            a, b = self._common(folded, start, end, verdict)
+            a, b = max(start, begins[bisect_right(begins, a) - 1]), min(end, begins[bisect_right(begins, b - 1)] - 1)
+            wide = [(a, b, verdict)]
+        else:
+            wide = []
+        # of overlapping ones that with more of its template's words, a line before a wider span
+        kept: list[tuple[int, int, Verdict]] = []
+        for a, b, verdict in sorted(parts + wide, key=lambda n: (-self._held(n[2]), n[1] - n[0], n[0])):
+            if all(b <= x or y <= a for x, y, _ in kept):
+                kept.append((a, b, verdict))
+        return sorted(kept, key=lambda n: n[:2])
+
+    def _windows(self, folded: str, start: int, end: int) -> list[tuple[int, int, Verdict]]:
+        spans = [m.span() for m in _WORD.finditer(folded, start, end)]
+        begins = [a for a, _ in spans]
+        found = []
+        for cue in CUE.finditer(folded, start, end):
+            at = max(0, bisect_right(begins, cue.start()) - 1)
+            for n in WINDOWS:
+                a, b = spans[max(0, at - n)][0], spans[min(len(spans) - 1, at + n)][1]
+                verdict = self.judge(folded[a:b])
+                if verdict:
+                    found.append((*self._common(folded, a, b, verdict), verdict))
         return found
 
+    def _held(self, verdict: Verdict) -> int:
+        return len(self._words[verdict.license, verdict.template]) - verdict.missing
+
+    def _common(self, folded: str, start: int, end: int, verdict: Verdict) -> tuple[int, int]:
+        """Where the first and the last word common with the template lie."""
+        spans = [m.span() for m in _WORD.finditer(folded, start, end)]
+        own = [folded[a:b].lower() for a, b in spans]
+        words = self._words[verdict.license, verdict.template]
+        blocks = [b for b in SequenceMatcher(None, words, own, autojunk=False).get_matching_blocks() if b.size]
+        return spans[blocks[0].b][0], spans[blocks[-1].b + blocks[-1].size - 1][1]
+
+
+def _paragraphs(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Start and end of the lines of each paragraph, without indents and comment marks."""
+    lines: list[tuple[int, int]] = []
+    for line in _LINE.finditer(text):
+        start = line.start() + _MARK.match(line[0]).end()
+        body = line[0].rstrip()
+        for mark in _END_MARKS:
+            if body.endswith(mark):
+                body = body[: -len(mark)].rstrip("*-").rstrip()
+        end = line.start() + len(body)
+        if start < end:
+            lines.append((start, end))
+        elif lines:
+            yield lines
+            lines = []
+    if lines:
+        yield lines
+
 
 def differences(template: list[str], own: list[str]) -> tuple[int, int, bool]:
     """Words put in within the notice, words left out, and whether all numbers are there.

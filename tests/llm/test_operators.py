@@ -6,6 +6,7 @@ import collections
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -340,6 +341,22 @@ def test_licenses(spark, docs, empty):
     assert licenses.scan(docs).filter("n_notices > 0").count() == 1 and licenses.scan(empty).count() == 0
 
 
+@pytest.mark.parametrize("form", ["line", "", "# ", " * ", "// ", "long"])
+def test_licenses_in_their_own_wording(form):
+    scanner = licenses.Scanner()
+    for name, texts in licenses.TEMPLATES.items():
+        for template in texts:
+            wrapped = "\n".join(form + line for line in textwrap.wrap(template, 40))
+            body = {"line": template, "long": "word " * 200 + template.rstrip(".") + " word" * 200}.get(form, wrapped)
+            text = "Some é prose here.\n\n" + body + "\n\nMore prose."
+            found = scanner.scan(text)
+            assert {v.license for _, _, v in found} == {name}, template
+            words = [w for a, b, _ in found for w in licenses.words_of(text[a:b])]
+            assert words == licenses.words_of(template) and all(v.added + v.missing == 0 for _, _, v in found)
+    lines = "All rights reserved\nLicensed under CC BY 4.0\nReleased under the MIT License"
+    assert [v.license for _, _, v in scanner.scan(lines)] == ["proprietary", "CC-BY-4.0", "MIT"]
+
+
 def test_pipeline_keeps_the_columns(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
