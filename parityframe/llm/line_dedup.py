@@ -6,6 +6,11 @@ many hold it, rare or not. Partners are aligned with patience diff: lines that o
 are anchors, the longest chain of anchors in equal order is kept, the gaps between are aligned
 alike. Runs of aligned lines with enough words are deleted from the later document; the earliest
 holder of a line always keeps it.
+
+Alignment sees one partner per line, in one order. The blocks it misses are covered by short runs:
+of consecutive lines the fewest from each line on, and up to each line, that have enough words. A
+run that an earlier document holds too, anywhere, is deleted from the later one. Every block of
+enough words is made of such runs, so no pairs of documents are needed for them.
 """
 
 from __future__ import annotations
@@ -140,6 +145,44 @@ def _line_hashes(keys: np.ndarray, line: np.ndarray, cut: np.ndarray):
     return hashes.view(np.int64), n.astype(np.int32), np.searchsorted(first, cut)
 
 
+def run_hashes(hashes: np.ndarray, words: np.ndarray, block_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first line and number of lines of the shortest runs with ``block_words`` words."""
+    total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    ends = np.searchsorted(total, total[:-1] + block_words)  # from each line on
+    starts = np.searchsorted(total, total[1:] - block_words, side="right") - 1  # up to each line
+    lines = np.arange(len(words))
+    forward = np.stack([lines, ends], 1)[ends <= len(words)]
+    backward = np.stack([starts, lines + 1], 1)[starts >= 0]
+    spans = np.unique(np.concatenate([forward, backward]), axis=0)
+    first, n = spans[:, 0], spans[:, 1] - spans[:, 0]
+    plain = hashes.view(np.uint64)
+    made = n.astype(np.uint64)
+    for place in range(int(n.max(initial=0))):
+        inside = n > place
+        made[inside] = mix(made[inside] + mix(plain[first[inside] + place]))
+    return made.view(np.int64), first, n
+
+
+def _runs(lines: DataFrame, block_words: int) -> DataFrame:
+    """``key``, ``run``, ``start`` and ``n``: a row per run of ``run_hashes``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for k in range(batch.num_rows):
+                hashes, words = (batch.column(c)[k].values.to_numpy() for c in ("hashes", "words"))
+                made, first, n = run_hashes(hashes, words, block_words)
+                found.append((np.full(len(made), k), made, first, n))
+            if found:
+                row, made, first, n = (np.concatenate(part) for part in zip(*found))
+                keys = batch.column("key").take(pa.array(row))
+                arrays = [keys, pa.array(made), pa.array(first, pa.int32()), pa.array(n, pa.int32())]
+                yield pa.RecordBatch.from_arrays(arrays, ["key", "run", "start", "n"])
+
+    kind = lines.schema["key"].dataType.simpleString()
+    return lines.select("key", "hashes", "words").mapInArrow(run, f"key {kind}, run bigint, start int, n int")
+
+
 def _aligned(pairs: DataFrame, block_words: int) -> DataFrame:
     """``key`` and ``gone``: positions (among lines with a word) to delete from a later document."""
 
@@ -167,9 +210,9 @@ def deduplicate(
     The order of documents is their id, then the hash of their text; rows equal in both are one
     document and get the same text. A null id comes first. Lines without a word are neither
     compared nor deleted; a null text stays null, with no lines. Lines repeated within a document
-    stay. Other columns are unchanged, columns named like a result are replaced.
+    stay unless an earlier document holds their block; then each copy of it goes. Other columns are unchanged, columns named like a result are replaced.
 
-    The lines of every document are stored once as hashes. Pairs and alignments work on these;
+    The lines of every document are stored once as hashes. Pairs, alignments and runs work on these;
     the texts are shuffled once, to meet the positions to delete.
     """
     spark = docs.sparkSession
@@ -183,7 +226,13 @@ def deduplicate(
     shared = told.groupBy("line").agg(F.min("key").alias("first"), F.count("*").alias("n"))
     shared = stage(shared.filter("n > 1").drop("n"), "shared-lines")
     pairs = told.join(shared, "line").filter("NOT key <=> first").select("key", "first").distinct()
-    gone = _aligned(_with_lines(pairs, lines), block_words).filter("size(gone) > 0").groupBy("key").agg(
+    runs = _runs(lines, block_words)
+    first = runs.groupBy("run").agg(F.min("key").alias("first"), F.max("key").alias("last"))
+    first = stage(first.filter("NOT first <=> last").drop("last"), "shared-runs")
+    held = runs.join(first, "run").filter("NOT key <=> first")
+    held = held.selectExpr("key", "sequence(start, start + n - 1) AS gone")
+    aligned = _aligned(_with_lines(pairs, lines), block_words).filter("size(gone) > 0")
+    gone = aligned.unionByName(held).groupBy("key").agg(
         F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone")
     )
     gone = stage(gone.selectExpr("key.id AS _id", "key.hash AS _hash", "gone AS _gone"), "deleted-lines")

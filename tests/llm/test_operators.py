@@ -341,6 +341,26 @@ def test_licenses(spark, docs, empty):
     assert licenses.scan(docs).filter("n_notices > 0").count() == 1 and licenses.scan(empty).count() == 0
 
 
+def test_line_dedup_covers_every_common_block(spark):
+    """Against brute force: every line in a run of 8 words that an earlier document holds."""
+    one, two = "one line of six words here", "another line of six words there"
+    rng = random.Random(4)
+    pool = [" ".join(rng.choices("a b c d e f g".split(), k=n)) + f" {n}" for n in (1, 2, 3, 5, 6, 9)]
+    texts = ["x\n" + one, two + "\ny", f"{one}\n{two}", f"z\n{one}\n{two}", f"{two}\n{one}\n{two}\n{one}"]
+    texts += ["\n".join(rng.choices(pool, k=rng.randint(0, 9))) for _ in range(60)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["text"] for r in line_dedup.deduplicate(table).collect()}
+    seen, checked = set(), {}
+    for k, text in enumerate(texts):
+        lines = text.split("\n") if text else []
+        blocks = [(i, j) for i in range(len(lines)) for j in range(i + 1, len(lines) + 1)
+                  if sum(len(x.split()) for x in lines[i:j]) >= 8]
+        gone = {x for i, j in blocks if tuple(lines[i:j]) in seen for x in range(i, j)}
+        checked[k] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+        seen |= {tuple(lines[i:j]) for i, j in blocks}
+    assert got == checked and got[3] == "z"
+
+
 @pytest.mark.parametrize("form", ["line", "", "# ", " * ", "// ", "long"])
 def test_licenses_in_their_own_wording(form):
     scanner = licenses.Scanner()
