@@ -15,8 +15,11 @@ from parityframe.llm import (
     line_dedup,
     mixing,
     near_copies,
+    pieces,
     quality,
+    resample,
     secrets,
+    spelling,
     tokens,
     urls,
 )
@@ -119,6 +122,34 @@ def op10_quality_bands(spark, sf_dir):
     )
 
 
+@query
+def op11_sentence_pieces(spark, sf_dir):
+    """``n_covered`` is the number of bytes that the spans of the pieces cover."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.encode(docs, model, decoded="decoded").selectExpr(
+        "doc_id",
+        "CAST(size(ids) AS BIGINT) AS n_tokens",
+        "sha2(concat_ws(',', CAST(ids AS ARRAY<STRING>)), 256) AS ids_sha256",
+        "sha2(decoded, 256) AS decoded_sha256",
+        "CAST(IF(size(ids) = 0, 0, ends[size(ids) - 1] - starts[0]) AS BIGINT) AS n_covered",
+    )
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(docs, slip=199)
+
+
+@query
+def op13_resample(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    target = table(spark, sf_dir, "benchmark").select("text")
+    drawn = resample.resample(docs, target, percent=10, min_words=20, keep_text=False)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 _HOST = (
     "translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), "
     "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -208,3 +239,88 @@ SELECT doc_id, size, source_size, target,
       AND target - epochs * source_size > 0 THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
 FROM g
 """
+
+#: CRC-32 of a text in a column ``x`` of a relation ``{from_}``: its bytes go one by one through a
+#: table of 256 steps, which is made from the polynomial.
+_CRC = """
+crc_steps AS (
+  SELECT list(list_reduce([i::BIGINT] || range(8), lambda a, b:
+    CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) ORDER BY i) AS steps
+  FROM range(256) r(i)),
+crc AS (
+  SELECT x, xor(list_reduce([4294967295] || [('0x' || substr(hex(x), 2 * k + 1, 2))::BIGINT
+      for k in range(length(hex(x)) // 2)],
+    lambda a, b: xor(a // 256, steps[xor(a % 256, b) + 1])), 4294967295) AS h
+  FROM (SELECT DISTINCT x FROM {from_}), crc_steps)"""
+
+_LOWERED = """translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
+
+ORACLES["op12_spelling_variants"] = rf"""
+WITH runs AS (
+  SELECT doc_id, unnest(regexp_extract_all({_LOWERED.format("text")}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run
+  FROM documents),
+keyed AS (SELECT concat(coalesce(CAST(doc_id AS VARCHAR), ''), ':', run) AS x, run FROM runs
+          WHERE length(run) >= 6),
+{_CRC.format(from_="keyed")},
+made AS (
+  SELECT CASE WHEN h % 199 = 0
+    THEN concat(substr(run, 1, (h % length(run))::INT), substr(run, (h % length(run))::INT + 2))
+    ELSE run END AS word
+  FROM keyed JOIN crc USING (x)),
+words AS (SELECT word, count(*) AS n FROM made WHERE length(word) >= 6 GROUP BY word HAVING count(*) >= 5),
+cuts AS (
+  SELECT word, n, i, concat(substr(word, 1, i - 1), substr(word, i + 1)) AS cut
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS other_n, a.n FROM cuts a JOIN cuts b USING (i, cut)
+  WHERE a.word <> b.word
+  UNION SELECT c.word, w.word, w.n, c.n FROM cuts c JOIN words w ON c.cut = w.word
+  UNION SELECT w.word, c.word, c.n, w.n FROM cuts c JOIN words w ON c.cut = w.word),
+best AS (
+  SELECT word, count(*) AS n_near,
+    first(other ORDER BY other_n DESC, encode(other)) AS form, max(other_n) AS form_n
+  FROM near GROUP BY word),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN form_n >= 5 * n THEN form END AS form,
+    CASE WHEN form_n >= 5 * n THEN form_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS root, 0 AS depth FROM forms
+  UNION ALL SELECT c.word, f.form, c.depth + 1 FROM chain c JOIN forms f ON f.word = c.root
+  WHERE f.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n
+FROM forms JOIN (SELECT word, last(root ORDER BY depth) AS root FROM chain GROUP BY word) USING (word)
+""".replace("WITH runs", "WITH RECURSIVE runs", 1)
+
+_WORDS = rf"regexp_extract_all({_LOWERED.format('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES["op13_resample"] = rf"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
+features AS (SELECT r, unnest(w) AS x FROM docs),
+wanted AS (SELECT unnest({_WORDS}) AS x FROM benchmark),
+pooled AS (SELECT x FROM features UNION ALL SELECT x FROM wanted),
+{_CRC.format(from_="pooled")},
+s AS (SELECT h % 10000 AS bucket, count(*) AS s FROM features JOIN crc USING (x) GROUP BY bucket),
+t AS (SELECT h % 10000 AS bucket, count(*) AS t FROM wanted JOIN crc USING (x) GROUP BY bucket),
+gains AS (
+  SELECT b AS bucket, floor(1000 * ln(
+    ((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s)::DOUBLE + 10000))
+    / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t)::DOUBLE + 10000))))::BIGINT AS gain
+  FROM range(10000) every(b) LEFT JOIN s ON s.bucket = b LEFT JOIN t ON t.bucket = b),
+sums AS (
+  SELECT r, count(*) AS n, sum(gain)::BIGINT AS total
+  FROM features JOIN crc USING (x) JOIN gains ON gains.bucket = h % 10000 GROUP BY r),
+scored AS (
+  SELECT doc_id, r, coalesce(n, 0)::BIGINT AS n_features,
+    coalesce((total - ((total % n) + n) % n) // n, 0)::BIGINT AS weight,
+    floor(-1000 * ln(-ln((('0x' || substr(sha256(concat('2024:', doc_id)), 1, 8))::BIGINT + 0.5::DOUBLE)
+      / 4294967296::DOUBLE)))::BIGINT AS noise
+  FROM docs LEFT JOIN sums USING (r)),
+ranked AS (
+  SELECT r, row_number() OVER (ORDER BY weight + noise DESC, doc_id, r) AS rank
+  FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, weight + noise AS score,
+  CASE WHEN rank <= (SELECT count(*) * 10 // 100 FROM ranked) THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (r)
+"""

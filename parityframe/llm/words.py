@@ -6,6 +6,8 @@ a word, so that byte positions and code points give the same words.
 
 from __future__ import annotations
 
+import contextlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -138,3 +140,55 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
             total += hashes[k : k + n] * factor
             factor = factor * _STEP
     return mix(total)
+
+
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for the jobs that run inside; then as before."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, min(rows, int(before)) if int(before) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _crc_steps() -> np.ndarray:
+    steps = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        steps = np.where(steps & 1, (steps >> 1) ^ np.uint32(0xEDB88320), steps >> 1)
+    return steps.astype(np.uint32)
+
+
+_CRC_STEPS = _crc_steps()
+#: Longest word whose CRC is computed beside that of others, a byte of each at a time.
+_CRC_BYTES = 64
+
+
+def crc32_after(
+    before: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray
+) -> np.ndarray:
+    """CRC-32 of the bytes whose CRC-32 is ``before`` (0: none), each followed by its word."""
+    lengths = ends - starts
+    order = np.argsort(-lengths, kind="stable")
+    register = ~before.astype(np.uint32)[order]
+    at, sizes = starts[order], lengths[order]
+    long = int(np.searchsorted(-sizes, -_CRC_BYTES, "left"))  # words over _CRC_BYTES come first
+    for k in range(long):
+        word = data[at[k] : at[k] + sizes[k]].tobytes()
+        register[k] = ~np.uint32(zlib.crc32(word, int(~register[k])))
+    register_rest, at, sizes = register[long:], at[long:], sizes[long:]
+    for place in range(int(sizes[0]) if len(sizes) else 0):
+        n = int(np.searchsorted(-sizes, -place, "left"))  # words longer than ``place``
+        some = register_rest[:n]
+        index = (some ^ data[at[:n] + place]) & np.uint32(0xFF)
+        register_rest[:n] = _CRC_STEPS[index] ^ (some >> np.uint32(8))
+    out = np.empty_like(register)
+    out[order] = ~register
+    return out
+
+
+def lower_ascii(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z as a-z."""
+    return data + (((data >= 0x41) & (data <= 0x5A)).astype(np.uint8) << 5)
