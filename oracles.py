@@ -174,6 +174,23 @@ def demographic(label: str, name: str) -> str:
     )
 
 
+def melted(table: str, source: str, label: str, measures: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, COUNTRY AS country, YEAR AS year, {label} AS label, "
+        f"'{m}' AS measure, round(CAST({m} AS DOUBLE), 4) AS amount FROM {source}"
+        for m in measures
+    )
+
+
+GINI_MEASURES = [
+    "gini", "theil", "palma", "sdg_10_2_1", "mean_income", "mean_b40", "n_obs",
+]
+PART_MEASURES = ["lower_bound", "upper_bound", "mean_income", "income_share"]
+STATS_MEASURES = [
+    "mean_income", "median_income", "std_income", "min_income", "max_income", "n_obs",
+]
+
+
 def described(source: str, value: str, by: str = "") -> str:
     key, group = (f"{by}, ", f"GROUP BY {by}") if by else ("", "")
     stats = {
@@ -229,6 +246,12 @@ def sector(code: str, names: dict[int, str]) -> str:
     return f"CASE {code} " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in names.items()) + " END"
 
 
+COLUMN_TYPES = {
+    "SAMPLE": "bigint", "SERIAL": "bigint", "HHWT": "double", "PERNUM": "int", "PERWT": "double",
+    "INCTOT": "double", "INCEARN": "double",
+}
+
+
 def missing_union(columns: list[str], measure: str, alias: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, {measure.format(c=c)} AS {alias} FROM persons"
@@ -236,11 +259,15 @@ def missing_union(columns: list[str], measure: str, alias: str) -> str:
     )
 
 
-STATS = (
-    "SELECT COUNTRY, YEAR, round(avg(y), 6) AS mean_income, quantile_disc(y, 0.5) AS "
-    "median_income, round(stddev_samp(y), 6) AS std_income, min(y) AS min_income, "
+EXACT_STATS = (
+    "SELECT COUNTRY, YEAR, avg(y) AS mean_income, quantile_disc(y, 0.5) AS "
+    "median_income, stddev_samp(y) AS std_income, min(y) AS min_income, "
     "max(y) AS max_income, count(*) AS n_obs FROM silver GROUP BY COUNTRY, YEAR"
 )
+STATS = (
+    "SELECT * REPLACE (round(mean_income, 6) AS mean_income, round(std_income, 6) AS std_income) "
+    f"FROM ({EXACT_STATS})"
+)
 IQR = (
     "SELECT {keep} FROM (SELECT *, quantile_cont({x}, 0.25) OVER ({part}) AS q1, "
     "quantile_cont({x}, 0.75) OVER ({part}) AS q3 FROM {source}) "
@@ -268,21 +295,31 @@ ORACLES: dict[str, str] = {
     ),
     "ensure_bronze": on_persons(f"SELECT {RAW}, 'bronze' AS _layer FROM persons"),
     "gold_views": on_silver(
-        "SELECT 'gold_gini_by_year' AS table_name, count(*) AS n_rows FROM ineq UNION ALL "
-        "SELECT 'gold_quintile_by_year', count(*) FROM parts UNION ALL "
-        "SELECT 'gold_theil_by_year', count(*) FROM ineq UNION ALL "
-        + " UNION ALL ".join(
-            f"SELECT 'gold_demog_{t}', count(*) FROM "
-            f"(SELECT DISTINCT COUNTRY, YEAR, {e} FROM silver)"
-            for t, e in (
-                ("sex", SEX_LABEL),
-                ("emp", EMPSTAT_LABEL),
-                ("edu", EDUCATION_LABEL),
-                ("age", age_group("AGE")),
-            )
+        " UNION ALL ".join(
+            [
+                melted("gold_gini_by_year", "ineq", "''", GINI_MEASURES),
+                melted("gold_quintile_by_year", "parts", "CAST(quantile AS VARCHAR)", PART_MEASURES),
+                melted("gold_theil_by_year", f"({EXACT_STATS})", "''", STATS_MEASURES),
+            ]
+            + [
+                melted(f"gold_demog_{t}", f"({demographic(e, 'l')})", "l", ["weighted_count", "raw_count"])
+                for t, e in (
+                    ("sex", SEX_LABEL),
+                    ("emp", EMPSTAT_LABEL),
+                    ("edu", EDUCATION_LABEL),
+                    ("age", age_group("AGE")),
+                )
+            ]
         ),
         CUM, MEDIAN, INEQ, PARTS,
     ),
+    "layer_rows": on_persons(
+        "SELECT 'bronze' AS layer, count(*) AS rows_in, count(*) AS rows_out FROM persons UNION ALL "
+        "SELECT 'silver', (SELECT count(*) FROM persons WHERE AGE % 2 = 0), count(*) "
+        "FROM (SELECT *, row_number() OVER (PARTITION BY SAMPLE, SERIAL, PERNUM "
+        "ORDER BY SAMPLE, PERWT, AGE) AS rn FROM persons WHERE AGE % 2 = 0) WHERE rn = 1 "
+        "AND AGE BETWEEN 18 AND 65 AND coalesce(INCTOT, INCEARN, 0) < 9999999"
+    ),
     "parquet_roundtrip": on_persons(f"SELECT {RAW} FROM persons"),
     "partitioned_roundtrip": on_persons(f"SELECT {RAW} FROM persons"),
     "csv_export": on_silver(STATS),
@@ -356,6 +393,7 @@ ORACLES: dict[str, str] = {
         "SELECT COUNTRY, YEAR, SERIAL, PERNUM FROM persons WHERE COUNTRY IN (76, 484)"
     ),
     "dedup": sql(f"SELECT {RAW}, {TIES} FROM single", PERSONS, DISTINCT),
+    "dedup_clustered": sql(f"SELECT {RAW}, {TIES} FROM single", PERSONS, DISTINCT),
     "dedup_sample_key": on_persons(
         "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY SAMPLE, SERIAL, "
         f"PERNUM ORDER BY {TIES}) AS rn FROM persons) WHERE rn = 1"
@@ -485,6 +523,49 @@ ORACLES: dict[str, str] = {
         keep="o_orderkey, o_orderstatus, o_totalprice", x="o_totalprice",
         part="PARTITION BY o_orderstatus", source="orders", f="0.5",
     ),
+    "iqr_outliers_lengths": IQR.format(
+        keep="doc_id, lang, n_chars", x="n_chars", part="PARTITION BY lang", source="documents",
+        f="1.5",
+    ),
+    "distinct_keys": on_persons(
+        " UNION ALL ".join(
+            f"SELECT {c} AS COUNTRY, {y} AS YEAR, count(*) AS n_rows, "
+            f"count(DISTINCT (SERIAL, PERNUM)) AS n_keys, true AS sketch_fits FROM persons {by}"
+            for c, y, by in (
+                ("CAST(COUNTRY AS VARCHAR)", "CAST(YEAR AS VARCHAR)", "GROUP BY COUNTRY, YEAR"),
+                ("CAST(COUNTRY AS VARCHAR)", "'all'", "GROUP BY COUNTRY"),
+                ("'all'", "'all'", ""),
+            )
+        )
+    ),
+    "approximate_percentiles": on_silver(
+        "SELECT COUNTRY, q AS quantile, n_obs, true AS rank_fits "
+        "FROM (SELECT COUNTRY, count(*) AS n_obs FROM silver GROUP BY COUNTRY) "
+        "CROSS JOIN (VALUES ('p10'), ('p25'), ('p40'), ('p50'), ('p75'), ('p90'), ('p99')) v(q)"
+    ),
+    "describe_columns": on_persons(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, * FROM "
+            f"({described(f'(SELECT {c} FROM persons WHERE {c} IS NOT NULL)', c)})"
+            for c in ("AGE", "PERWT", "INCTOT", "INCEARN")
+        )
+    ),
+    "null_profile": on_persons(
+        " UNION ALL ".join(
+            f"SELECT CAST({i} AS INTEGER) AS position, '{name}' AS column_name, '{kind}' AS type, "
+            f"count(*) AS n_rows, count(*) FILTER ({test}) AS n_missing, "
+            f"round(count(*) FILTER ({test}) / count(*) * 100, 2) AS missing_pct FROM persons"
+            for i, (name, kind, test) in enumerate(
+                [(c, COLUMN_TYPES.get(c, "int"), f"{c} IS NULL") for c in RAW.split(", ")]
+                + [
+                    ("incomes", "struct<INCTOT:double,earned:struct<INCEARN:double>>", "SEX <> 1"),
+                    ("incomes.INCTOT", "double", "SEX <> 1 OR INCTOT IS NULL"),
+                    ("incomes.earned", "struct<INCEARN:double>", "SEX <> 1"),
+                    ("incomes.earned.INCEARN", "double", "SEX <> 1 OR INCEARN IS NULL"),
+                ]
+            )
+        )
+    ),
     "income_histogram": on_positive(
         "SELECT CAST(b.i AS INTEGER) AS bin, round(lo + b.i * ((hi - lo) / 50), 6) AS lower, "
         "round(lo + (b.i + 1) * ((hi - lo) / 50), 6) AS upper, count(INCTOT) AS n "

@@ -85,7 +85,8 @@ def _runs(rows: DataFrame, mixed: DataFrame, by: list[str]) -> DataFrame:
     )
     found = join_groups(rows.select(*keys, "w", salt.alias("_salt")), salted, [*keys, "_salt"])
     runs = found.groupBy(*keys, *carried, "w").agg(F.expr("count(*) AS n"))
-    runs = running_totals(runs.selectExpr("*", "w * n AS weight"), keys, "w", ["weight"])
+    runs = stage(runs.selectExpr("*", "w * n AS weight"), "runs")
+    runs = running_totals(runs, keys, "w", ["weight"])
     return runs.selectExpr(
         *map(quoted, keys),
         "n",

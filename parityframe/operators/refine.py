@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,6 +113,18 @@ def refine(
     return add_derived(drop_null_keys(df))
 
 
+def survives(columns: list[str]) -> Column:
+    """Whether :func:`refine` keeps a raw row that has been kept as the only one of its key."""
+    tests = [harmonized_income(columns).isNotNull()]
+    if "AGE" in columns:
+        tests.append(F.col("AGE").try_cast("double").between(C.MIN_AGE, C.MAX_AGE))
+    for name in ("YEAR", "PERWT"):
+        if name in columns:
+            kind = "double" if name in C.NUMERIC_COLUMNS else "string"
+            tests.append(F.col(name).try_cast(kind).isNotNull())
+    return F.coalesce(reduce(Column.__and__, tests), F.lit(False))
+
+
 def valid_income(
     df: DataFrame,
     column: str = "INCTOT",

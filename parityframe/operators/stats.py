@@ -9,8 +9,9 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from parityframe import constants as C
 from parityframe.functions.labels import country_label, ppp_income
@@ -95,6 +96,19 @@ def describe(df: DataFrame, value: str, by: list[str] = ()) -> DataFrame:
     return wide.unpivot(by, names, "statistic", "amount")
 
 
+def describe_columns(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
+    """:func:`describe` of several numeric columns at once, with ``column_name`` as a further key.
+
+    A row gives one value per column, and all columns share one collapse and one set of running
+    totals. A column without values has no rows.
+    """
+    pairs = ", ".join(
+        f"named_struct('column_name', '{c}', 'value', CAST({quoted(c)} AS DOUBLE))" for c in columns
+    )
+    long = df.select(*by, F.expr(f"inline(array({pairs}))"))
+    return describe(long.withColumnRenamed("value", "_amount"), "_amount", [*by, "column_name"])
+
+
 def five_numbers(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     """Box-plot numbers per group."""
     probs = {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "high": 1.0}
@@ -141,6 +155,41 @@ def null_percent(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return long.orderBy(F.desc("null_pct"), "column_name")
 
 
+def _fields(kind: DataType, path: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], DataType]]:
+    """All columns of a schema and, after each struct, its fields at any depth."""
+    found = []
+    for field in kind.fields:
+        here = (*path, field.name)
+        found.append((here, field.dataType))
+        if isinstance(field.dataType, StructType):
+            found += _fields(field.dataType, here)
+    return found
+
+
+def null_profile(df: DataFrame) -> DataFrame:
+    """Type, rows, missing entries and their share in percent of every column, nested ones too.
+
+    One row per column in the order of the schema; a field of a struct is called ``a.b`` and is
+    missing where the struct is. NaN counts as missing. All columns come from one aggregate over
+    one scan, an array with an entry per column that is then unfolded.
+    """
+    entries = []
+    for place, (path, kind) in enumerate(_fields(df.schema)):
+        column = ".".join(map(quoted, path))
+        missing = f"{column} IS NULL"
+        if kind.typeName() in ("double", "float"):
+            missing += f" OR isnan({column})"
+        name = ".".join(path).replace("\\", "\\\\").replace("'", "\\'")
+        entries.append(
+            f"named_struct('position', {place}, 'column_name', '{name}', "
+            f"'type', '{kind.simpleString()}', 'n_rows', count(*), 'n_missing', count_if({missing}))"
+        )
+    profile = df.agg(F.expr(f"array({', '.join(entries)}) AS columns"))
+    return profile.selectExpr("inline(columns)").selectExpr(
+        "*", "round(try_divide(n_missing, n_rows) * 100, 2) AS missing_pct"
+    )
+
+
 def _values(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     """Stored counts per group and distinct value, from one scan of the rows."""
     rows = weighted_rows(df, value, None, by, keep_negative=True)
@@ -202,8 +251,13 @@ def attrition(layers: dict[str, DataFrame], by: str = "COUNTRY") -> DataFrame:
     counts = reduce(DataFrame.unionAll, flagged).groupBy(by).agg(
         *[n.alias(column) for column, n in per_layer.items()]
     )
-    steps = [F.struct(F.lit(m).alias("layer"), F.col(c).alias("n_rows"))
-             for m, c in zip(layers, per_layer)]
+    return _retained(counts, list(layers), by)
+
+
+def _retained(counts: DataFrame, layers: list[str], by: str) -> DataFrame:
+    """Long form of row counts ``_n0``, ``_n1``... of the layers, with the shares kept."""
+    steps = [F.struct(F.lit(m).alias("layer"), F.col(f"_n{i}").alias("n_rows"))
+             for i, m in enumerate(layers)]
     long = counts.select(by, "_n0", F.inline(F.array(*steps)))
     kept = F.try_divide("n_rows", "_n0") * 100
     return long.select(
@@ -215,6 +269,40 @@ def attrition(layers: dict[str, DataFrame], by: str = "COUNTRY") -> DataFrame:
     )
 
 
+def attrition_in_one_pass(
+    df: DataFrame,
+    keys: list[str],
+    order_by: list[str],
+    layers: dict[str, Column],
+    first: str = "bronze",
+    by: str = "COUNTRY",
+) -> DataFrame:
+    """:func:`attrition` of layers that keep one row per key, from one scan of the first layer.
+
+    ``layers`` gives for each later layer the condition under which the row that is kept of a key
+    (the first by ``order_by``, NULLs first) belongs to it. Rows are first counted per key and
+    group, with the first of them carried along; that is combined before the shuffle, so copies of
+    a key cost a row per task. Only then are the groups a key occurs in ranked. ``order_by`` must
+    tell the copies of a key apart.
+    """
+    order = [F.col(c) for c in order_by]
+    member = [c.alias(f"in_{i}") for i, c in enumerate(layers.values())]
+    narrow = df.select(
+        *keys, F.col(by).alias("_by"), F.struct(*order).alias("_order"), F.struct(*member).alias("_in")
+    )
+    counted = narrow.groupBy(*keys, "_by").agg(
+        F.count("*").alias("_n"), F.min(F.struct("_order", "_in")).alias("_first")
+    )
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("_first._order"))
+    ranked = counted.withColumn("_rank", place)
+    kept = [
+        F.count_if((F.col("_rank") == 1) & F.col(f"_first._in.in_{i}")).alias(f"_n{i + 1}")
+        for i in range(len(layers))
+    ]
+    counts = ranked.groupBy(F.col("_by").alias(by)).agg(F.sum("_n").alias("_n0"), *kept)
+    return _retained(counts, [first, *layers], by)
+
+
 def dimension_values(df: DataFrame, country: str = "country", year: str = "year") -> DataFrame:
     """Distinct countries and years of a small table, as two sorted lists."""
     return df.agg(

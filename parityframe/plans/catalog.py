@@ -7,6 +7,7 @@ that results can be compared with an engine that adds in another order.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,12 +22,14 @@ from parityframe.operators import quantiles as Q
 from parityframe.operators import refine as R
 from parityframe.operators import report as P
 from parityframe.operators import sampling
+from parityframe.operators import sketches as K
 from parityframe.operators import stats as S
 from parityframe.operators.prefix import weighted_cdf, weighted_rows
 from parityframe.plans.persons import TIE_BREAK, persons
+from parityframe.plans import stages
 from parityframe.plans.stages import build_gold
 from parityframe.sources import ingest
-from parityframe.workspace import scratch_path, stage
+from parityframe.workspace import attach_groups, join_groups, scratch_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,9 +91,7 @@ def csv_ingest(spark, sf_dir):
 
 @query
 def csv_ingest_gz(spark, sf_dir):
-    path = _csv(spark, sf_dir, "gzip")
-    spread = spark.sparkContext.defaultParallelism
-    return ingest.read_persons_csv(spark, path, partitions=spread)
+    return ingest.read_persons_csv(spark, _csv(spark, sf_dir, "gzip"))
 
 
 @query
@@ -118,17 +119,31 @@ def ensure_bronze(spark, sf_dir):
 
 @query
 def gold_views(spark, sf_dir):
+    """Every value of the published tables: table, country, year, label, measure, amount."""
     root = scratch_path(spark, "gold")
     build_gold(stage(silver(spark, sf_dir), "silver"), root)
-    tables = ingest.load_gold(spark, root)
-    counts = [
-        spark.sql(f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {name}")
-        for name in tables
-    ]
-    united = counts[0]
-    for df in counts[1:]:
-        united = united.unionByName(df)
-    return united
+    long = []
+    for name in ingest.load_gold(spark, root):
+        view = spark.table(name).withColumnsRenamed({"COUNTRY": "country", "YEAR": "year"})
+        labels = [c for c in view.columns if c.endswith("_label") or c in ("age_group", "quantile")]
+        label = F.col(labels[0]).cast("string") if labels else F.lit("")
+        numbers = [f.name for f in view.schema.fields if f.dataType.typeName() in ("double", "long")]
+        numbers = [c for c in numbers if c not in ("country", "year", *labels)]
+        cells = view.select("country", "year", label.alias("label"), *[F.col(c).cast("double") for c in numbers])
+        melted = cells.unpivot(["country", "year", "label"], numbers, "measure", "amount")
+        long.append(melted.withColumn("table_name", F.lit(name)))
+    return rounded(reduce(DataFrame.unionByName, long), 4)
+
+
+@query
+def layer_rows(spark, sf_dir):
+    """Rows in and out of the first two layers, counted by the writes."""
+    root, order = scratch_path(spark, "lake"), ["SAMPLE", "PERWT", "AGE"]
+    first = stages.build_bronze(spark, _csv(spark, sf_dir), f"{root}/bronze")
+    bronze = spark.read.parquet(f"{root}/bronze")
+    second = stages.build_silver(bronze.filter("AGE % 2 = 0"), f"{root}/silver", dedup_keys=["SAMPLE", *ID], order_by=order)
+    rows = [(r.layer, r.rows_in, r.rows_out) for r in (first, second)]
+    return spark.createDataFrame(rows, "layer string, rows_in bigint, rows_out bigint")
 
 
 @query
@@ -148,7 +163,7 @@ def partitioned_roundtrip(spark, sf_dir):
 @query
 def csv_export(spark, sf_dir):
     path = scratch_path(spark, "export")
-    table = rounded(S.income_stats(silver(spark, sf_dir)))
+    table = rounded(S.income_stats(incomes(spark, sf_dir)))
     ingest.write_csv(table, path, single_file=True)
     return spark.read.schema(table.schema).option("header", True).csv(path)
 
@@ -284,6 +299,14 @@ def dedup_sample_key(spark, sf_dir):
     return R.deduplicate(persons(spark, sf_dir), ["SAMPLE", *ID], TIE_BREAK)
 
 
+@query
+def dedup_clustered(spark, sf_dir):
+    """The same rows as ``dedup``, from a table dealt to buckets by the key."""
+    path = scratch_path(spark, "clustered")
+    bronze = ingest.write_clustered(persons(spark, sf_dir), path, ID, buckets=8)
+    return R.deduplicate(bronze, ID, TIE_BREAK)
+
+
 @query
 def refined_layer(spark, sf_dir):
     return silver(spark, sf_dir)
@@ -319,7 +342,7 @@ def mean_by_group(spark, sf_dir):
 
 @query
 def income_stats(spark, sf_dir):
-    return rounded(S.income_stats(silver(spark, sf_dir)))
+    return rounded(S.income_stats(incomes(spark, sf_dir)))
 
 
 @query
@@ -406,7 +429,7 @@ def describe_balances(spark, sf_dir):
 def weighted_percentiles(spark, sf_dir):
     probs = {f"p{round(p * 100)}": p for p in (0.2, 0.4, 0.6, 0.8, 1.0)}
     return rounded(
-        Q.quantiles(silver(spark, sf_dir), INCOME, probs, ["COUNTRY"], frequency=WEIGHT), 4
+        Q.quantiles(incomes(spark, sf_dir), INCOME, probs, ["COUNTRY"], frequency=WEIGHT), 4
     )
 
 
@@ -445,15 +468,61 @@ def income_histogram_trimmed(spark, sf_dir):
     return rounded(S.trimmed_histogram(explored(spark, sf_dir), "INCTOT", ["COUNTRY"]))
 
 
+@query
+def iqr_outliers_lengths(spark, sf_dir):
+    lengths = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "n_chars")
+    return Q.iqr_outliers(lengths, "n_chars", ["lang"])
+
+
 @query
 def attrition(spark, sf_dir):
     bronze = persons(spark, sf_dir)
-    layers = {
-        "bronze": bronze,
-        "deduplicated": R.deduplicate(bronze, ID, TIE_BREAK),
-        "silver": silver(spark, sf_dir),
-    }
-    return rounded(S.attrition(layers))
+    layers = {"deduplicated": F.lit(True), "silver": R.survives(bronze.columns)}
+    return rounded(S.attrition_in_one_pass(bronze, ID, TIE_BREAK, layers))
+
+
+@query
+def distinct_keys(spark, sf_dir):
+    """Exact rows and keys by country and year and in all, and whether the sketches agree."""
+    bronze = persons(spark, sf_dir).select(*BY, *ID)
+    sketches = stage(K.distinct_sketches(bronze, ID, BY), "sketches")
+    found = []
+    for by in (BY, ["COUNTRY"], []):
+        exact = K.key_counts(bronze, ID, by)
+        told = K.estimated_counts(K.merge_distinct(sketches, by))
+        told = told.withColumnsRenamed({"n_keys": "about", "n_rows": "same_rows"})
+        both = join_groups(exact, told, by) if by else attach_groups(exact, told, [])
+        near = F.abs(F.col("about") - F.col("n_keys")) <= 5 * K.DISTINCT_ERROR * F.col("n_keys") + 1
+        both = both.withColumn("sketch_fits", near & (F.col("n_rows") == F.col("same_rows")))
+        group = [(F.col(c).cast("string") if c in by else F.lit("all")).alias(c) for c in BY]
+        found.append(both.select(*group, "n_rows", "n_keys", "sketch_fits"))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def approximate_percentiles(spark, sf_dir):
+    """Sketches by country and year, merged to countries; whether each answer's rank is right."""
+    people = incomes(spark, sf_dir)
+    probs = {f"p{round(p * 100)}": p for p in (0.1, 0.25, 0.4, 0.5, 0.75, 0.9, 0.99)}
+    sketches = stage(K.quantile_sketches(people, INCOME, BY), "sketches")
+    answers = stage(K.approximate_quantiles(K.merge_quantiles(sketches, ["COUNTRY"]), probs), "answers")
+    errors = K.rank_errors(people, INCOME, answers, probs)
+    counted = join_groups(errors, answers.select("COUNTRY", "n"), ["COUNTRY"])
+    fits = F.col("rank_error") <= 2 * K.RANK_ERROR
+    return counted.select("COUNTRY", "quantile", F.col("n").alias("n_obs"), fits.alias("rank_fits"))
+
+
+@query
+def describe_columns(spark, sf_dir):
+    columns = ["AGE", "PERWT", "INCTOT", "INCEARN"]
+    return rounded(S.describe_columns(raw(spark, sf_dir), columns), 4)
+
+
+@query
+def null_profile(spark, sf_dir):
+    nested = F.struct("INCTOT", F.struct("INCEARN").alias("earned")).alias("incomes")
+    nested = F.when(F.col("SEX") == 1, nested).alias("incomes")
+    return S.null_profile(raw(spark, sf_dir).select(*RAW, nested))
 
 
 @query
@@ -479,17 +548,17 @@ def dimension_values(spark, sf_dir):
 
 @query
 def running_totals(spark, sf_dir):
-    return weighted_cdf(weighted_rows(silver(spark, sf_dir), INCOME, WEIGHT, BY), BY)
+    return weighted_cdf(weighted_rows(incomes(spark, sf_dir), INCOME, WEIGHT, BY), BY)
 
 
 @query
 def gini(spark, sf_dir):
-    return rounded(I.gini(silver(spark, sf_dir), INCOME, WEIGHT, BY))
+    return rounded(I.gini(incomes(spark, sf_dir), INCOME, WEIGHT, BY))
 
 
 @query
 def gini_lorenz_left(spark, sf_dir):
-    return rounded(I.gini(silver(spark, sf_dir), INCOME, WEIGHT, BY, "lorenz_left"))
+    return rounded(I.gini(incomes(spark, sf_dir), INCOME, WEIGHT, BY, "lorenz_left"))
 
 
 @query
@@ -553,22 +622,22 @@ def palma_inclusive(spark, sf_dir):
 
 @query
 def poverty_half_median(spark, sf_dir):
-    return rounded(I.poverty_half_median(silver(spark, sf_dir), INCOME, WEIGHT, BY))
+    return rounded(I.poverty_half_median(incomes(spark, sf_dir), INCOME, WEIGHT, BY))
 
 
 @query
 def weighted_median(spark, sf_dir):
-    return rounded(I.weighted_median(silver(spark, sf_dir), INCOME, WEIGHT, BY))
+    return rounded(I.weighted_median(incomes(spark, sf_dir), INCOME, WEIGHT, BY))
 
 
 @query
 def lorenz_curve(spark, sf_dir):
-    return rounded(Z.lorenz_curve(silver(spark, sf_dir), INCOME, WEIGHT, ["COUNTRY"]))
+    return rounded(Z.lorenz_curve(incomes(spark, sf_dir), INCOME, WEIGHT, ["COUNTRY"]))
 
 
 @query
 def lorenz_points(spark, sf_dir):
-    return rounded(Z.lorenz_points(silver(spark, sf_dir), INCOME, WEIGHT, BY, 100))
+    return rounded(Z.lorenz_points(incomes(spark, sf_dir), INCOME, WEIGHT, BY, 100))
 
 
 @query

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from parityframe import constants as C
 from parityframe.operators.bands import weight_bands
 from parityframe.operators.demographics import DIMENSIONS, demographic_base, roll_up
 from parityframe.operators.inequality import (
@@ -14,23 +17,55 @@ from parityframe.operators.inequality import (
 )
 from parityframe.operators.prefix import weighted_cdf, weighted_rows
 from parityframe.operators.quantiles import published_quintiles, shares_from
-from parityframe.operators.refine import refine
+from parityframe.operators.refine import add_lineage, refine, select_available
 from parityframe.operators.sampling import stratified
 from parityframe.operators.stats import stats_from
+from parityframe.sources import bundle
 from parityframe.sources.ingest import (
     ensure_bronze,
+    is_written,
     load_gold,
+    path_exists,
     read_persons_csv,
+    write_counted,
     write_csv,
-    write_table,
 )
 from parityframe.workspace import stage
 
 
-def build_silver(bronze: DataFrame, path: str, **refine_options) -> DataFrame:
-    """Write the refined table by country and return a scan of it."""
-    write_table(refine(bronze, **refine_options), path, ["COUNTRY"])
-    return bronze.sparkSession.read.parquet(path)
+@dataclass(frozen=True)
+class LayerRows:
+    """Rows a layer was made from and rows it holds; ``None`` where a stored layer was reused."""
+
+    layer: str
+    rows_in: int | None
+    rows_out: int | None
+
+
+def build_bronze(spark: SparkSession, source: str, path: str) -> LayerRows | None:
+    """Ingest the raw table unless it is stored, counting its rows as they are written."""
+    if is_written(spark, path):
+        return LayerRows("bronze", None, None)
+    if not path_exists(spark, source):
+        ensure_bronze(spark, source, path)  # says so in the log
+        return None
+    read = Observation()
+    raw = read_persons_csv(spark, source).observe(read, F.count(F.lit(1)).alias("rows"))
+    written = write_counted(add_lineage(raw, source), path)
+    return LayerRows("bronze", read.get["rows"], written)
+
+
+def build_silver(bronze: DataFrame, path: str, **refine_options) -> LayerRows:
+    """Write the refined table by country, counting the rows that come and go on the way.
+
+    The count of the rows that come is taken over the columns the refinement reads.
+    """
+    extra = [*refine_options.get("dedup_keys", ()), *refine_options.get("order_by", ())]
+    wanted = dict.fromkeys([*C.REFINED_COLUMNS, *extra])
+    read = Observation()
+    used = select_available(bronze, [*wanted]).observe(read, F.count(F.lit(1)).alias("rows"))
+    written = write_counted(refine(used, **refine_options), path, ["COUNTRY"])
+    return LayerRows("silver", read.get["rows"], written)
 
 
 def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
@@ -61,19 +96,30 @@ def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
     return tables
 
 
-def build_gold(silver: DataFrame, root: str) -> None:
-    for name, df in gold_tables(silver).items():
-        write_table(df, f"{root}/{name}.parquet")
+def build_gold(silver: DataFrame, root: str) -> bundle.Version:
+    """Publish the aggregate tables below ``root``, all of them or, if one fails, none."""
+    return bundle.publish(gold_tables(silver), root)
+
+
+@dataclass(frozen=True)
+class Run:
+    """What a run of all stages has made: the aggregate tables by name, rows in and out."""
 
+    tables: dict[str, DataFrame]
+    rows: list[LayerRows]
 
-def run(spark: SparkSession, source: str, root: str, **refine_options) -> dict | None:
-    """All stages; each hands over a stored table, and a stored raw table is reused."""
-    bronze = ensure_bronze(spark, source, f"{root}/bronze")
-    if bronze is None:
+
+def run(spark: SparkSession, source: str, root: str, **refine_options) -> Run | None:
+    """All stages; each hands over a stored table, and a stored raw table is reused.
+
+    Without stored table and source there is nothing to do: logged, and ``None`` is returned.
+    """
+    first = build_bronze(spark, source, f"{root}/bronze")
+    if first is None:
         return None
-    silver = build_silver(bronze, f"{root}/silver", **refine_options)
-    build_gold(silver, f"{root}/gold")
-    return load_gold(spark, f"{root}/gold")
+    second = build_silver(spark.read.parquet(f"{root}/bronze"), f"{root}/silver", **refine_options)
+    build_gold(spark.read.parquet(f"{root}/silver"), f"{root}/gold")
+    return Run(load_gold(spark, f"{root}/gold"), [first, second])
 
 
 def extract_sample(

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from parityframe import constants as C
 from parityframe.functions.labels import country_label
 from parityframe.operators.refine import add_lineage
+from parityframe.sources import bundle
+from parityframe.workspace import file_system, quoted
 
 logger = logging.getLogger(__name__)
 
@@ -19,27 +22,26 @@ def read_persons_csv(
     path: str,
     infer: bool = False,
     schema: str = C.PERSON_SCHEMA,
-    partitions: int | None = None,
+    spread: bool | None = None,
 ) -> DataFrame:
     """Person records from CSV with a header; empty or malformed fields become NULL.
 
-    Compression is told by the suffix. A gzip file is read by one task whatever its size, so
-    give ``partitions`` to spread its rows for what follows; plain text is split by Spark.
+    Compression is told by the suffix. A gzip file is read by one task whatever its size, and
+    plain text is split by Spark. With ``spread`` the rows are dealt out again after reading, in
+    partitions of even size whose number adaptive execution takes from the bytes that were read,
+    so that what follows is not bound to one task per file; left out, that is done if a file name
+    says that the file cannot be split.
     """
     reader = spark.read.option("header", True).option("nullValue", "")
     reader = reader.option("inferSchema", True) if infer else reader.schema(schema)
     df = reader.csv(path)
-    return df.repartition(partitions) if partitions else df
-
-
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+    if spread is None:
+        spread = any(name.endswith((".gz", ".deflate")) for name in df.inputFiles())
+    return df.hint("rebalance") if spread else df
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _file_system(spark, path)
+    fs, target = file_system(spark, path)
     return bool(fs.exists(target))
 
 
@@ -81,6 +83,52 @@ def write_table(
     writer.parquet(path)
 
 
+def write_counted(df: DataFrame, path: str, partition_by: list[str] = ()) -> int:
+    """:func:`write_table`, and how many rows were written: counted by the write itself."""
+    seen = Observation()
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by)
+    return seen.get["rows"]
+
+
+def write_clustered(df: DataFrame, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Write a table whose rows are dealt to ``buckets`` files by ``keys``, and return a scan of it.
+
+    What groups, ranks or joins by ``keys`` (or by more columns) then reads the table without an
+    exchange. The rows are shuffled once, here. Each key is in one bucket: choose as many buckets
+    as keep one within what a task can read.
+    """
+    spark = df.sparkSession
+    name = _clustered_name(path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    dealt = df.repartition(buckets, *[F.col(k) for k in keys])
+    writer = dealt.write.format("parquet").mode("overwrite").option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return spark.table(name)
+
+
+def read_clustered(
+    spark: SparkSession, path: str, keys: list[str], buckets: int, schema: str | None = None
+) -> DataFrame:
+    """A scan of a table that :func:`write_clustered` made, also in another session.
+
+    ``keys`` and ``buckets`` are those it was written with. They and the schema are kept in the
+    session's catalog only, so that they are stated again.
+    """
+    name = _clustered_name(path)
+    if not spark.catalog.tableExists(name):
+        columns = schema or spark.read.parquet(path).schema.toDDL()
+        by = ", ".join(map(quoted, keys))
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (path '{path}') "
+            f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS"
+        )
+    return spark.table(name)
+
+
+def _clustered_name(path: str) -> str:
+    return "clustered_" + hashlib.sha256(path.rstrip("/").encode()).hexdigest()[:24]
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with a header; ``single_file`` is for small results, as one task writes it all.
 
@@ -112,17 +160,18 @@ def layer_preview(df: DataFrame, order_by: list[str], n: int = 100) -> DataFrame
 
 
 def load_gold(spark: SparkSession, root: str, tables: list[str] = C.GOLD_TABLES) -> dict | None:
-    """All aggregate tables by name, or ``None`` if one is missing; registers temp views.
+    """All aggregate tables of the published version by name, or ``None`` if one is missing.
 
-    Every table gets the country name beside its code.
+    Every table gets the country name beside its code, and a temporary view of its name.
     """
-    missing = [t for t in tables if not is_written(spark, f"{root}/{t}.parquet")]
+    version = bundle.current(spark, root)
+    missing = [t for t in tables if version is None or t not in version.tables]
     if missing:
         logger.error("aggregate tables missing: %s", missing)
         return None
     loaded = {}
     for name in tables:
-        df = spark.read.parquet(f"{root}/{name}.parquet")
+        df = version.read(spark, name)
         loaded[name] = df.withColumn("country_name", country_label("COUNTRY"))
         loaded[name].createOrReplaceTempView(name)
     return loaded

@@ -31,6 +31,12 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{default.toString().rstrip('/')}/tmp/parityframe/{context.applicationId}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system a path lies in, and the path as its own kind of object."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the scratch root."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
@@ -56,8 +62,7 @@ def release(spark: SparkSession) -> int:
     """
     removed = 0
     while _STAGED:
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs, target = file_system(spark, _STAGED.pop())
         removed += bool(fs.delete(target, True))
     return removed
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from parityframe.operators import inequality, refine
-from parityframe.operators.prefix import collapse, weighted_rows
+from parityframe.operators.prefix import collapse, inside_cells, weighted_rows, with_cells
 from parityframe.plans.catalog import BY, ID, INCOME, QUERIES, WEIGHT, incomes, silver
 from parityframe.plans.persons import TIE_BREAK, persons
 from tests.conftest import SF
@@ -39,6 +39,26 @@ def test_rows_are_collapsed_before_the_only_shuffle_of_rows(stored, by):
     assert "hashpartitioning" in lines[exchanges[0]] and "value" in lines[exchanges[0]]
 
 
+@pytest.mark.parametrize("by", [BY, ["COUNTRY"], []])
+def test_values_are_moved_once_more_for_the_running_totals(spark, stored, by):
+    """Of ``leaves``: one exchange of rows and one of distinct values, at any size of the joins."""
+    blocks = collapse(with_cells(weighted_rows(stored, INCOME, WEIGHT, by), by, "value"), [*by, "_cell"])
+    leaves = inside_cells(blocks, by, "value", ["weight", "income"])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for limit in (before, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        lines = plan(leaves).splitlines()
+        moved = [line for line in lines if "Exchange" in line and "Broadcast" not in line]
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        rows = [line for line in moved if "value" in line]
+        values = [line for line in moved if "_cell" in line and "value" not in line]
+        assert len(rows) == len(values) == 1 and len(moved) == 2, "\n".join(lines)
+        assert "rangepartitioning" not in "".join(lines)
+        below = lines[lines.index(rows[0]) + 1]
+        assert "HashAggregate" in below and "partial_sum" in below
+        assert "SortMergeJoin" not in "".join(lines)
+
+
 def test_only_needed_columns_and_rows_are_read(stored):
     by = ["COUNTRY"]
     text = plan(collapse(weighted_rows(stored, INCOME, WEIGHT, by), by))

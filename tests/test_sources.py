@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import gzip
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 import pytest
@@ -8,12 +9,13 @@ from pyspark.sql import functions as F
 
 from parityframe import constants as C
 from parityframe import workspace
+from parityframe.operators import refine
 from parityframe.operators.inequality import inequality_table
 from parityframe.operators.quantiles import quintile_table
 from parityframe.operators.stats import income_stats
 from parityframe.plans import stages
-from parityframe.plans.persons import persons
-from parityframe.sources import ingest
+from parityframe.plans.persons import TIE_BREAK, persons
+from parityframe.sources import bundle, ingest
 from parityframe.workspace import attach_groups, scratch_root, stage
 from tests.conftest import SF
 
@@ -44,8 +46,30 @@ def test_inferred_schema_and_gzip(spark, csv_file, tmp_path):
     packed = str(tmp_path / "people.csv.gz")
     with open(csv_file, "rb") as source, gzip.open(packed, "wb") as out:
         out.write(source.read())
-    df = ingest.read_persons_csv(spark, packed, partitions=4)
-    assert df.rdd.getNumPartitions() == 4 and df.count() == 3
+    df = ingest.read_persons_csv(spark, packed)
+    assert df.count() == 3
+    assert "REBALANCE_PARTITIONS" in plan_of(df)
+    assert "REBALANCE_PARTITIONS" not in plan_of(ingest.read_persons_csv(spark, packed, spread=False))
+    assert "REBALANCE_PARTITIONS" not in plan_of(ingest.read_persons_csv(spark, csv_file))
+
+
+def test_gzip_is_spread_by_size(spark, tmp_path):
+    packed = str(tmp_path / "many.csv.gz")
+    columns = [name for name, _ in C.PERSON_COLUMNS]
+    with gzip.open(packed, "wt") as out:
+        out.write(",".join(columns) + "\n")
+        for k in range(30_000):
+            out.write(",".join(str((k * 7919 + i) % 100_003) for i in range(len(columns))) + "\n")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    written = {}
+    for size in ("200kb", "1gb"):
+        spark.conf.set(key, size)
+        ingest.write_table(ingest.read_persons_csv(spark, packed), str(tmp_path / size))
+        written[size] = len(list((tmp_path / size).glob("part-*")))
+        assert spark.read.parquet(str(tmp_path / size)).count() == 30_000
+    spark.conf.set(key, before)
+    assert written["1gb"] < written["200kb"]
 
 
 def test_ensure_bronze(spark, csv_file, tmp_path):
@@ -86,12 +110,18 @@ def test_all_stages(spark, tmp_path):
     source = str(tmp_path / "raw")
     columns = [name for name, _ in C.PERSON_COLUMNS]
     persons(spark, SF).select(*columns).write.option("header", True).csv(source)
-    tables = stages.run(spark, source, str(tmp_path / "out"))
+    made = stages.run(spark, source, str(tmp_path / "out"))
+    tables = made.tables
     assert list(tables) == C.GOLD_TABLES
+    raw = spark.read.option("header", True).csv(source).count()
+    bronze, silver = made.rows
+    assert (bronze.layer, bronze.rows_in, bronze.rows_out) == ("bronze", raw, raw)
+    assert (silver.layer, silver.rows_in) == ("silver", raw)
+    assert silver.rows_out == spark.read.parquet(str(tmp_path / "out/silver")).count() < raw
     assert all("country_name" in df.columns for df in tables.values())
     n = tables["gold_gini_by_year"].agg(F.sum("n_obs")).first()[0]
-    silver = spark.read.parquet(str(tmp_path / "out/silver"))
-    assert n == silver.count() > 0
+    stored = spark.read.parquet(str(tmp_path / "out/silver"))
+    assert n == stored.count() == silver.rows_out > 0
     for name in C.GOLD_TABLES[3:]:
         assert tables[name].agg(F.sum("raw_count")).first()[0] == n
     shares = tables["gold_quintile_by_year"].groupBy("country", "year")
@@ -113,6 +143,9 @@ def test_all_stages(spark, tmp_path):
         )
     assert spark.sql("SELECT count(*) FROM gold_demog_age").first()[0] > 0
     assert stages.run(spark, str(tmp_path / "none"), str(tmp_path / "other")) is None
+    again = stages.run(spark, source, str(tmp_path / "out"))
+    assert again.rows[0].rows_in is None and again.rows[1] == silver
+    assert bundle.current(spark, str(tmp_path / "out/gold")).number == 2
 
 
 def test_sample_file(spark, csv_file, tmp_path):
@@ -122,8 +155,80 @@ def test_sample_file(spark, csv_file, tmp_path):
 
 
 def test_incomplete_bundle_is_refused(spark, tmp_path):
-    ingest.write_table(spark.range(3), str(tmp_path / "gold_gini_by_year.parquet"))
     assert ingest.load_gold(spark, str(tmp_path)) is None
+    bundle.publish({"gold_gini_by_year": spark.range(3)}, str(tmp_path))
+    assert ingest.load_gold(spark, str(tmp_path)) is None
+
+
+def numbered(spark, root):
+    version = bundle.current(spark, root)
+    return {t: {r[0] for r in version.read(spark, t).collect()} for t in version.tables}
+
+
+def test_bundle_is_published_at_once(spark, tmp_path):
+    root = str(tmp_path / "b")
+    assert bundle.current(spark, root) is None
+    names = [f"t{k}" for k in range(7)]
+    first = bundle.publish({t: spark.range(1).withColumn("id", F.lit(1)) for t in names}, root)
+    assert first.number == 1 and numbered(spark, root) == {t: {1} for t in names}
+    opened = first.read(spark, "t6")
+
+    second = {t: spark.range(1).withColumn("id", F.lit(2)) for t in names}
+    done = []
+
+    def killed_after_four(df, path):
+        if len(done) >= 4:
+            raise RuntimeError("killed")
+        done.append(path)
+        df.write.parquet(path)
+
+    with pytest.raises(RuntimeError):
+        bundle.publish(second, root, write=killed_after_four)
+    assert len(done) >= 4 and numbered(spark, root) == {t: {1} for t in names}
+    assert bundle.publish(second, root).number == 2
+    assert numbered(spark, root) == {t: {2} for t in names}
+    assert opened.first()[0] == 1  # a reader keeps the version it has opened
+    (tmp_path / "b/commits/draft-0").write_text("half a comm")
+    assert bundle.current(spark, root).number == 2
+    assert bundle.expire(spark, root, keep=1) == 2  # the first version and the failed build
+    assert numbered(spark, root) == {t: {2} for t in names}
+
+
+def test_builds_side_by_side_each_publish_a_whole_bundle(spark, tmp_path):
+    root = str(tmp_path / "b")
+
+    def build(k):
+        return bundle.publish({t: spark.range(1).withColumn("id", F.lit(k)) for t in "xyz"}, root)
+
+    with ThreadPoolExecutor(4) as pool:
+        versions = list(pool.map(build, range(4)))
+    assert sorted(v.number for v in versions) == [1, 2, 3, 4]
+    assert len(set(map(frozenset, numbered(spark, root).values()))) == 1
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_clustered_table_needs_no_exchange(spark, tmp_path):
+    path = str(tmp_path / "clustered")
+    people = persons(spark, SF)
+    stored = ingest.write_clustered(people, path, ["SERIAL", "PERNUM"], 4)
+    for table in (stored, None):
+        if table is None:  # as in a session that did not write it
+            spark.sql(f"DROP TABLE {ingest._clustered_name(path)}")
+            table = ingest.read_clustered(spark, path, ["SERIAL", "PERNUM"], 4)
+        kept = refine.deduplicate(table, ["SERIAL", "PERNUM"], TIE_BREAK)
+        assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+        want = refine.deduplicate(people, ["SERIAL", "PERNUM"], TIE_BREAK)
+        assert kept.exceptAll(want.select(*kept.columns)).isEmpty() and kept.count() == want.count()
+    assert "Exchange" in plan_of(refine.deduplicate(stored, ["SERIAL"], TIE_BREAK))
+
+
+def test_counted_write(spark, tmp_path):
+    rows = spark.range(1000).withColumn("k", F.col("id") % 3)
+    assert ingest.write_counted(rows.filter("id < 990"), str(tmp_path / "a"), ["k"]) == 990
+    assert ingest.write_counted(rows.limit(0), str(tmp_path / "b")) == 0
 
 
 def test_stage_uses_the_configured_folder(spark):

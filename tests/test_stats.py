@@ -5,7 +5,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from parityframe.operators import demographics, quantiles, report, stats
+from parityframe.operators import demographics, quantiles, refine, report, stats
+from parityframe.plans.persons import TIE_BREAK, persons
+from tests.conftest import SF
 
 RNG = np.random.default_rng(21)
 DATA = pd.DataFrame(
@@ -134,6 +136,69 @@ def test_attrition_of_an_emptied_group(spark):
     assert rows[None, "all"]["n_rows"] == 1 and rows[None, "some"]["n_rows"] == 0
 
 
+def test_attrition_in_one_pass(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(k), int(t), rng.choice(["a", "b", "c", None]), int(y))
+            for t, (k, y) in enumerate(zip(rng.integers(0, 60, 400), rng.integers(0, 9, 400)))]
+    rows += [(7, 1000 + t, "a", 3) for t in range(300)] + [(None, 2000, "b", 1), (None, 2001, "b", 8)]
+    df = spark.createDataFrame(rows, "k int, t int, g string, y int").repartition(7)
+    kept = {}
+    for k, t, g, y in sorted(rows, key=lambda r: r[1]):
+        kept.setdefault(k, (g, y))
+    found = stats.attrition_in_one_pass(
+        df, ["k"], ["t"], {"single": F.lit(True), "low": F.col("y") < 4}, "all", "g"
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1
+    got = {(r["g"], r["layer"]): r["n_rows"] for r in found.collect()}
+    for g in ("a", "b", "c", None):
+        assert got[g, "all"] == sum(r[2] == g for r in rows)
+        assert got[g, "single"] == sum(x == g for x, _ in kept.values())
+        assert got[g, "low"] == sum(x == g and y < 4 for x, y in kept.values())
+    assert len(got) == 12
+
+
+def test_one_pass_attrition_equals_the_layers(spark):
+    raw = persons(spark, SF)
+    layers = {"bronze": raw, "deduplicated": refine.deduplicate(raw, ["SERIAL", "PERNUM"], TIE_BREAK),
+              "silver": refine.refine(raw, order_by=TIE_BREAK)}
+    want = stats.attrition(layers)
+    got = stats.attrition_in_one_pass(
+        raw, ["SERIAL", "PERNUM"], TIE_BREAK,
+        {"deduplicated": F.lit(True), "silver": refine.survives(raw.columns)},
+    )
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_describe_columns(spark, df):
+    made = stats.describe_columns(df, ["y", "w"], ["g"]).collect()
+    got = {(r["g"], r["column_name"], r["statistic"]): r["amount"] for r in made}
+    for (g, part) in DATA.groupby("g"):
+        for column in ("y", "w"):
+            for name, want in part[column].describe().items():
+                assert got[g, column, name] == pytest.approx(want)
+    one_none = spark.createDataFrame([(1.0, None), (3.0, None)], "a double, b double")
+    assert {r["column_name"] for r in stats.describe_columns(one_none, ["a", "b"]).collect()} == {"a"}
+
+
+def test_null_profile_of_nested_columns(spark):
+    rows = [(1, (None, (float("nan"),)), [None]), (None, None, None), (3, ("x", None), [])]
+    df = spark.createDataFrame(rows, "`it's` int, s struct<`a.b`:string,t:struct<d:double>>, l array<int>")
+    profile = stats.null_profile(df)
+    assert profile._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+    got = [(r["column_name"], r["type"], r["n_rows"], r["n_missing"]) for r in profile.collect()]
+    assert got == [
+        ("it's", "int", 3, 1),
+        ("s", "struct<a.b:string,t:struct<d:double>>", 3, 1),
+        ("s.a.b", "string", 3, 2),
+        ("s.t", "struct<d:double>", 3, 2),
+        ("s.t.d", "double", 3, 3),
+        ("l", "array<int>", 3, 1),
+    ]
+    empty = stats.null_profile(df.limit(0)).collect()
+    assert [(r["n_rows"], r["n_missing"], r["missing_pct"]) for r in empty] == [(0, 0, None)] * 6
+
+
 def test_rolled_up_demographics_equal_direct_ones(spark):
     people = spark.range(500).selectExpr(
         "CAST(id % 3 AS INT) AS COUNTRY", "2010 AS YEAR", "CAST(id % 7 AS DOUBLE) AS PERWT",
