@@ -10,7 +10,7 @@ from parityframe.functions.labels import country_label
 from parityframe.functions.metrics import mld_col, theil_col, weighted_mean_col
 from parityframe.operators.bands import weight_bands
 from parityframe.operators.prefix import weighted_cdf, weighted_rows
-from parityframe.workspace import attach_groups, join_groups, quoted
+from parityframe.workspace import join_groups, quoted, stage
 
 GINI_METHODS = ("cumulative", "lorenz_left", "trapezoid", "rank")
 
@@ -128,8 +128,11 @@ def weighted_median(
 
 
 def _below_half_median(cdf: DataFrame, medians: DataFrame, by: list[str]) -> DataFrame:
-    """Share of weight strictly below half the median; 0 for a zero median."""
-    matched = attach_groups(cdf, medians.select(*by, "median"), by)
+    """Share of weight strictly below half the median; 0 for a zero median.
+
+    ``medians`` is a stored table of one row per group.
+    """
+    matched = _with_groups(cdf, medians.select(*by, "median"), by)
     poor = "sum(if(value < 0.5D * median, weight, 0D))"
     share = f"if(max(median) = 0, 0D, try_divide({poor}, max(weight_total)))"
     return _group(matched, by, F.expr(f"{share} AS sdg_10_2_1"))
@@ -142,7 +145,7 @@ def poverty_half_median(
     by = list(by)
     _, cdf = _rows_and_cdf(df, value, weight, by)
     medians = _group(cdf, by, weighted_median_col().alias("median"))
-    return _below_half_median(cdf, medians, by)
+    return _below_half_median(cdf, stage(medians, "medians"), by)
 
 
 def _with_prosperity(df: DataFrame) -> DataFrame:
@@ -205,8 +208,10 @@ def summary_from(cdf: DataFrame, shares: DataFrame, by: list[str]) -> DataFrame:
         weighted_median_col().alias("median"),
         F.sum("n").alias("n_obs"),
     )
+    base = stage(base, "base")
     poverty = _below_half_median(cdf, base, by)
-    joined = _with_groups(_with_groups(base, shares, by), poverty, by)
+    # the stored table comes last, so that it is broadcast to what the other two are joined to
+    joined = _with_groups(_with_groups(poverty, shares, by), base, by)
     return _with_prosperity(joined).select(
         *by,
         "gini",

@@ -1,14 +1,16 @@
 """Exact running totals per group, distributed.
 
 A window ordered over a whole group would put that group into one task, and a group may hold
-a third of all rows. So a group is cut into cells, intervals of its values. Running totals are
-taken inside each cell, the totals of the cells are accumulated over the short list of cells, and
-both are added. This is done at every size; a small group just has one cell.
+a third of all rows. So the values are cut into cells, intervals that each hold about as many rows
+of all groups together. Running totals are taken inside each cell of a group, the totals of the
+cells are accumulated over the short list of a group's cells, and both are added. A group's part of
+a cell is no larger than the cell, so the windows are small however the rows are spread over groups
+and values; a group whose values lie far from the others' has as many cells as its share of rows.
+This is done at every size.
 
 Where to cut is known before any row is moved: one pass over the rows builds a mergeable quantile
-sketch per group, of which only the sketches are shuffled. ``CELLS`` cells are then dealt to the
-groups by their share of the rows. A sketch may misjudge a rank a little, which makes cells a
-little uneven and changes no result.
+sketch, of which a few kilobytes a task are moved. A sketch may misjudge a rank a little, which
+makes cells a little uneven and changes no result.
 
 The rows are then collapsed to one per group, cell and distinct value, with map-side combining, so
 a value shared by a third of all rows costs one row per task here. That is the only exchange of
@@ -17,16 +19,17 @@ rows. The window over group and cell is the only exchange of the distinct values
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parityframe.workspace import join_groups, quoted, stage
 
-#: Cells of all groups together; groups with less than this part of the rows have one cell.
-CELLS = 4_096
-#: Binary steps that find a row's cell; a group has at most two to this power cells.
-CELL_STEPS = 10
-#: Accuracy of the quantile sketches: ranks are right within about 0.13 % of a group's rows.
+#: Cells of all rows together.
+CELLS = 1_024
+#: Accuracy of the quantile sketch: ranks are right within about 0.13 % of the rows.
 SKETCH_SIZE = 4_096
 
 _EARLIER = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
@@ -37,49 +40,26 @@ CDF_COLUMNS = [
 ]
 
 
-def cell_limits(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The values at which groups are cut: ``keys`` and the sorted array ``_limits``.
-
-    Groups of one cell are absent, so there are at most ``CELLS`` groups, with ``2 * CELLS``
-    limits in all: the result may be broadcast whatever the data.
-    """
-    sketches = df.groupBy(*keys).agg(
-        F.expr("count(*) AS _rows"),
-        F.expr(f"kll_sketch_agg_double({quoted(order)}, {SKETCH_SIZE}) AS _sketch"),
-    )
-    sketches = stage(sketches, "sketches")
-    most = 1 << CELL_STEPS
-    share = CELLS / max(1, sketches.agg(F.sum("_rows")).first()[0] or 0)
-    wide = sketches.selectExpr(
-        *map(quoted, keys), "_sketch", f"CAST(least({most}, floor(_rows * {share!r}D) + 1) AS INT) AS _cells"
-    )
-    ranks = ", ".join(f"{i / most!r}D" for i in range(1, most))
-    found = wide.filter("_cells > 1").selectExpr(
-        *map(quoted, keys), "_cells", f"kll_sketch_get_quantile_double(_sketch, array({ranks})) AS _at"
-    )
-    every = f"transform(sequence(1, _cells - 1), i -> _at[CAST(i * {most}L / _cells AS INT) - 1])"
-    return found.selectExpr(*map(quoted, keys), f"{every} AS _limits")
+def cell_limits(df: DataFrame, order: str) -> list[float]:
+    """The values between the cells, rising: fewer than ``CELLS``."""
+    ranks = f"CAST(split('{','.join(str(i / CELLS) for i in range(1, CELLS))}', ',') AS ARRAY<DOUBLE>)"
+    sketch = f"kll_sketch_agg_double({quoted(order)}, {SKETCH_SIZE})"
+    limits = f"IF(count(*) > 0, kll_sketch_get_quantile_double({sketch}, {ranks}), array())"
+    return sorted(set(df.agg(F.expr(limits).alias("limits")).first()["limits"]))
 
 
-def with_cells(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """``df`` with ``_cell``, the number of limits of its group up to ``order`` (a non-null double).
+def with_cells(df: DataFrame, order: str) -> DataFrame:
+    """``df`` with ``_cell``, the number of limits up to ``order`` (a non-null double).
 
     ``df`` is read twice, once for the limits when this is called: what is dear to compute should
-    be stored first. A row's cell is found by binary search, a step per projection.
+    be stored first. A row's cell is found by binary search in the JVM.
     """
-    limits = cell_limits(df, keys, order)
-    if keys:
-        celled = join_groups(df, F.broadcast(limits), keys, "left")
-    else:
-        only = limits.first()
-        listed = ",".join(map(repr, only["_limits"])) if only else ""
-        array = f"CAST(split('{listed}', ',') AS ARRAY<DOUBLE>)" if only else "array(CAST(NULL AS DOUBLE))"
-        celled = df.withColumn("_limits", F.expr(array))
-    celled = celled.withColumn("_cell", F.lit(0))
-    for step in reversed(range(CELL_STEPS)):
-        passed = f"get(_limits, _cell + {(1 << step) - 1}) <= {quoted(order)}"
-        celled = celled.withColumn("_cell", F.expr(f"_cell + IF({passed}, {1 << step}, 0)"))
-    return celled.drop("_limits")
+    limits = [x for x in cell_limits(df, order) if math.isfinite(x)]
+    if not limits:
+        return df.withColumn("_cell", F.lit(0))
+    splits = [-math.inf, *limits, math.inf]
+    found = Bucketizer(splits=splits, inputCol=order, outputCol="_cell", handleInvalid="keep")
+    return found.transform(df).withColumn("_cell", F.col("_cell").cast("int"))
 
 
 def running_totals(df: DataFrame, keys: list[str], order: str, sums: list[str]) -> DataFrame:
@@ -88,7 +68,7 @@ def running_totals(df: DataFrame, keys: list[str], order: str, sums: list[str])
     ``df`` is a stored table with one row per ``keys`` and ``order``, a non-null double. The
     result may be read several times without being stored again.
     """
-    return _totals(with_cells(df, keys, order), keys, order, sums)
+    return _totals(with_cells(df, order), keys, order, sums)
 
 
 def _totals(celled: DataFrame, keys: list[str], order: str, sums: list[str]) -> DataFrame:
@@ -170,7 +150,7 @@ def weighted_cdf(
     weight, ``*_total`` are group totals. Each name in ``extra`` gets the same three columns.
     """
     sums = ["weight", "income", *extra]
-    blocks = collapse(with_cells(rows, by, "value"), [*by, "_cell"], extra)
+    blocks = collapse(with_cells(rows, "value"), [*by, "_cell"], extra)
     cdf = _totals(blocks, by, "value", sums)
     return cdf.select(*by, *CDF_COLUMNS, *[n + end for n in extra for end in ("", *_ENDS)])
 

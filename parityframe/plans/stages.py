@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -77,23 +78,28 @@ def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
     shares have in common.
     """
     by, income = ["COUNTRY", "YEAR"], "income_analysis"
+    with ThreadPoolExecutor(1) as aside:  # beside the income tables, which do not need it
+        people = aside.submit(stage, demographic_base(silver), "demographics")
+        tables = _income_tables(silver, by, income)
+        for name in DIMENSIONS:
+            tables[f"gold_demog_{name}"] = roll_up(people.result(), name)
+    return tables
+
+
+def _income_tables(silver: DataFrame, by: list[str], income: str) -> dict[str, DataFrame]:
     plain = {"head": F.lit(1.0), "head_income": F.col(income)}
     rows = weighted_rows(silver, income, "PERWT", by, extra=plain)
     cdf = weighted_cdf(rows, by, extra=list(plain))
-    people = stage(demographic_base(silver), "demographics")
     stats = stats_from(cdf, by, "head", "head_income")
     cuts = [0.2, 0.4, 0.6, 0.8, 0.9]  # bands 0-1 are the bottom 40 %, bands 4-5 the top quintile
     pieces = weight_bands(rows, cdf, by, cuts, reuse=True)
     shares = bottom_and_top_shares(pieces, by, bottom=1, top=5)
     quintiles = shares_from(pieces, by, "least(band, 4) + 1")
-    tables = {
+    return {
         "gold_gini_by_year": published_summary(summary_from(cdf, shares, by)),
         "gold_quintile_by_year": published_quintiles(quintiles),
         "gold_theil_by_year": stats.orderBy(*by),
     }
-    for name in DIMENSIONS:
-        tables[f"gold_demog_{name}"] = roll_up(people, name)
-    return tables
 
 
 def build_gold(silver: DataFrame, root: str) -> bundle.Version:
