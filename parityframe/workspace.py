@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,24 +50,68 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     optimizer the true size, so that a join against the result is broadcast only when its
     files are below ``spark.sql.autoBroadcastJoinThreshold``, and shuffled otherwise.
     """
+    scope = _SCOPE.get()
+    return _stored(df, name, _STAGED if scope is None else scope.paths)
+
+
+def _stored(df: DataFrame, name: str, owner: list[str]) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
+    owner.append(path)
     df.write.parquet(path)
-    _STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete the tables this process has staged, when nothing built on them is needed any more.
+class Scope:
+    """Tables staged within a ``with`` block by this thread, deleted at its end.
 
-    Returns how many there were. Other content of the scratch folder is not touched.
+    A piece of work that stages many tables for one result runs in a scope and hands the result
+    over, so that its scratch files are gone when it is done, also if it fails::
+
+        with Scope(spark) as scope:
+            ...
+            return scope.hand_over(result)
+
+    Scopes may be nested. What is handed over belongs to the scope around, or to the session.
+    Results that were not handed over must not be used after the block.
     """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scope:
+        self.around = _SCOPE.get()
+        self.token = _SCOPE.set(self)
+        return self
+
+    def hand_over(self, df: DataFrame, name: str = "result") -> DataFrame:
+        """Store ``df`` as a table that outlives the scope, and return a scan of it."""
+        return _stored(df, name, _STAGED if self.around is None else self.around.paths)
+
+    def __exit__(self, *_) -> None:
+        _SCOPE.reset(self.token)
+        _delete(self.spark, self.paths)
+
+
+_SCOPE: ContextVar[Scope | None] = ContextVar("scope", default=None)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> int:
     removed = 0
-    while _STAGED:
-        fs, target = file_system(spark, _STAGED.pop())
+    while paths:
+        fs, target = file_system(spark, paths.pop())
         removed += bool(fs.delete(target, True))
     return removed
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the tables this process has staged, when nothing built on them is needed any more.
+
+    Returns how many there were. Other content of the scratch folder is not touched.
+    """
+    return _delete(spark, _STAGED)
+
+
 def quoted(name: str) -> str:
     """A column name for use inside SQL text."""
     return "`" + name.replace("`", "``") + "`"

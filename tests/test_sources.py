@@ -268,6 +268,30 @@ def test_release_deletes_only_what_was_staged(spark, monkeypatch, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["other"]
 
 
+def test_scopes_delete_what_they_staged(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(workspace, "scratch_root", lambda _: str(tmp_path))
+    monkeypatch.setattr(workspace, "_STAGED", [])
+
+    def names():
+        return sorted(p.name.split("-")[0] for p in tmp_path.iterdir())
+
+    with workspace.Scope(spark) as outer:
+        stage(spark.range(3), "one")
+        with workspace.Scope(spark) as inner:
+            kept = inner.hand_over(stage(spark.range(4), "two"), "kept")
+            assert names() == ["kept", "one", "two"]
+        assert names() == ["kept", "one"] and kept.count() == 4
+        last = outer.hand_over(kept, "last")
+    assert names() == ["last"] and last.count() == 4
+    with pytest.raises(ValueError), workspace.Scope(spark):
+        stage(spark.range(3), "one")
+        raise ValueError
+    assert names() == ["last"]
+    with ThreadPoolExecutor(1) as pool, workspace.Scope(spark):
+        pool.submit(stage, spark.range(2), "aside").result()
+    assert names() == ["aside", "last"] and workspace.release(spark) == 2
+
+
 def test_partitioned_ingest(spark, csv_file, tmp_path):
     target = str(tmp_path / "bronze")
     ingest.ensure_bronze(spark, csv_file, target, ["COUNTRY", "YEAR"])
