@@ -44,7 +44,7 @@ from parityframe.llm.words import (
     window_hashes,
     word_hashes,
 )
-from parityframe.workspace import stage
+from parityframe.workspace import Scope, stage
 
 SHINGLE = 5
 THRESHOLD = (4, 5)  # p / q
@@ -288,15 +288,19 @@ def _sure_links(family: DataFrame) -> DataFrame:
 
 
 def _blocks(rows: DataFrame, group: str) -> DataFrame:
-    """Rows copied to every pair of blocks of their group: ``low``, ``high``, ``block``.
+    """Rows copied to every pair of blocks of their group: ``pair``, ``low``, ``high``, ``block``.
 
-    Blocks are dealt by hash and hold about ``BLOCK`` rows, so a group of any size is spread.
+    Blocks are dealt by hash and hold about ``BLOCK`` rows, and each pair of blocks is dealt to
+    tasks on its own, so a group of any size is spread.
     """
     sizes = rows.groupBy(group).agg(F.count("*").alias("size"))
     sized = rows.join(sizes, group).selectExpr("*", f"CAST(ceil(size / {BLOCK}) AS INT) AS blocks")
     dealt = sized.selectExpr("*", "CAST(pmod(xxhash64(fp), blocks) AS INT) AS block")
     paired = dealt.selectExpr("*", "explode(sequence(0, blocks - 1)) AS other")
-    return paired.selectExpr("*", "least(block, other) AS low", "greatest(block, other) AS high")
+    ends = paired.selectExpr("*", "least(block, other) AS low", "greatest(block, other) AS high")
+    # rows lie where their group's key put them: without an exchange by the pair of blocks all
+    # pairs of a group would stay in one task
+    return ends.withColumn("pair", F.xxhash64(group, "low", "high")).repartition("pair")
 
 
 def _arrays(table: pa.Table, name: str) -> list[np.ndarray]:
@@ -373,7 +377,7 @@ def _close_links(family: DataFrame, both: int) -> DataFrame:
             }
         )
 
-    grouped = dealt.groupBy("root", "low", "high")
+    grouped = dealt.groupBy("pair", "root", "low", "high")
     return grouped.applyInArrow(run, "fp binary, links bigint, a binary")
 
 
@@ -409,7 +413,7 @@ def _foreign_pairs(met: DataFrame, families: DataFrame, classes: DataFrame, thre
             }
         )
 
-    return dealt.groupBy("run", "low", "high").applyInArrow(run, "a binary, b binary").distinct()
+    return dealt.groupBy("pair", "run", "low", "high").applyInArrow(run, "a binary, b binary").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
@@ -449,8 +453,17 @@ def find(
     each other. A null id counts as the largest; other columns are not looked at.
 
     Any link between two families is found with ``target_recall`` or more for a pair at the
-    threshold; within a family every link is counted.
+    threshold; within a family every link is counted. The result is a stored table; those it
+    was made from are deleted.
     """
+    with Scope(docs.sparkSession) as scope:
+        found = _find(docs, doc_id, text, threshold, target_recall)
+        return scope.hand_over(found, "near-copies")
+
+
+def _find(
+    docs: DataFrame, doc_id: str, text: str, threshold: tuple[int, int], target_recall: float
+) -> DataFrame:
     p, q = threshold
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     made = {"fp": "binary", "n": "int", "sig": "binary"}
@@ -530,7 +543,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
     Rows and columns are as they were. A text without words always stays. Where ids repeat, rows
     are told apart by their sets, and one of equal rows stays.
     """
-    found = stage(find(docs, doc_id, text, **options), "near-copies")
+    found = find(docs, doc_id, text, **options)
     ids = free_name(docs, "_near_id")
     if found.groupBy("doc_id").count().filter("count > 1").isEmpty():
         gone = found.filter("NOT doc_id <=> class_id").select(F.col("doc_id").alias(ids))

@@ -28,7 +28,7 @@ from parityframe.llm import (
     urls,
 )
 from parityframe.llm.words import LOWER_ALNUM, NOT_SPACE, word_hashes
-from parityframe.workspace import scratch_path
+from parityframe.workspace import scratch_path, stage
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -162,6 +162,45 @@ def test_near_copies_in_several_blocks(spark, monkeypatch):
         assert r["n_links"] == want
 
 
+def test_block_pairs_are_dealt_one_by_one(spark, monkeypatch):
+    """Also where the join on the group is a shuffle, whose keys would hold all its pairs together."""
+    monkeypatch.setattr(near_copies, "BLOCK", 5)
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in off}
+    for key, value in off.items():
+        spark.conf.set(key, value)
+    rows = stage(spark.range(60).selectExpr("CAST(CAST(id AS STRING) AS BINARY) AS fp", "id % 2 AS g"))
+    dealt = near_copies._blocks(rows, "g")
+    spread = dealt.select("*", F.spark_partition_id().alias("at"))
+    plan = dealt.groupBy("pair", "g", "low", "high").count()._jdf.queryExecution().executedPlan().toString()
+    found = spread.groupBy("g", "low", "high").agg(F.countDistinct("at").alias("n"), F.min("at").alias("at")).collect()
+    for key, value in before.items():
+        spark.conf.set(key, value)
+    lines = plan.splitlines()
+    top = next(i for i, line in enumerate(lines) if "Exchange" in line)
+    assert "hashpartitioning(pair" in lines[top] and plan.count("hashpartitioning(pair") == 1
+    assert all(r["n"] == 1 for r in found)
+    assert len({r["at"] for r in found if r["g"] == 0}) > 2
+
+
+def test_main_text_loses_nothing_of_embedded_elements():
+    def texts(page):
+        return [t for t in html.parse(page).texts if t is not None]
+
+    assert texts("<p>Look <svg><path/> here and <p>more text") == ["Look here and", "more text"]
+    assert texts("<p>a <object data=x>shown instead<p>next") == ["a shown instead", "next"]
+    assert texts("<p>x <math><mi>y</mi><mo>=</mo><mn>2</mn></math> z") == ["x y=2 z"]
+    assert texts("<p>x <svg><svg><text>deep</text></svg></svg> y") == ["x deep y"]
+    for tag in ("iframe", "select", "textarea", "template", "title"):
+        assert texts(f"<p>one <{tag}> two <p>three") == ["one two", "three"], tag
+        assert texts(f"<p>one <{tag}>gone</{tag}> two") == ["one two"], tag
+    assert texts("<p>one<script>var x = '<p>'; </script> two<style>p {}</style>") == ["one two"]
+    assert texts("<p>one<script>never closed <p>two") == ["one"]
+    deep = "<div>" * 20_000 + "text" + "</div>" * 20_000
+    assert texts(deep) == ["text"]
+    assert texts("</p>" * 20_000 + "<div>a</span></b></div>b") == ["a", "b"]
+
+
 def test_decontamination(spark, docs, empty):
     items = [(1, prose(50, 30)), (2, prose(50, 30)), (3, None), (4, "!!"), (5, "two WORDS"), (6, prose(60, 12))]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
