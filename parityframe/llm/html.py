@@ -12,6 +12,7 @@ mark their article, each also in variants with other markup and more around the
 
 from __future__ import annotations
 
+import collections
 import html as references
 import random
 import re
@@ -34,7 +35,10 @@ BLOCKS = set(
     "figcaption address hr details summary dialog center noscript button label menu".split()
 )
 VOID = set("br hr img input meta link area base col embed source track wbr".split())
-SKIPPED = set("script style template svg iframe select textarea title object head math".split())
+#: Elements whose content is no text of the page; without an end tag only the start tag goes.
+SKIPPED = set("template iframe select textarea title".split())
+#: Of these everything up to the end tag is code, or up to the end of the page without one.
+CODE = set("script style".split())
 #: A start tag of the key ends an open element of the value, up to an element of the last set.
 ENDED_BY = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -50,6 +54,7 @@ _TOKEN = re.compile(
     r"|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>",
     re.S,
 )
+_END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in SKIPPED | CODE}
 _NAMES = re.compile(r"\b(?:class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _LABEL = re.compile(r"data-y=\"([01])\"")
 
@@ -91,6 +96,8 @@ def parse(page: str) -> Tree:
     """The tree of a page: elements (text None) and runs of text, in page order."""
     tree = Tree()
     stack: list[tuple[str, int, int, list[int]]] = []  # tag, node, label, what it is under
+    opened: collections.Counter[str] = collections.Counter()  # tags on the stack
+    endless: set[str] = set()
     inline: list[str] = []
     links = 0
     linked = 0
@@ -103,6 +110,11 @@ def parse(page: str) -> Tree:
         tree.labels.append(label)
         return len(tree.parents) - 1
 
+    def close(k: int) -> None:
+        for tag, *_ in stack[k:]:
+            opened[tag] -= 1
+        del stack[k:]
+
     def flush() -> None:
         nonlocal linked, size
         text = " ".join("".join(inline).split())
@@ -130,10 +142,15 @@ def parse(page: str) -> Tree:
         if not tag:
             continue
         tag = tag.lower()
-        if tag in SKIPPED and tag != "head":
-            if not closing and not rest.rstrip().endswith("/"):
-                found = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-                at = found.end() if found else len(page)
+        if tag in SKIPPED or tag in CODE:
+            if not closing and not rest.rstrip().endswith("/") and tag not in endless:
+                found = _END[tag].search(page, at)
+                if found:
+                    at = found.end()
+                elif tag in CODE:
+                    at = len(page)
+                else:
+                    endless.add(tag)  # there is no end tag further on either
             inline.append(" ")
         elif tag == "a":
             links = 0 if closing else 1
@@ -143,19 +160,21 @@ def parse(page: str) -> Tree:
             flush()
             links = 0
             if closing:
-                open_tags = [s[0] for s in stack]
-                if tag in open_tags:
-                    del stack[len(open_tags) - 1 - open_tags[::-1].index(tag) :]
+                if opened[tag]:
+                    k = len(stack) - 1
+                    while stack[k][0] != tag:
+                        k -= 1
+                    close(k)
                 continue
             if any(s[0] == "p" for s in stack[-1:]):
-                stack.pop()
+                close(len(stack) - 1)
             if tag in ENDED_BY:
                 ended, limit = ENDED_BY[tag]
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] in limit:
                         break
                     if stack[k][0] in ended:
-                        del stack[k:]
+                        close(k)
                         break
             _, parent, label, under = stack[-1] if stack else ("", -1, 0, [])
             told = _LABEL.search(rest)
@@ -165,6 +184,7 @@ def parse(page: str) -> Tree:
             node = add(parent, features + under, None, label)
             if tag not in VOID:
                 stack.append((tag, node, label, under))
+                opened[tag] += 1
     flush()
     return tree
 
