@@ -1,12 +1,12 @@
 """License notices by conditional compression.
 
 Lines of a paragraph are folded into one, without the comment marks around them, so that wrapped
-notices are whole. A sentence that speaks of licensing is compressed on its own and again with each template as a
-raw zstandard dictionary. Text that repeats a template shrinks most with it. Templates are ranked
-by that reduction, and a winner is confirmed by the differences in wording: which words were put
-in, left out or changed, with numbers (versions) having to agree. In long sentences windows around
-the words that speak of licensing are judged instead. A wrapped notice ends at the lines that hold
-its first and last common word.
+notices are whole. In a sentence that speaks of licensing, windows of several widths around the
+words that do so are compressed on their own and again with each template as a raw zstandard
+dictionary. Text that repeats a template shrinks most with it. Templates are ranked by that
+reduction, and a winner is confirmed by the differences in wording: which words were put in, left
+out or changed, with numbers (versions) having to agree. A notice reaches from its first to its last
+word common with the template, and over a full stop after it, however long the sentence is.
 """
 
 from __future__ import annotations
@@ -97,8 +97,8 @@ _WORD = re.compile(r"[0-9]+(?:\.[0-9]+)*|[^\W\d_]+")
 #: its words that may differ.
 LEAST_REDUCTION = 0.2
 MOST_DIFFERENT = 0.25
-#: Sentences of more words are judged by windows of so many words to either side of a cue.
-LONG = 92
+#: Candidates are the windows of so many words to either side of a cue, within its line and its
+#: sentence: a short sentence is its own window, and a notice amid many words has a narrow one.
 WINDOWS = (6, 12, 24, 48)
 
 
@@ -183,19 +183,11 @@ class Scanner:
         """Notices of one sentence, in positions of the folded paragraph."""
         first, last = bisect_right(begins, start) - 1, bisect_right(begins, end - 1) - 1
         pieces = [(max(start, begins[k]), min(end, begins[k + 1] - 1)) for k in range(first, last + 1)]
-        parts = [(a, b, self.judge(folded[a:b])) for a, b in pieces if a < b and CUE.search(folded, a, b)]
-        parts = [p for p in parts if p[2]]
-        if len(words_of(folded[start:end])) > LONG:
-            wide = self._windows(folded, start, end)
-        elif first < last and (verdict := self.judge(folded[start:end])):
-            a, b = self._common(folded, start, end, verdict)
-            a, b = max(start, begins[bisect_right(begins, a) - 1]), min(end, begins[bisect_right(begins, b - 1)] - 1)
-            wide = [(a, b, verdict)]
-        else:
-            wide = []
-        # of overlapping ones that with more of its template's words, a line before a wider span
+        ranges = dict.fromkeys([*((a, b) for a, b in pieces if a < b), (start, end)])
+        found = [notice for a, b in ranges for notice in self._windows(folded, a, b)]
+        # of overlapping ones that with more of its template's words, then the shorter span
         kept: list[tuple[int, int, Verdict]] = []
-        for a, b, verdict in sorted(parts + wide, key=lambda n: (-self._held(n[2]), n[1] - n[0], n[0])):
+        for a, b, verdict in sorted(found, key=lambda n: (-self._held(n[2]), n[1] - n[0], n[0])):
             if all(b <= x or y <= a for x, y, _ in kept):
                 kept.append((a, b, verdict))
         return sorted(kept, key=lambda n: n[:2])
@@ -203,15 +195,14 @@ class Scanner:
     def _windows(self, folded: str, start: int, end: int) -> list[tuple[int, int, Verdict]]:
         spans = [m.span() for m in _WORD.finditer(folded, start, end)]
         begins = [a for a, _ in spans]
-        found = []
+        windows = {}
         for cue in CUE.finditer(folded, start, end):
             at = max(0, bisect_right(begins, cue.start()) - 1)
             for n in WINDOWS:
                 a, b = spans[max(0, at - n)][0], spans[min(len(spans) - 1, at + n)][1]
-                verdict = self.judge(folded[a:b])
-                if verdict:
-                    found.append((*self._common(folded, a, b, verdict), verdict))
-        return found
+                windows[a, b] = None
+        judged = ((a, b, self.judge(folded[a:b])) for a, b in windows)
+        return [(*self._common(folded, a, b, verdict), verdict) for a, b, verdict in judged if verdict]
 
     def _held(self, verdict: Verdict) -> int:
         return len(self._words[verdict.license, verdict.template]) - verdict.missing
@@ -222,7 +213,8 @@ class Scanner:
         own = [folded[a:b].lower() for a, b in spans]
         words = self._words[verdict.license, verdict.template]
         blocks = [b for b in SequenceMatcher(None, words, own, autojunk=False).get_matching_blocks() if b.size]
-        return spans[blocks[0].b][0], spans[blocks[-1].b + blocks[-1].size - 1][1]
+        last = spans[blocks[-1].b + blocks[-1].size - 1][1]
+        return spans[blocks[0].b][0], last + folded[last:].startswith((".", "!", "?"))
 
 
 def _paragraphs(text: str) -> Iterator[list[tuple[int, int]]]:
