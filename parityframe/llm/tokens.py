@@ -69,7 +69,8 @@ class Encoder:
     The tokenizer's pattern always parts a text between a character that is no white space and
     a single space or newline followed by another such character. Texts in which all white space
     is of this kind are cut there, and each different piece is encoded once; all other texts are
-    encoded in one go. Either way the ids are those of the whole text.
+    encoded in one go, also those with the string of a special token. Either way the ids are
+    those of the whole text.
     """
 
     _controls = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
@@ -78,7 +79,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        #: Strings that the tokenizer takes for a single id wherever they stand in a text.
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [token.content for token in added]
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         if sys.byteorder != "little" or array(self.code).itemsize != self.kind.itemsize:
@@ -146,6 +149,8 @@ class Encoder:
                 self.known[u] = self.known[u[:-1]] + ends[u[-1]]
 
     def _splittable(self, text: str) -> bool:
+        if any(s in text for s in self.special):
+            return False
         if not text or text[0] in " \n" or text[-1] in " \n":
             return False
         if "  " in text or " \n" in text or "\n " in text or "\n\n" in text:

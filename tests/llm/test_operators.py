@@ -228,7 +228,7 @@ def test_token_files_round_trip(spark, docs, empty):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(BPE)
-    tokenizer.encode_special_tokens = True
+    assert 50256 in tokenizer.encode("<|endoftext|> naïve", add_special_tokens=False).ids
     folder = scratch_path(spark, "t")
     tokens.write(docs, folder, BPE, 2, file_bytes=2000)
     got = tokens.digest(spark, folder).collect()
@@ -429,8 +429,9 @@ def test_license_spans_do_not_depend_on_the_sentence(notice):
 
 def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
     docs = spark.createDataFrame(corpus(), COLUMNS).select("doc_id", "text", "lang", "source", "n_chars")
-    good = [(500 + k, prose(500 + k, 120), "en", None, 0) for k in range(6)]
-    odd = docs.unionByName(spark.createDataFrame(good + good[:1], docs.schema))
+    good = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(docs.columns)
+    good = good.withColumn("doc_id", F.col("doc_id") + 500)
+    odd = docs.unionByName(good).unionByName(good.filter("doc_id < 510"))
     for name, table in (("odd", odd), ("empty", docs.limit(0))):
         folder = str(tmp_path / name)
         table.write.parquet(f"{folder}/documents.parquet")
@@ -444,7 +445,7 @@ def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
         assert sorted(map(str, rows)) == sorted(map(str, staged.collect()))
         ids = {r["doc_id"] for r in rows}
         # short and null texts and copies are gone; the mix leaves some of the rest out
-        assert (ids & set(range(500, 506)) and not ids & {0, 1, 6, 7}) if name == "odd" else not ids
+        assert (max(ids) > 500 and not ids & {0, 1, 6, 7}) if name == "odd" else not ids
 
 
 def test_pipeline_keeps_the_columns(spark):
