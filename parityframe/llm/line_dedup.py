@@ -28,6 +28,7 @@ from parityframe.llm.words import (
     NOT_SPACE,
     free_name,
     mix,
+    shield,
     small_batches,
     text_blocks,
     word_hashes,
@@ -215,6 +216,12 @@ def deduplicate(
     The lines of every document are stored once as hashes. Pairs, alignments and runs work on these;
     the texts are shuffled once, to meet the positions to delete.
     """
+    safe, names, back = shield(docs)
+    made = _deduplicate(safe, names.get(doc_id, doc_id), names.get(text, text), line_words, block_words)
+    return made.withColumnsRenamed(back)
+
+
+def _deduplicate(docs: DataFrame, doc_id: str, text: str, line_words: int, block_words: int) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     key = F.struct(F.col(doc_id).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("hash"))

@@ -548,15 +548,16 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
     if found.groupBy("doc_id").count().filter("count > 1").isEmpty():
         gone = found.filter("NOT doc_id <=> class_id").select(F.col("doc_id").alias(ids))
         return docs.join(gone, F.expr(f"`{doc_id}` <=> `{ids}`"), "left_anti")
-    stay = found.filter("fp IS NOT NULL AND doc_id <=> class_id").groupBy("class_id").agg(
-        F.min("fp").alias("_near_keep")
-    )
+    group, keep = free_name(docs, "_near_class"), free_name(docs, "_near_keep")
+    stay = found.filter("fp IS NOT NULL AND doc_id <=> class_id").groupBy(
+        F.col("class_id").alias(group)
+    ).agg(F.min("fp").alias(keep))
     marks = {"fp": "binary", "elements": "binary"}
     copy = free_name(docs, "_near_copy")
     clash = {c: free_name(docs, f"_own_{c}") for c in docs.columns if c in marks}
     rows = docs.withColumnsRenamed(clash)
     body, key = clash.get(text, text), clash.get(doc_id, doc_id)
     rows = _per_text(rows.withColumn(copy, F.col(body)), copy, marks, _whole).drop("elements")
-    same = rows.join(stay, F.expr(f"`{key}` <=> class_id AND fp = _near_keep"), "left_semi")
+    same = rows.join(stay, F.expr(f"`{key}` <=> `{group}` AND fp = `{keep}`"), "left_semi")
     kept = same.dropDuplicates([key, "fp"]).unionByName(rows.filter("fp IS NULL"))
     return kept.drop("fp").withColumnsRenamed({v: k for k, v in clash.items()}).select(*docs.columns)

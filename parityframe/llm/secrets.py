@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parityframe.llm.words import shield
 from parityframe.workspace import stage
 
 #: Forms to be found. Fixed values, letters of the names in either case.
@@ -200,7 +201,12 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     One pass over the texts, whose judged tokens are written with the other columns; then a count
     per encoding, band and step of p. No text is shuffled.
     """
-    kept = docs.drop(*[c for c in docs.columns if c in (*_RESULT, "_tokens", "_base", "_secret")])
+    safe, names, back = shield(docs)
+    return _scan(safe, names.get(text, text)).withColumnsRenamed(back)
+
+
+def _scan(docs: DataFrame, text: str) -> DataFrame:
+    kept = docs.drop(*[c for c in docs.columns if c in _RESULT])
     rows = kept.withColumn("_secret", F.coalesce(docs[text].cast("string"), F.lit("")))
     found = rows.selectExpr(
         *[f"`{c}`" for c in kept.columns],

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parityframe.llm.words import shield
 from parityframe.workspace import stage
 
 SHARD_KEYS = 500_000
@@ -156,6 +157,11 @@ def judge(
     Null, empty and odd URLs have an empty host and path and the empty key. Repeated pages get
     the same verdict; columns named like a result are replaced.
     """
+    safe, names, back = shield(pages)
+    return _judge(safe, listed, names.get(url, url), rules, shard_keys).withColumnsRenamed(back)
+
+
+def _judge(pages: DataFrame, listed: DataFrame, url: str, rules, shard_keys: int) -> DataFrame:
     result = ["host", "path", "rule", "verdict"]
     address = f"CAST(`{url}` AS STRING)"
     out = pages.withColumns({"_host": F.expr(host_sql(address)), "_path": F.expr(path_sql(address))})

@@ -54,6 +54,24 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def shield(df: DataFrame) -> tuple[DataFrame, dict[str, str], dict[str, str]]:
+    """``df`` with other names for columns that begin with an underscore, as internal ones do.
+
+    Also the new name of each renamed column and the way back, to be applied to a result that has
+    kept the columns.
+    """
+    new: dict[str, str] = {}
+    taken = {c.lower() for c in df.columns}
+    for name in df.columns:
+        if name.startswith("_"):
+            free = "own" + name
+            while free.lower() in taken:
+                free = "own_" + free
+            taken.add(free.lower())
+            new[name] = free
+    return df.withColumnsRenamed(new), new, {free: name for name, free in new.items()}
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit integers (a bijection)."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
