@@ -60,16 +60,18 @@ def test_gzip_is_spread_by_size(spark, tmp_path):
         out.write(",".join(columns) + "\n")
         for k in range(30_000):
             out.write(",".join(str((k * 7919 + i) % 100_003) for i in range(len(columns))) + "\n")
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key)
+    keys = "advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize", "coalescePartitions.parallelismFirst"
+    before = {k: spark.conf.get(f"spark.sql.adaptive.{k}") for k in keys}
     written = {}
-    for size in ("200kb", "1gb"):
-        spark.conf.set(key, size)
+    for size in ("20kb", "1gb"):
+        for k, value in zip(keys, (size, "20kb", "false")):
+            spark.conf.set(f"spark.sql.adaptive.{k}", value)
         ingest.write_table(ingest.read_persons_csv(spark, packed), str(tmp_path / size))
         written[size] = len(list((tmp_path / size).glob("part-*")))
         assert spark.read.parquet(str(tmp_path / size)).count() == 30_000
-    spark.conf.set(key, before)
-    assert written["1gb"] < written["200kb"]
+    for k, value in before.items():
+        spark.conf.set(f"spark.sql.adaptive.{k}", value)
+    assert written["1gb"] < 4 < written["20kb"]
 
 
 def test_ensure_bronze(spark, csv_file, tmp_path):
