@@ -21,13 +21,13 @@ from __future__ import annotations
 import hashlib
 import io
 import json
-import re
 import struct
 import sys
 import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +61,16 @@ _ENCODERS: dict[str, Encoder] = {}
 #: the characters from 256 on.
 _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _SHOWN = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+_SHOWN_CODES = np.array([ord(_SHOWN.get(b, chr(b))) for b in range(256)], "<u2")
+#: White space, of which none lies beyond 16 bits, but for the space and newline that part texts.
+_OTHER_SPACES = [c for c in map(chr, range(1 << 16)) if c.isspace() and c not in " \n"]
+#: Pieces that go to the library in one call, by its model and by the whole tokenizer.
+MODEL_PIECES = 40
+TEXT_PIECES = 1000
+
+
+def _shown(text: str) -> str:
+    return _SHOWN_CODES[np.frombuffer(text.encode(), "u1")].tobytes().decode("utf-16-le")
 
 
 class Encoder:
@@ -71,12 +81,16 @@ class Encoder:
     is of this kind are cut there, and each different piece is encoded once; all other texts are
     encoded in one go, also those with the string of a special token. Either way the ids are
     those of the whole text.
-    """
 
-    _controls = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
+    New pieces are encoded many at a time, as one text: its ids are theirs, one after the other,
+    and a piece's ids begin where a token begins with a space or newline, which pieces hold only
+    in front. A call whose ids do not part into as many pieces is not used; its pieces are then
+    encoded one by one.
+    """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
 
         self.tokenizer = Tokenizer.from_file(path)
         #: Strings that the tokenizer takes for a single id wherever they stand in a text.
@@ -87,6 +101,19 @@ class Encoder:
         if sys.byteorder != "little" or array(self.code).itemsize != self.kind.itemsize:
             raise RuntimeError("ids are serialised in the machine's order, which must be this one")
         self.bare = self.tokenizer.normalizer is None
+        model = self.tokenizer.model
+        #: Whether the model merges by pairs alone, so that words in a row do not change another.
+        self.chained = isinstance(model, BPE) and not (
+            model.dropout
+            or model.ignore_merges
+            or model.continuing_subword_prefix
+            or model.end_of_word_suffix
+        )
+        vocabulary = self.tokenizer.get_vocab()
+        #: By id: whether a token begins with a space or a newline.
+        self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        for token, k in vocabulary.items():
+            self.begins[k] = token.startswith((_SHOWN[32], _SHOWN[10]))
         self.remembered = remembered
         self.known: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
@@ -104,49 +131,89 @@ class Encoder:
 
     def _one(self, piece: str) -> bytes:
         """The ids of a space and letters: the pattern leaves them whole, so the model suffices."""
-        shown = piece.encode().decode("latin-1").translate(_SHOWN)
-        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+        return array(self.code, self._model(piece)).tobytes()
+
+    def _model(self, text: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(_shown(text))]
+
+    def _parted(self, ids: list[int], n: int) -> list[bytes] | None:
+        """The serialised ids of each of ``n`` pieces encoded in a row, if they part into these."""
+        row = np.array(ids, self.kind)
+        starts = np.flatnonzero(self.begins[row])
+        if len(starts) != n or starts[0] != 0:
+            return None
+        raw, at = row.tobytes(), (starts * self.kind.itemsize).tolist()
+        return [raw[i:j] for i, j in zip(at, [*at[1:], len(raw)])]
+
+    def _letters(self, words: list[str]) -> None:
+        """Learn words of letters, each with a space before it."""
+        step = MODEL_PIECES if self.chained else 1
+        for i in range(0, len(words), step):
+            part = words[i : i + step]
+            made = self._parted(self._model(" " + " ".join(part)), len(part))
+            self.known.update(zip(part, made or [self._one(" " + u) for u in part]))
+
+    def _others(self, pieces: list[str]) -> None:
+        """Learn pieces of any kind, each with the space or newline before it."""
+        step = TEXT_PIECES if self.bare else 1
+        for i in range(0, len(pieces), step):
+            part = pieces[i : i + step]
+            spelled = [u if u[0] == "\n" else " " + u for u in part]
+            made, text = None, "".join(spelled)
+            if step > 1 and not any(s in text for s in self.special):
+                [row] = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+                made = self._parted(row.ids, len(part))
+            self.known.update(zip(part, made or self._direct(spelled)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The serialised ids of every text."""
-        pieces: list[list[str] | None] = []
+        # a text's first piece has no space before it and is encoded apart
+        whole: list[str] = []
+        pieces: list[list[str]] = []
         for text in texts:
+            head, tail = text, ""
             if self._splittable(text):
-                pieces.append(text.replace("\n", " \n").split(" "))
-            else:
-                pieces.append(None)
+                head, _, tail = text.replace("\n", " \n").partition(" ")
+            whole.append(head)
+            pieces.append(tail.split(" ") if tail else [])
         if len(self.known) > self.remembered:
             self.known, self.earlier = {}, self.known
         known = self.known
-        # a text's first piece has no space before it and is encoded apart
-        missing = {u for p in pieces if p for u in p[1:] if u not in known}
+        missing = set(filterfalse(known.__contains__, chain.from_iterable(pieces)))
         if missing:
             self._learn(missing)
-        whole = [t if p is None else p[0] for t, p in zip(texts, pieces)]
-        heads = self._direct(whole)
         get = known.__getitem__
-        return [
-            head if not p else head + b"".join(map(get, p[1:])) for head, p in zip(heads, pieces)
-        ]
+        heads = self._direct(whole)
+        return [head + b"".join(map(get, p)) if p else head for head, p in zip(heads, pieces)]
 
     def _learn(self, missing: set[str]) -> None:
         """Encode new pieces; a full stop or comma after letters only is a piece of its own."""
-        again = {u: self.earlier[u] for u in missing if u in self.earlier}
-        self.known.update(again)
-        missing = missing.difference(again)
-        stems = {u[:-1] for u in missing if u[-1] in ".," and u[:-1].isalpha()}
-        plain = [u for u in missing if not (u[-1] in ".," and u[:-1] in stems)]
-        new = {*plain, *(s for s in stems if s not in self.known)}
-        letters = {u for u in new if u.isalpha()} if self.bare else set()
-        rest = list(new - letters)
-        for u in letters:
-            self.known[u] = self._one(" " + u)
-        spelled = [u if u[0] == "\n" else " " + u for u in rest]
-        self.known.update(zip(rest, self._direct(spelled)))
-        ends = dict(zip(".,", self._direct([".", ","])))
+        known, earlier = self.known, self.earlier
+        letters: set[str] = set()
+        ended, rest = [], []
         for u in missing:
-            if u not in self.known:
-                self.known[u] = self.known[u[:-1]] + ends[u[-1]]
+            if u in earlier:
+                known[u] = earlier[u]
+            elif u.isalpha():
+                letters.add(u)
+            elif u[-1] in ".," and u[:-1].isalpha():
+                ended.append(u)
+            else:
+                rest.append(u)
+        for stem in {u[:-1] for u in ended}:
+            if stem in earlier:
+                known[stem] = earlier[stem]
+            elif stem not in known:
+                letters.add(stem)
+        if self.bare:
+            self._letters(list(letters))
+        else:
+            rest += letters
+        self._others(rest)
+        if ended:
+            ends = dict(zip(".,", self._direct([".", ","])))
+            for u in ended:
+                known[u] = known[u[:-1]] + ends[u[-1]]
 
     def _splittable(self, text: str) -> bool:
         if any(s in text for s in self.special):
@@ -155,13 +222,7 @@ class Encoder:
             return False
         if "  " in text or " \n" in text or "\n " in text or "\n\n" in text:
             return False
-        if text.isascii():
-            return len(text.encode().translate(None, _RARE)) == len(text)
-        return self._controls.search(text) is None
-
-
-#: ASCII white space and separators other than space and newline.
-_RARE = bytes([9, 11, 12, 13, 28, 29, 30, 31])
+        return not any(c in text for c in _OTHER_SPACES)
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:

@@ -248,6 +248,39 @@ def test_token_files_round_trip(spark, docs, empty):
     assert tokens.digest(spark, folder).count() == 0
 
 
+def test_new_words_are_encoded_many_at_a_time():
+    rng = random.Random(7)
+
+    def word(letters):
+        return "".join(rng.choice(letters) for _ in range(rng.randint(1, 9)))
+
+    texts = [" ".join(word("etaoinsrß中é") for _ in range(200)) for _ in range(10)]
+    texts += [" ".join(word("abé.,'Ġł1%\u0301") for _ in range(50)) for _ in range(20)]
+    texts += [f"a{c}b c \nd{c}" for c in "\t\x0b\x1c\x85\u00a0\u2003\u2028\u3000"]
+    texts += ["one\ntwo, three.\nfour,, \u00c2\u0142 %", "", "\n", "end\n", "a <|endoftext|> b"]
+    encoder = tokens.Encoder(BPE)
+    tokenizer, calls = encoder.tokenizer, []
+
+    class Counting:
+        def __getattr__(self, name):
+            return getattr(tokenizer, name)
+
+        @property
+        def model(self):
+            calls.append(1)
+            return tokenizer.model
+
+    encoder.tokenizer = Counting()
+    apart = tokens.Encoder(BPE)
+    apart.begins = np.zeros_like(apart.begins)  # no call can be parted into its pieces
+    for _ in range(2):
+        for text, *made in zip(texts, encoder.encode(texts), apart.encode(texts)):
+            want = tokenizer.encode(text, add_special_tokens=False).ids
+            assert [np.frombuffer(raw, encoder.kind).tolist() for raw in made] == [want, want]
+    words = {w for text in texts for w in text.split() if w.isalpha()}
+    assert len(words) > 1500 and len(calls) < len(words) / 20
+
+
 def test_mix_meets_targets(spark, docs, empty):
     rows = [(k, prose(k, 20 + k % 30), "", f"s{k % 4}", 0, "", 1, 1) for k in range(400)]
     rows += [(900, "same text of five words", "", "s1", 0, "", 1, 1)] * 100
