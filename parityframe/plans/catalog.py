@@ -302,8 +302,8 @@ def dedup_sample_key(spark, sf_dir):
 @query
 def dedup_clustered(spark, sf_dir):
     """The same rows as ``dedup``, from a table dealt to buckets by the key."""
-    path = scratch_path(spark, "clustered")
-    bronze = ingest.write_clustered(persons(spark, sf_dir), path, ID, buckets=8)
+    path, people = scratch_path(spark, "clustered"), persons(spark, sf_dir)
+    bronze = ingest.write_clustered(people, path, ID, ingest.fitting_buckets(people))
     return R.deduplicate(bronze, ID, TIE_BREAK)
 
 

@@ -7,6 +7,7 @@ import logging
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parityframe import constants as C
 from parityframe.functions.labels import country_label
@@ -16,6 +17,9 @@ from parityframe.workspace import file_system, quoted
 
 logger = logging.getLogger(__name__)
 
+#: Bytes of rows, as they are sorted, that one bucket of a clustered table is to hold.
+BUCKET_BYTES = 256 << 20
+
 
 def read_persons_csv(
     spark: SparkSession,
@@ -90,12 +94,31 @@ def write_counted(df: DataFrame, path: str, partition_by: list[str] = ()) -> int
     return seen.get["rows"]
 
 
+def fitting_buckets(df: DataFrame, least: int = 8) -> int:
+    """How many buckets :func:`write_clustered` needs so that one holds ``BUCKET_BYTES`` of rows.
+
+    A task sorts a whole bucket, so their number must grow with the table. Rows are counted and
+    the columns of variable length measured, in a pass of its own: what is dear to compute should
+    be stored first. Keys with very many copies make their bucket larger than the others. Fewer
+    than ``least`` buckets would leave tasks idle.
+    """
+    sizes = [F.lit(8 * (len(df.columns) + 4))]
+    for field in df.schema.fields:
+        value = F.col(quoted(field.name))
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            sizes.append(F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0)))
+        elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(value), F.lit(0)))
+    total = df.agg(F.sum(sum(sizes[1:], sizes[0]).cast("bigint"))).first()[0] or 0
+    return max(least, -(-total // BUCKET_BYTES))
+
+
 def write_clustered(df: DataFrame, path: str, keys: list[str], buckets: int) -> DataFrame:
     """Write a table whose rows are dealt to ``buckets`` files by ``keys``, and return a scan of it.
 
     What groups, ranks or joins by ``keys`` (or by more columns) then reads the table without an
     exchange. The rows are shuffled once, here. Each key is in one bucket: choose as many buckets
-    as keep one within what a task can read.
+    as keep one within what a task can sort, as :func:`fitting_buckets` does.
     """
     spark = df.sparkSession
     name = _clustered_name(path)

@@ -14,6 +14,7 @@ from parityframe.operators.inequality import inequality_table
 from parityframe.operators.quantiles import quintile_table
 from parityframe.operators.stats import income_stats
 from parityframe.plans import stages
+from parityframe.plans.catalog import QUERIES
 from parityframe.plans.persons import TIE_BREAK, persons
 from parityframe.sources import bundle, ingest
 from parityframe.workspace import attach_groups, scratch_root, stage
@@ -227,6 +228,22 @@ def test_clustered_table_needs_no_exchange(spark, tmp_path):
     assert "Exchange" in plan_of(refine.deduplicate(stored, ["SERIAL"], TIE_BREAK))
 
 
+def test_buckets_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(ingest, "BUCKET_BYTES", 64 << 10, raising=False)
+    kept = QUERIES["dedup_clustered"](spark, SF)
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert kept.rdd.getNumPartitions() > 8  # one task per bucket
+    want = QUERIES["dedup"](spark, SF)
+    assert kept.exceptAll(want.select(*kept.columns)).isEmpty() and kept.count() == want.count()
+    rows = persons(spark, SF)
+    n = ingest.fitting_buckets(rows)
+    assert abs(ingest.fitting_buckets(rows.unionAll(rows)) - 2 * n) <= 1 < n
+    wide = rows.withColumn("a b.c", F.repeat(F.lit("é"), 500)).withColumn("l", F.array("`a b.c`"))
+    assert ingest.fitting_buckets(wide) > rows.count() * 2000 / ingest.BUCKET_BYTES
+    nulls = spark.range(10).select(F.lit(None).cast("string").alias("s"))
+    assert ingest.fitting_buckets(nulls) == ingest.fitting_buckets(rows.limit(0)) == 8
+
+
 def test_counted_write(spark, tmp_path):
     rows = spark.range(1000).withColumn("k", F.col("id") % 3)
     assert ingest.write_counted(rows.filter("id < 990"), str(tmp_path / "a"), ["k"]) == 990
