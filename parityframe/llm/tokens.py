@@ -21,16 +21,17 @@ from __future__ import annotations
 import hashlib
 import io
 import json
+import string
 import struct
 import sys
 import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
@@ -168,26 +169,47 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The serialised ids of every text."""
         # a text's first piece has no space before it and is encoded apart
-        whole: list[str] = []
-        pieces: list[list[str]] = []
-        for text in texts:
-            head, tail = text, ""
+        heads: list[str] = []
+        tails: list[str] = []
+        cut: list[int] = []
+        for k, text in enumerate(texts):
+            head = text
             if self._splittable(text):
                 head, _, tail = text.replace("\n", " \n").partition(" ")
-            whole.append(head)
-            pieces.append(tail.split(" ") if tail else [])
+                if tail:
+                    cut.append(k)
+                    tails.append(tail)
+            heads.append(head)
+        made = self._direct(heads)
+        if cut:
+            for k, raw in zip(cut, self._pieced(tails)):
+                made[k] += raw
+        return made
+
+    def _pieced(self, tails: list[str]) -> list[bytes]:
+        """The serialised ids of texts made of pieces with a space between them."""
         if len(self.known) > self.remembered:
             self.known, self.earlier = {}, self.known
-        known = self.known
-        missing = set(filterfalse(known.__contains__, chain.from_iterable(pieces)))
+        lists = pc.split_pattern(pa.array(tails, pa.large_string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        which = coded.indices.to_numpy()
+        missing = [u for u in pieces if u not in self.known]
         if missing:
             self._learn(missing)
-        get = known.__getitem__
-        heads = self._direct(whole)
-        return [head + b"".join(map(get, p)) if p else head for head, p in zip(heads, pieces)]
-
-    def _learn(self, missing: set[str]) -> None:
-        """Encode new pieces; a full stop or comma after letters only is a piece of its own."""
+        raws = [self.known[u] for u in pieces]
+        sizes = np.fromiter(map(len, raws), np.int64, len(raws)) // self.kind.itemsize
+        starts, ids = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(raws), self.kind)
+        counts = sizes[which]
+        ends = np.cumsum(counts)
+        # from the place of an id in the texts to its place in ``ids``
+        shift = np.repeat(starts[which] - (ends - counts), counts)
+        raw = ids[shift + np.arange(len(shift))].tobytes()
+        at = [0, *(ends[lists.offsets.to_numpy()[1:] - 1] * self.kind.itemsize).tolist()]
+        return [raw[i:j] for i, j in zip(at, at[1:])]
+
+    def _learn(self, missing: list[str]) -> None:
+        """Encode new pieces; punctuation after letters only is a piece of its own."""
         known, earlier = self.known, self.earlier
         letters: set[str] = set()
         ended, rest = [], []
@@ -196,24 +218,27 @@ class Encoder:
                 known[u] = earlier[u]
             elif u.isalpha():
                 letters.add(u)
-            elif u[-1] in ".," and u[:-1].isalpha():
-                ended.append(u)
             else:
-                rest.append(u)
-        for stem in {u[:-1] for u in ended}:
-            if stem in earlier:
-                known[stem] = earlier[stem]
-            elif stem not in known:
-                letters.add(stem)
+                stem = u.rstrip(string.punctuation)
+                if len(stem) < len(u) and stem.isalpha():
+                    ended.append((u, stem))
+                else:
+                    rest.append(u)
+        for _, stem in ended:
+            if stem not in known:
+                if stem in earlier:
+                    known[stem] = earlier[stem]
+                else:
+                    letters.add(stem)
         if self.bare:
             self._letters(list(letters))
         else:
             rest += letters
         self._others(rest)
-        if ended:
-            ends = dict(zip(".,", self._direct([".", ","])))
-            for u in ended:
-                known[u] = known[u[:-1]] + ends[u[-1]]
+        ends = list({u[len(stem) :] for u, stem in ended})
+        spelled = dict(zip(ends, self._direct(ends)))
+        for u, stem in ended:
+            known[u] = known[stem] + spelled[u[len(stem) :]]
 
     def _splittable(self, text: str) -> bool:
         if any(s in text for s in self.special):

@@ -257,6 +257,7 @@ def test_new_words_are_encoded_many_at_a_time():
     texts = [" ".join(word("etaoinsrß中é") for _ in range(200)) for _ in range(10)]
     texts += [" ".join(word("abé.,'Ġł1%\u0301") for _ in range(50)) for _ in range(20)]
     texts += [f"a{c}b c \nd{c}" for c in "\t\x0b\x1c\x85\u00a0\u2003\u2028\u3000"]
+    texts += ["du%%% erre.,' (end) end!? \"x\" a's a' 's don't-"]
     texts += ["one\ntwo, three.\nfour,, \u00c2\u0142 %", "", "\n", "end\n", "a <|endoftext|> b"]
     encoder = tokens.Encoder(BPE)
     tokenizer, calls = encoder.tokenizer, []
